@@ -95,7 +95,7 @@ def account_from_path(path: ColumnOrName) -> Column:
 
 def date_from_file_name(name: ColumnOrName) -> Column:
     digits = F.nullif(F.regexp_extract(col(name), FILE_NAME_PATTERN, 2), F.lit(""))
-    return F.try_to_date(digits, F.lit(FILE_DATE_FORMAT))
+    return F.try_to_date(digits, FILE_DATE_FORMAT)
 
 
 def version_from_file_name(name: ColumnOrName) -> Column:

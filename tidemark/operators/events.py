@@ -33,7 +33,12 @@ def _after(df: DataFrame, cutoff: DataFrame | None, column: str) -> DataFrame:
     return df.crossJoin(F.broadcast(cutoff.select("cutoff_ts"))).where(F.col(column) > F.col("cutoff_ts")).drop("cutoff_ts")
 
 
-def first_version_events(scd2: DataFrame, cutoff: DataFrame | None = None, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
+def first_version_events(
+    scd2: DataFrame,
+    cutoff: DataFrame | None = None,
+    keys: Sequence[str] = ENTITY_KEYS,
+    type_col: str = "type_key",
+) -> DataFrame:
     """The first version of each entity as an event (no earlier version
     exists), when it starts after the cutoff.
 
@@ -41,7 +46,7 @@ def first_version_events(scd2: DataFrame, cutoff: DataFrame | None = None, keys:
     entity; the equal result is ``row_number() = 1`` by (valid_from, scd_id).
     """
     w = Window.partitionBy(*keys).orderBy("valid_from", "scd_id")
-    first = scd2.select(*keys, "type_key", "valid_from", "scd_id").withColumn("_rn", F.row_number().over(w)).where(
+    first = scd2.select(*keys, type_col, "valid_from", "scd_id").withColumn("_rn", F.row_number().over(w)).where(
         F.col("_rn") == 1
     )
     first = _after(first, cutoff, "valid_from")
@@ -49,7 +54,7 @@ def first_version_events(scd2: DataFrame, cutoff: DataFrame | None = None, keys:
         F.col("scd_id").alias("event_id"),
         "scd_id",
         *keys,
-        "type_key",
+        type_col,
         F.col("valid_from").alias("event_ts"),
     )
 
@@ -92,6 +97,7 @@ def upgrade_events(
     measures: Sequence[tuple[str, str]] = UPGRADE_MEASURES,
     cutoff: DataFrame | None = None,
     keys: Sequence[str] = ENTITY_KEYS,
+    type_col: str = "type_key",
 ) -> DataFrame:
     """A monitored measure rose from one version to the next.
 
@@ -101,7 +107,7 @@ def upgrade_events(
     delete gaps, as the previous version is the previous row in history.
     """
     cols = [c for _, c in measures]
-    base = scd2.select(*keys, "type_key", "valid_from", "scd_id", *cols)
+    base = scd2.select(*keys, type_col, "valid_from", "scd_id", *cols)
     if cutoff is not None:
         c = F.broadcast(cutoff.select("cutoff_ts"))
         tagged = base.crossJoin(c).withColumn("_new", F.col("valid_from") > F.col("cutoff_ts")).drop("cutoff_ts")
@@ -121,13 +127,13 @@ def upgrade_events(
     else:
         base = base.withColumn("_new", F.lit(True))
     prev = with_previous(base, cols, keys)
-    tall = unpivot_pairs(prev, measures, [*keys, "type_key", "valid_from", "scd_id", "_new"])
+    tall = unpivot_pairs(prev, measures, [*keys, type_col, "valid_from", "scd_id", "_new"])
     ev = tall.where(F.col("_new") & F.col("old_value").isNotNull() & (F.col("new_value") > F.col("old_value")))
     return ev.select(
         F.concat(F.col("scd_id"), F.lit(EVENT_ID_SEPARATOR), F.col("upgrade_type")).alias("event_id"),
         "scd_id",
         *keys,
-        "type_key",
+        type_col,
         F.col("valid_from").alias("event_ts"),
         "upgrade_type",
         "old_value",
