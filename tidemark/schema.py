@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -61,7 +62,7 @@ BRONZE_META_SCHEMA = StructType(
         StructField("_rescued_data", StringType()),
         StructField("run_id", StringType()),
         StructField("source_file", StringType()),
-        StructField("snapshot_ts", TimestampType()),
+        StructField("snapshot_ts", TimestampNTZType()),
         StructField("snapshot_date", DateType()),
         StructField("schema_version", StringType()),
         StructField("snapshot_version", IntegerType()),
