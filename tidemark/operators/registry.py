@@ -74,7 +74,7 @@ def register_snapshots(keyed: DataFrame, state: DataFrame | None = None) -> Data
         new,
         keys=["account"],
         bucket="snapshot_date",
-        order=[F.col("snapshot_version").asc_nulls_first(), F.col("source_file").asc_nulls_first()],
+        order=["snapshot_version", "source_file"],
         out="_seq",
     )
     key = event_sort_key("snapshot_date", "snapshot_version", "source_file")
@@ -151,13 +151,11 @@ def latest_by_date_version(final: DataFrame) -> DataFrame:
 
 def in_order_sequence(registry: DataFrame) -> DataFrame:
     """In-order files numbered 1..n per account, with the ingest time of the
-    account's next in-order file (NULL for the latest).  The next file comes
-    from an equi-join on (account, seq + 1), which partitions by both columns."""
+    account's next in-order file (NULL for the latest).  Both come from one
+    two-level numbering (per account and date, then a prefix sum over dates),
+    so no task holds all files of an account and no self-join is needed."""
     files = registry.where(~F.col("is_out_of_order")).select(
         "account", "source_file", "snapshot_ts", "snapshot_date", "snapshot_order_no"
     )
-    seq = sequence_within(files, ["account"], "snapshot_date", [F.col("snapshot_order_no")], out="seq")
-    nxt = seq.select("account", (F.col("seq") - 1).alias("seq"), F.col("snapshot_ts").alias("next_ts"))
-    return seq.join(nxt, on=["account", "seq"], how="left").select(
-        "account", "source_file", "seq", "snapshot_ts", "next_ts"
-    )
+    seq = sequence_within(files, ["account"], "snapshot_date", ["snapshot_order_no"], out="seq", next_of="snapshot_ts")
+    return seq.select("account", "source_file", "seq", "snapshot_ts", F.col("next_snapshot_ts").alias("next_ts"))

@@ -27,9 +27,9 @@ def merge_by_key(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     job (a merge would pick one at random)."""
     keys = list(keys)
     dup = F.count(F.lit(1)).over(_key_window(keys))
-    checked = source.withColumn("_dup", dup).withColumn(
-        "_dup", F.when(F.col("_dup") > 1, F.raise_error(F.lit(f"duplicate merge key on {keys}"))).otherwise(F.col("_dup"))
-    ).drop("_dup")
+    # a filter, not a dropped column, so the optimiser cannot prune the check
+    guard = F.when(F.col("_dup") > 1, F.raise_error(F.lit(f"duplicate merge key on {keys}"))).otherwise(F.lit(True))
+    checked = source.withColumn("_dup", dup).where(guard).drop("_dup")
     if target is None:
         return checked
     kept = target.join(source.select(*keys), on=keys, how="left_anti")
