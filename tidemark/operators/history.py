@@ -58,16 +58,20 @@ def scd2_backfill(
             "_end": next_seq.isNull() | (next_seq != F.col("seq") + 1) | row_changed(next_vals, vals),
         }
     )
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # the first end at or after a start row is the version's last observation
-    closing = F.min(F.when(F.col("_end"), F.struct(F.col("seq"), F.col("next_ts").alias("ts")))).over(ahead)
-    versions = marked.withColumn("_close", closing).where(F.col("_start"))
+    # Boundary rows alternate per entity: start, end, start, end ... (a row can
+    # be both).  After keeping only those rows (the filter keeps partitioning
+    # and order, so no new sort), a start that is not also an end is closed by
+    # the next boundary row, read with ``lead`` — O(n) per entity, where a
+    # frame to the end of the partition would be O(n^2).
+    bounds = marked.where(F.col("_start") | F.col("_end"))
+    closing = F.when(F.col("_end"), F.col("next_ts")).otherwise(F.lead("next_ts").over(w))
+    versions = bounds.withColumn("_close", closing).where(F.col("_start"))
     return versions.select(
         *HISTORY_KEYS,
         *tracked,
         "source_file",
         F.col("snapshot_ts").alias("valid_from"),
-        F.col("_close.ts").alias("valid_to"),
+        F.col("_close").alias("valid_to"),
         version_id(keys, "snapshot_ts").alias("scd_id"),
     )
 
