@@ -46,12 +46,15 @@ def sequence_within(
         cols.append(F.lead("_bucket_first").over(prefix).alias("_next_bucket_first"))
     offsets = counts.select(*cols)
 
+    # number inside (key, bucket) first; the join to the small offsets table
+    # on the same columns then reuses the window's hash partitioning, so only
+    # the offsets move.  Rows with a NULL key or bucket get a NULL number.
     inner = Window.partitionBy(*keys, bucket).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    o = offsets.alias("_o")
-    cond = [F.col(f"_d.{k}").eqNullSafe(F.col(f"_o.{k}")) for k in [*keys, bucket]]
-    extra = ["_o._bucket_offset"] + (["_o._next_bucket_first"] if next_of else [])
-    joined = df.alias("_d").join(o, on=cond, how="inner").select("_d.*", *extra)
-    outcols = {out: F.col("_bucket_offset") + F.row_number().over(inner)}
+    numbered = df.withColumn("_rn", F.row_number().over(inner))
     if next_of:
-        outcols[f"next_{next_of}"] = F.coalesce(F.lead(next_of).over(inner), F.col("_next_bucket_first"))
-    return joined.withColumns(outcols).drop("_bucket_offset", "_next_bucket_first")
+        numbered = numbered.withColumn("_next_in_bucket", F.lead(next_of).over(inner))
+    joined = numbered.join(offsets, on=[*keys, bucket], how="left")
+    outcols = {out: F.col("_bucket_offset") + F.col("_rn")}
+    if next_of:
+        outcols[f"next_{next_of}"] = F.coalesce(F.col("_next_in_bucket"), F.col("_next_bucket_first"))
+    return joined.withColumns(outcols).drop("_rn", "_bucket_offset", "_next_in_bucket", "_next_bucket_first")
