@@ -1,9 +1,15 @@
 """The call graph from bronze rows to gold, as lazily built DataFrames.
 
-Order kept from the reference's model dependencies:
+Order kept from the model dependencies:
 final -> id map -> keyed -> {lookup, registry} -> {current, first seen}
 -> history -> scd2 -> {obtained, upgrades} -> gold.
 Each attribute is built on first use; nothing is collected.
+
+With ``materialize=True`` the two layers everything else reads (keyed rows
+and history) are written once with ``checkpoint()`` into the shared folder of
+``spark.checkpoint.dir``: later plans start from those files, so a lost
+executor recomputes from there, and the three readers of history do not
+each recompute it.
 """
 
 from __future__ import annotations
@@ -14,14 +20,22 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators import events, history, identity, quality, registry, rollup
 from tidemark.schema import STAGED_COLUMNS
+from tidemark.session import checkpoint_dir
 
 
 class Silver:
     """Lazily built layers over one bronze DataFrame (first-run semantics)."""
 
-    def __init__(self, bronze: DataFrame, tiebreak: str | None = None):
+    def __init__(self, bronze: DataFrame, tiebreak: str | None = None, materialize: bool = False):
         self.bronze = bronze
         self.tiebreak = tiebreak
+        self.materialize = materialize
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint()
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -55,7 +69,7 @@ class Silver:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return identity.attach_key(self.final, self.id_map)
+        return self._cut(identity.attach_key(self.final, self.id_map))
 
     @cached_property
     def lookup(self) -> DataFrame:
@@ -79,7 +93,7 @@ class Silver:
 
     @cached_property
     def history(self) -> DataFrame:
-        return history.scd2_backfill(self.keyed, self.sequence)
+        return self._cut(history.scd2_backfill(self.keyed, self.sequence))
 
     @cached_property
     def scd2(self) -> DataFrame:
