@@ -40,13 +40,21 @@ def _unquote(c: Column) -> Column:
     return F.when(quoted, inner).otherwise(c)
 
 
+def _split(line: Column) -> Column:
+    """Split on the separator; the quote-aware pattern (whose look-ahead scans
+    to the end of the line for every separator) only for lines with a quote."""
+    return F.when(F.instr(line, QUOTE) > 0, F.split(line, _SPLIT_OUTSIDE_QUOTES)).otherwise(F.split(line, SEP))
+
+
 def _cells(line: Column) -> Column:
-    return F.transform(F.split(line, _SPLIT_OUTSIDE_QUOTES), lambda x: F.nullif(_unquote(x), F.lit("")))
+    """Cells of a data line; only lines with a quote run the unquote lambda."""
+    quoted = F.transform(F.split(line, _SPLIT_OUTSIDE_QUOTES), _unquote)
+    return F.when(F.instr(line, QUOTE) > 0, quoted).otherwise(F.split(line, SEP))
 
 
 def _header_names(header: Column) -> Column:
     """Header cells, trimmed; a repeated name gets ``_<position>`` appended."""
-    names = F.transform(F.split(header, _SPLIT_OUTSIDE_QUOTES), lambda x: F.trim(_unquote(x)))
+    names = F.transform(_split(header), lambda x: F.trim(_unquote(x)))
     return F.transform(
         names,
         lambda n, i: F.when(
@@ -56,42 +64,65 @@ def _header_names(header: Column) -> Column:
     )
 
 
-def _cast_fails(schema: StructType, key: Column, value: Column) -> Column:
-    """True when ``value`` is under an unknown header or does not cast to the
-    field's type."""
-    expr = None
-    for f in schema.fields:
-        if isinstance(f.dataType, StringType):
-            test = F.lit(False)
-        else:
-            test = value.try_cast(f.dataType).isNull()
-        expr = F.when(key == f.name, test) if expr is None else expr.when(key == f.name, test)
-    return expr.otherwise(F.lit(True)) if expr is not None else F.lit(True)
+def _cell(cells: Column, pos: Column) -> Column:
+    """Cell at a 1-based position, NULL when absent, empty or position 0."""
+    return F.nullif(F.when(pos > 0, F.try_element_at(cells, pos)), F.lit(""))
 
 
 def parse_by_header(files: DataFrame, schema: StructType, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of whole-file text mapped by each file's header to ``schema`` plus
-    ``_rescued_data``; ``keep`` columns of the file row are carried along."""
-    lines = F.filter(F.split(F.col(text), r"\r?\n"), lambda x: F.length(F.trim(x)) > 0)
-    per_file = files.select(*keep, _header_names(F.element_at(lines, 1)).alias("_hdr"), F.slice(lines, 2, 1 << 30).alias("_lines"))
-    rows = per_file.select(*keep, "_hdr", F.explode("_lines").alias("_line")).select(*keep, "_hdr", _cells(F.col("_line")).alias("_c"))
-    n_h, n_c = F.size("_hdr"), F.size("_c")
-    extra_names = F.transform(F.sequence(F.lit(1), F.greatest(n_c - n_h, F.lit(0))), lambda i: F.concat(F.lit(EXTRA_PREFIX), i.cast("string")))
-    keys = F.when(n_c > n_h, F.concat("_hdr", extra_names)).otherwise(F.col("_hdr"))
-    padded = F.when(n_c < n_h, F.concat("_c", F.array_repeat(F.lit(None).cast("string"), n_h - n_c))).otherwise(F.col("_c"))
-    keys = F.when(n_c > n_h, keys).otherwise(F.slice("_hdr", 1, n_h))
-    m = F.map_from_arrays(keys, F.slice(padded, 1, F.size(keys)))
-    mapped = rows.select(*keep, m.alias("_m"))
-    rescued = F.map_filter("_m", lambda k, v: v.isNotNull() & _cast_fails(schema, k, v))
-    fields = [
-        (F.col("_m")[f.name] if isinstance(f.dataType, StringType) else F.col("_m")[f.name].try_cast(f.dataType)).alias(f.name)
+    ``_rescued_data``; ``keep`` columns of the file row are carried along.
+
+    Work that depends only on the header (names, the position of every field,
+    the positions of unknown columns) is done once per file; per row there are
+    only positional lookups and casts, which stay in generated code.
+    """
+    known = [f.name for f in schema.fields]
+    lines = F.split(F.col(text), r"\r?\n")
+    hdr = _header_names(F.element_at(lines, 1))
+    per_file = files.select(*keep, lines.alias("_lines"), hdr.alias("_hdr")).select(
+        *keep,
+        "_lines",
+        "_hdr",
+        *[F.array_position("_hdr", n).cast("int").alias(f"_p{i}") for i, n in enumerate(known)],
+        F.filter(
+            F.sequence(F.lit(1), F.greatest(F.size("_hdr"), F.lit(1))),
+            lambda i: (i <= F.size("_hdr")) & ~F.array_contains(F.array(*[F.lit(n) for n in known]), F.element_at("_hdr", i)),
+        ).alias("_unknown"),
+    )
+    pos_cols = [f"_p{i}" for i in range(len(known))]
+    rows = per_file.select(*keep, "_hdr", "_unknown", *pos_cols, F.posexplode("_lines").alias("_ln", "_line")).where(
+        (F.col("_ln") > 0) & (F.length(F.trim("_line")) > 0)
+    )
+    rows = rows.select(*keep, "_hdr", "_unknown", *pos_cols, _cells(F.col("_line")).alias("_c"))
+
+    cells = {n: _cell(F.col("_c"), F.col(p)) for n, p in zip(known, pos_cols)}
+    typed = {
+        f.name: (cells[f.name] if isinstance(f.dataType, StringType) else cells[f.name].try_cast(f.dataType))
+        for f in schema.fields
+    }
+    bad = [
+        F.when(cells[f.name].isNotNull() & typed[f.name].isNull(), F.struct(F.lit(f.name).alias("k"), cells[f.name].alias("v")))
         for f in schema.fields
+        if not isinstance(f.dataType, StringType)
     ]
-    return mapped.select(
-        *keep,
-        *fields,
-        F.when(F.size(rescued) > 0, F.to_json(rescued)).alias("_rescued_data"),
+    unknown = F.transform(
+        F.filter("_unknown", lambda i: _cell(F.col("_c"), i).isNotNull()),
+        lambda i: F.struct(F.element_at("_hdr", i).alias("k"), _cell(F.col("_c"), i).alias("v")),
+    )
+    n_h, n_c = F.size("_hdr"), F.size("_c")
+    extra = F.transform(
+        F.filter(F.sequence(n_h + 1, F.greatest(n_c, n_h + 1)), lambda i: (i <= n_c) & _cell(F.col("_c"), i).isNotNull()),
+        lambda i: F.struct(F.concat(F.lit(EXTRA_PREFIX), (i - n_h).cast("string")).alias("k"), _cell(F.col("_c"), i).alias("v")),
     )
+    any_bad = F.lit(False)
+    for b in bad:
+        any_bad = any_bad | b.isNotNull()
+    has_unknown = (F.size("_unknown") > 0) | (n_c > n_h)
+    entries = F.concat(F.filter(F.array(*bad), lambda x: x.isNotNull()), unknown, extra)
+    rescued = F.when(any_bad | has_unknown, F.to_json(F.map_from_entries(entries)))
+    out = rows.select(*keep, *[typed[n].alias(n) for n in known], rescued.alias("_rescued_data"))
+    return out.withColumn("_rescued_data", F.when(F.col("_rescued_data") != "{}", F.col("_rescued_data")))
 
 
 def with_path_parts(df: DataFrame, path: str = "source_file") -> DataFrame:

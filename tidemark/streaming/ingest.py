@@ -5,11 +5,12 @@
 processed once, in micro-batches, and the query stops when it has caught up.
 Per micro-batch (``foreachBatch``):
 
-* the batch is persisted once, so the emptiness test, the bronze write and
-  the FILE log rows share one parse;
+* the batch is persisted and counted once, so the emptiness test, the bronze
+  write and the FILE log rows share one parse;
 * an empty batch is skipped;
-* rows are written to ``<bronze>/batch_id=<id>`` with overwrite, partitioned by
-  account and snapshot date — a replayed batch (after a failure between the
+* rows are hash-partitioned by (account, snapshot date) and written to
+  ``<bronze>/batch_id=<id>`` with overwrite, partitioned by the same columns,
+  so each snapshot lands in one file; a replayed batch (after a failure between the
   write and the checkpoint commit) rewrites the same folder instead of
   appending twice;
 * FILE events (rows and rescued rows per file) are appended to the log.
@@ -76,11 +77,14 @@ def batch_writer(bronze_path: str, log_path: str | None, ctx: LogContext, run_ts
         started = datetime.now(timezone.utc)
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            n = batch.count()  # one job fills the cache and answers "empty?"
+            if n == 0:
                 return
-            n = batch.count()
             (
-                batch.write.mode("overwrite")
+                # one task per (account, date) folder: one file per snapshot
+                # instead of one per task and folder
+                batch.repartition(*BRONZE_PARTITIONS)
+                .write.mode("overwrite")
                 .partitionBy(*BRONZE_PARTITIONS)
                 .parquet(f"{bronze_path.rstrip('/')}/batch_id={batch_id}")
             )
