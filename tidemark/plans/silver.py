@@ -110,3 +110,17 @@ class Silver:
     @cached_property
     def gold(self) -> DataFrame:
         return rollup.account_type_state(self.scd2, self.obtained, self.upgrades, self.first_seen, self.lookup)
+
+    LAYERS = (
+        "staged", "classified", "quarantine", "final", "losers", "id_map", "keyed", "lookup", "registry",
+        "current", "first_seen", "history", "scd2", "obtained", "upgrades", "gold",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Every layer as a temporary view (lazy: a view is its plan, run
+        when read), so SQL users can query ``<prefix><layer>``."""
+        names = []
+        for layer in self.LAYERS:
+            getattr(self, layer).createOrReplaceTempView(prefix + layer)
+            names.append(prefix + layer)
+        return names
