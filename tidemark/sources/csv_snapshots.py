@@ -46,12 +46,6 @@ def _split(line: Column) -> Column:
     return F.when(F.instr(line, QUOTE) > 0, F.split(line, _SPLIT_OUTSIDE_QUOTES)).otherwise(F.split(line, SEP))
 
 
-def _cells(line: Column) -> Column:
-    """Cells of a data line; only lines with a quote run the unquote lambda."""
-    quoted = F.transform(F.split(line, _SPLIT_OUTSIDE_QUOTES), _unquote)
-    return F.when(F.instr(line, QUOTE) > 0, quoted).otherwise(F.split(line, SEP))
-
-
 def _header_names(header: Column) -> Column:
     """Header cells, trimmed; a repeated name gets ``_<position>`` appended."""
     names = F.transform(_split(header), lambda x: F.trim(_unquote(x)))
@@ -64,65 +58,113 @@ def _header_names(header: Column) -> Column:
     )
 
 
+# cells of quoted lines are re-joined with a control character that cannot
+# occur in a line of a text file split on line breaks
+_CELL_JOIN = "\u0001"
+
+
 def _cell(cells: Column, pos: Column) -> Column:
-    """Cell at a 1-based position, NULL when absent, empty or position 0."""
-    return F.nullif(F.when(pos > 0, F.try_element_at(cells, pos)), F.lit(""))
+    """Cell at a 1-based position, NULL when absent, empty or position 0.
+    (A CASE rather than nullif: Spark 4 turns nullif into a shared
+    subexpression column, and ~30 of them exceed the field limit of
+    generated code.)"""
+    raw = F.when(pos > 0, F.try_element_at(cells, pos))
+    return F.when(F.length(raw) > 0, raw)
+
+
+def _unquoted_cells(line: Column) -> Column:
+    return F.transform(_split(line), _unquote)
+
+
+def _fragment(name: Column, value: Column) -> Column:
+    """``"name":"value"`` with JSON escaping (the body of a one-key object):
+    each side is a one-element JSON array with its brackets cut off."""
+    key = F.to_json(F.array(name))
+    val = F.to_json(F.array(value))
+    return F.concat(F.substring(key, 2, F.length(key) - 2), F.lit(":"), F.substring(val, 2, F.length(val) - 2))
 
 
 def parse_by_header(files: DataFrame, schema: StructType, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of whole-file text mapped by each file's header to ``schema`` plus
     ``_rescued_data``; ``keep`` columns of the file row are carried along.
 
-    Work that depends only on the header (names, the position of every field,
-    the positions of unknown columns) is done once per file; per row there are
-    only positional lookups and casts, which stay in generated code.
+    Everything that needs a lambda runs once per file, and only for files
+    that need it: header names and field positions; unquoting (files with a
+    quote get their quoted lines' cells unquoted and re-joined with a control
+    character); JSON fragments for cells under unknown headers or beyond the
+    header.  The per-row projection is then positional lookups, casts and
+    string concatenation only, which stay in generated code (a lambda would
+    pull the whole projection out of it).
     """
     known = [f.name for f in schema.fields]
+    known_arr = F.array(*[F.lit(n) for n in known])
     lines = F.split(F.col(text), r"\r?\n")
-    hdr = _header_names(F.element_at(lines, 1))
-    per_file = files.select(*keep, lines.alias("_lines"), hdr.alias("_hdr")).select(
+    per_file = files.select(
         *keep,
-        "_lines",
-        "_hdr",
+        lines.alias("_lines"),
+        _header_names(F.element_at(lines, 1)).alias("_hdr"),
+        (F.instr(F.col(text), QUOTE) > 0).alias("_quoted"),
+    )
+    n_h = F.size("_hdr")
+    unknown_pos = F.filter(
+        F.sequence(F.lit(1), F.greatest(n_h, F.lit(1))),
+        lambda i: (i <= n_h) & ~F.array_contains(known_arr, F.element_at("_hdr", i)),
+    )
+    per_file = per_file.select(
+        *keep, "_lines", "_hdr", "_quoted",
         *[F.array_position("_hdr", n).cast("int").alias(f"_p{i}") for i, n in enumerate(known)],
-        F.filter(
-            F.sequence(F.lit(1), F.greatest(F.size("_hdr"), F.lit(1))),
-            lambda i: (i <= F.size("_hdr")) & ~F.array_contains(F.array(*[F.lit(n) for n in known]), F.element_at("_hdr", i)),
-        ).alias("_unknown"),
+        unknown_pos.alias("_unknown"),
+    )
+
+    def line_fragment(line: Column) -> Column:
+        c = _unquoted_cells(line)
+        unk = F.transform(
+            F.filter("_unknown", lambda i: _cell(c, i).isNotNull()),
+            lambda i: _fragment(F.element_at("_hdr", i), _cell(c, i)),
+        )
+        ext = F.transform(
+            F.filter(F.sequence(n_h + 1, F.greatest(F.size(c), n_h + 1)), lambda i: (i <= F.size(c)) & _cell(c, i).isNotNull()),
+            lambda i: _fragment(F.concat(F.lit(EXTRA_PREFIX), (i - n_h).cast("string")), _cell(c, i)),
+        )
+        joined = F.array_join(F.concat(unk, ext), ",")
+        return F.when(F.length(joined) > 0, joined)
+
+    needs = (F.size("_unknown") > 0) | F.exists("_lines", lambda ln: F.size(_split(ln)) > n_h)
+    frags = F.when(needs, F.transform("_lines", line_fragment)).otherwise(
+        F.array_repeat(F.lit(None).cast("string"), F.size("_lines"))
     )
+    clean = F.when(
+        F.col("_quoted"),
+        F.transform(
+            "_lines",
+            lambda ln: F.when(F.instr(ln, QUOTE) > 0, F.array_join(_unquoted_cells(ln), _CELL_JOIN, "")).otherwise(
+                F.replace(ln, F.lit(SEP), F.lit(_CELL_JOIN))
+            ),
+        ),
+    ).otherwise(F.col("_lines"))
     pos_cols = [f"_p{i}" for i in range(len(known))]
-    rows = per_file.select(*keep, "_hdr", "_unknown", *pos_cols, F.posexplode("_lines").alias("_ln", "_line")).where(
-        (F.col("_ln") > 0) & (F.length(F.trim("_line")) > 0)
+    zipped = F.arrays_zip(F.col("_lines").alias("line"), clean.alias("cells"), frags.alias("frag"))
+    split_cells = F.when(F.col("_quoted"), F.split(F.col("_z.cells"), _CELL_JOIN)).otherwise(F.split(F.col("_z.cells"), SEP))
+    rows = (
+        per_file.select(*keep, "_quoted", *pos_cols, F.posexplode(zipped).alias("_ln", "_z"))
+        .where((F.col("_ln") > 0) & (F.length(F.trim("_z.line")) > 0))
+        .select(*keep, *pos_cols, split_cells.alias("_c"), F.col("_z.frag").alias("_frag"))
     )
-    rows = rows.select(*keep, "_hdr", "_unknown", *pos_cols, _cells(F.col("_line")).alias("_c"))
-
-    cells = {n: _cell(F.col("_c"), F.col(p)) for n, p in zip(known, pos_cols)}
+    # one projection of the cell values, read by the casts and the rescued text
+    rows = rows.select(*keep, *[_cell(F.col("_c"), F.col(p)).alias(f"_v{i}") for i, p in enumerate(pos_cols)], "_frag")
+    cells = {n: F.col(f"_v{i}") for i, n in enumerate(known)}
     typed = {
         f.name: (cells[f.name] if isinstance(f.dataType, StringType) else cells[f.name].try_cast(f.dataType))
         for f in schema.fields
     }
     bad = [
-        F.when(cells[f.name].isNotNull() & typed[f.name].isNull(), F.struct(F.lit(f.name).alias("k"), cells[f.name].alias("v")))
+        F.when(cells[f.name].isNotNull() & typed[f.name].isNull(), _fragment(F.lit(f.name), cells[f.name]))
         for f in schema.fields
         if not isinstance(f.dataType, StringType)
     ]
-    unknown = F.transform(
-        F.filter("_unknown", lambda i: _cell(F.col("_c"), i).isNotNull()),
-        lambda i: F.struct(F.element_at("_hdr", i).alias("k"), _cell(F.col("_c"), i).alias("v")),
-    )
-    n_h, n_c = F.size("_hdr"), F.size("_c")
-    extra = F.transform(
-        F.filter(F.sequence(n_h + 1, F.greatest(n_c, n_h + 1)), lambda i: (i <= n_c) & _cell(F.col("_c"), i).isNotNull()),
-        lambda i: F.struct(F.concat(F.lit(EXTRA_PREFIX), (i - n_h).cast("string")).alias("k"), _cell(F.col("_c"), i).alias("v")),
-    )
-    any_bad = F.lit(False)
-    for b in bad:
-        any_bad = any_bad | b.isNotNull()
-    has_unknown = (F.size("_unknown") > 0) | (n_c > n_h)
-    entries = F.concat(F.filter(F.array(*bad), lambda x: x.isNotNull()), unknown, extra)
-    rescued = F.when(any_bad | has_unknown, F.to_json(F.map_from_entries(entries)))
-    out = rows.select(*keep, *[typed[n].alias(n) for n in known], rescued.alias("_rescued_data"))
-    return out.withColumn("_rescued_data", F.when(F.col("_rescued_data") != "{}", F.col("_rescued_data")))
+    body = F.concat_ws(",", *bad, F.col("_frag"))
+    rescued = F.when(body != "", F.concat(F.lit("{"), body, F.lit("}")))
+    return rows.select(*keep, *[typed[n].alias(n) for n in known], rescued.alias("_rescued_data"))
 
 
 def with_path_parts(df: DataFrame, path: str = "source_file") -> DataFrame:
