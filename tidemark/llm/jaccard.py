@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import partials
@@ -41,7 +41,9 @@ WORDS = 5
 #: Size of the table of shingle counts, and of the bitmap of wanted classes (bits).
 COUNT_BITS, WANTED_BITS = 21, 24
 #: Neighbours that a row meets in each of the first two rounds, and rows of one shingle that stay in one task.
-NEAR, TOGETHER = (6, 16), 100_000
+NEAR, TOGETHER = (2, 12), 100_000
+#: Rows of a common shingle that form one block when its pairs are verified.
+BLOCK = 4_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -126,7 +128,7 @@ class Join:
             done: set[int] = set()  # classes of this task whose rows are out
             for batch in batches:
                 for _, sets in _each_set(batch, words):
-                    columns: list[list[np.ndarray]] = [[], [], [], [], []]
+                    columns: list[list[np.ndarray]] = [[], [], [], []]
                     for grams in sets:
                         n = len(grams)
                         if not n:
@@ -140,10 +142,12 @@ class Join:
                         take = n - need(share, n) + 1
                         levels = rank[(grams & np.uint64(len(rank) - 1)).astype(np.int64)]
                         order = np.argsort(levels, kind="stable")[:take]  # sets are sorted: ties by hash
-                        for c, v in zip(columns, (grams[order].astype(np.int64), np.full(take, cls), np.full(take, n, np.int32), np.arange(take, dtype=np.int32), levels[order].astype(np.int16)), strict=True):
+                        # 56 bits of the shingle and its level: enough to make candidates
+                        packed = (grams[order] & ~np.uint64(255) | levels[order]).astype(np.int64)
+                        for c, v in zip(columns, (packed, np.full(take, cls), np.full(take, n, np.int32), np.arange(take, dtype=np.int32)), strict=True):
                             c.append(v)
                     if columns[0]:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["gram", "cls", "n", "pos", "level"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=_COLUMNS)
 
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in _runs(batches, None):
@@ -151,28 +155,27 @@ class Join:
                 if several.any():
                     yield pa.RecordBatch.from_arrays([pa.array(rows[c][several]) for c in _COLUMNS], names=_COLUMNS)
 
-        schema = "gram bigint, cls bigint, n int, pos int, level smallint"
+        schema = "gram bigint, cls bigint, n int, pos int"
         rows = self.src.mapInArrow(run, schema).repartition("gram").sortWithinPartitions("gram", "n", "cls")
-        self.rows = write_table(self.spark, rows.mapInArrow(shared, schema), "prefixes")
+        before = F.lag("gram").over(Window.partitionBy("cls").orderBy("pos"))
+        self.rows = write_table(self.spark, rows.mapInArrow(shared, schema).withColumn("before", F.coalesce(before, F.col("cls"))), "prefixes")
 
     # -- candidates and their verification
 
     def candidates(self, comp: DataFrame | None, near: int | None, turn: int) -> DataFrame:
-        """Distinct pairs (a < b): rows of a shingle with their next ``near`` rows (None: with all),
-        of different components where these are given, that pass the length and positional filters."""
+        """Distinct pairs (a < b, and a shingle that both prefixes have): rows of a shingle with their
+        next ``near`` rows (None: with all), of different components where these are given, that pass
+        the length and positional filters."""
         share = self.share
         rows = self.rows
         if comp is None:
             rows = rows.withColumn("comp", F.col("cls"))
         else:
             rows = rows.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        if near is None:
-            cell, order = F.lit(0), ["n", "cls"]
-        else:  # a very common shingle's rows are split, in another way each turn
-            estimate = F.pow(F.lit(2.0), F.col("level") / 8)
-            cell = F.pmod(F.xxhash64("cls", F.lit(turn)), (1 + F.floor(estimate / TOGETHER)).cast("bigint"))
-            order = ["n", "cls"] if turn == 0 else ["mix"]
-        rows = rows.select("gram", "cls", "n", "pos", "comp", cell.cast("bigint").alias("cell"), F.xxhash64("cls", F.lit(turn)).alias("mix"))
+        # a very common shingle's rows are split, in another way each turn
+        cell = F.lit(0).cast("bigint") if near is None else F.pmod(F.xxhash64("cls", F.lit(turn)), _blocks("gram", TOGETHER))
+        order = ["mix", "cls"] if turn == 1 else ["n", "cls"]
+        rows = rows.withColumns({"cell": cell, "mix": F.xxhash64("cls", F.lit(turn))})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in _runs(batches, near):
@@ -182,35 +185,35 @@ class Join:
                     same = (r["gram"][d:] == r["gram"][:-d]) & (r["cell"][d:] == r["cell"][:-d])
                     if not same.any():
                         break
-                    i = np.flatnonzero(same & (r["comp"][d:] != r["comp"][:-d]) & r["fresh"][d:])
+                    # a pair that shares the shared shingle before, too, has been made there
+                    again = r["before"][d:] == r["before"][:-d]
+                    i = np.flatnonzero(same & ~again & (r["comp"][d:] != r["comp"][:-d]) & r["fresh"][d:])
                     j = i + d
                     nx, ny = r["n"][i].astype(np.int64), r["n"][j].astype(np.int64)
                     least = -(-share * (nx + ny) // (100 + share))
-                    rest = 1 + np.minimum(nx - r["pos"][i], ny - r["pos"][j]) - 1
-                    # positional: what precedes this shingle in both prefixes may be shared as well
-                    before = np.minimum(r["pos"][i], r["pos"][j])
-                    ok = (100 * np.minimum(nx, ny) >= share * np.maximum(nx, ny)) & (before + rest >= least)
+                    # positional: what follows this shingle in the shorter rest, and what precedes it in both prefixes
+                    most = np.minimum(nx - r["pos"][i], ny - r["pos"][j]) + np.minimum(r["pos"][i], r["pos"][j])
+                    ok = (100 * np.minimum(nx, ny) >= share * np.maximum(nx, ny)) & (most >= least)
                     i, j = i[ok], j[ok]
                     if len(i):
                         x, y = r["cls"][i], r["cls"][j]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(r["gram"][i])], names=["a", "b", "gram"])
 
         placed = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", *order)
-        return placed.mapInArrow(run, "a bigint, b bigint").distinct()
+        return placed.mapInArrow(run, "a bigint, b bigint, gram bigint").groupBy("a", "b").agg(F.min("gram").alias("gram"))
 
-    def fetch_sets(self) -> None:
-        """Whole sets of the classes that share a prefix shingle, each once."""
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """(cls, grams): whole sets of the wanted classes, from another pass over the texts."""
         words = self.words
 
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.zeros(1 << (WANTED_BITS - 3), dtype=np.uint8)
             for batch in batches:
-                at = tk.splitmix(np.asarray(batch.column("cls")).astype(np.uint64)) & np.uint64((1 << WANTED_BITS) - 1)
-                np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+                at = _wanted_bit(np.asarray(batch.column("cls")))
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
             for chunk, part in partials.parts_of(bits):
                 yield partials.chunk_row(chunk, np.frombuffer(part, np.uint8))
 
-        wanted = self.rows.select("cls").distinct()
         bitmap = partials.collect_table(wanted.mapInArrow(mark, partials.SCHEMA), 1 << (WANTED_BITS - 3), np.uint8, np.bitwise_or)
         shared_bits = self.spark.sparkContext.broadcast(bitmap)  # 2 MB, a parameter
 
@@ -224,42 +227,58 @@ class Join:
                         if not len(grams):
                             continue
                         cls = set_key(grams)
-                        at = int(tk.splitmix(np.array([cls]).astype(np.uint64))[0]) & ((1 << WANTED_BITS) - 1)
+                        at = int(_wanted_bit(np.array([cls]))[0])
                         if cls in done or not bits[at >> 3] >> (at & 7) & 1:
                             continue
                         if len(done) > 1_000_000:
                             done.clear()
                         done.add(cls)
                         keys.append(cls)
-                        values.append(grams.tobytes())
+                        values.append(pack_set(grams))
                     if keys:
                         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.binary())], names=["cls", "grams"])
 
-        found = self.src.mapInArrow(run, "cls bigint, grams binary")
-        self.sets = write_table(self.spark, found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+        return self.src.mapInArrow(run, "cls bigint, grams binary")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sets are similar enough."""
+        """Pairs whose whole sets are similar enough.
+
+        Pairs of one shingle are verified together, so a set travels once per
+        shingle and not once per pair; the rows of a very common shingle are
+        divided into blocks, and each pair of blocks is a cell of its own.
+        """
         share = self.share
+        blocks = _blocks("gram", BLOCK)
+        cells = pairs.withColumns({"p": F.pmod(F.xxhash64("a"), blocks), "q": F.pmod(F.xxhash64("b"), blocks)})
+        both = cells.select("gram", "p", "q", F.col("a").alias("cls")).union(cells.select("gram", "p", "q", F.col("b").alias("cls")))
+        wanted = write_table(self.spark, both.distinct(), "cells")
+        # a class with copies may come from several tasks: the same set each time
+        sets = wanted.join(self.sets_of(wanted), "cls").select("gram", "p", "q", F.col("cls").alias("a"), F.lit(0).cast("bigint").alias("b"), F.lit(0).alias("kind"), "grams")
+        rows = sets.union(cells.select("gram", "p", "q", "a", "b", F.lit(1), F.lit(None).cast("binary")))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cell, held = None, {}
             for batch in batches:
-                keep = []
-                for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                    p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                    least = -(-share * (len(p) + len(q)) // (100 + share))
-                    keep.append(_suffix_bound(p, q) >= least and _overlap(p, q) >= least)
-                kept = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-                if kept.num_rows:
-                    yield kept
-
-        x = self.sets.select(F.col("cls").alias("a"), F.col("grams").alias("x"))
-        y = self.sets.select(F.col("cls").alias("b"), F.col("grams").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+                keep_a, keep_b = [], []
+                columns = [batch.column(c).to_pylist() for c in ("gram", "p", "q", "a", "b", "kind")]
+                for k, (g, p, q, a, b, kind) in enumerate(zip(*columns, strict=True)):
+                    if (g, p, q) != cell:
+                        cell, held = (g, p, q), {}
+                    if not kind:
+                        held[a] = unpack_set(batch.column("grams")[k].as_buffer())
+                        continue
+                    x, y = held[a], held[b]
+                    least = -(-share * (len(x) + len(y)) // (100 + share))
+                    if _suffix_bound(x, y) >= least and _overlap(x, y) >= least:
+                        keep_a.append(a)
+                        keep_b.append(b)
+                if keep_a:
+                    yield pa.RecordBatch.from_arrays([pa.array(keep_a, pa.int64()), pa.array(keep_b, pa.int64())], names=["a", "b"])
+
+        return rows.repartition("gram", "p", "q").sortWithinPartitions("gram", "p", "q", "kind").mapInArrow(run, "a bigint, b bigint")
 
     def links(self) -> DataFrame:
         """Components (node, component) of linked classes."""
-        self.fetch_sets()
         linked, tried, comp = None, None, None
         for turn, near in enumerate((*NEAR, None)):
             pairs = self.candidates(comp, near, turn)
@@ -267,7 +286,7 @@ class Join:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = write_table(self.spark, pairs, "pairs")
             found = write_table(self.spark, self.verify(pairs), "links")
-            tried = pairs if tried is None else tried.union(pairs)
+            tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
             linked = found if linked is None else linked.union(found)
             comp = connected_components(self.spark, linked)
         return comp
@@ -285,7 +304,7 @@ class Join:
         return self.docs.join(named, "cls", "left").select("key", "n", F.coalesce("smallest", "key").alias("component"))
 
 
-_COLUMNS = ["gram", "cls", "n", "pos", "level"]
+_COLUMNS = ["gram", "cls", "n", "pos"]
 
 
 def _run_differs(gram: np.ndarray, cls: np.ndarray) -> np.ndarray:
@@ -318,15 +337,37 @@ def _runs(batches: Iterator[pa.RecordBatch], near: int | None) -> Iterator[dict[
         yield held
 
 
+def _blocks(gram: str, rows: int) -> Column:
+    """Into how many parts the rows of a shingle go, by the level in its low byte."""
+    estimate = F.pow(F.lit(2.0), F.col(gram).bitwiseAND(255) / 8)
+    return (1 + F.floor(estimate / rows)).cast("bigint")
+
+
+def _wanted_bit(cls: np.ndarray) -> np.ndarray:
+    return (tk.splitmix(cls.astype(np.int64).view(np.uint64)) & np.uint64((1 << WANTED_BITS) - 1)).astype(np.int64)
+
+
+def pack_set(grams: np.ndarray) -> bytes:
+    """A sorted set as the upper 48 bits of each hash; within two texts no two of them meet by chance."""
+    return (grams >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack_set(raw: bytes) -> np.ndarray:
+    packed = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(packed), 8), dtype=np.uint8)
+    wide[:, :6] = packed
+    return wide.view("<u8").ravel()
+
+
 def _overlap(p: np.ndarray, q: np.ndarray) -> int:
     at = np.searchsorted(p, q)
     at[at == len(p)] = 0
-    return int((p[at] == q).sum()) if len(p) else 0
+    return int((p[at] == q).sum())
 
 
 def _suffix_bound(p: np.ndarray, q: np.ndarray) -> int:
-    """Upper bound of the overlap: both sets are cut at sixteen common points of the hash range."""
-    cuts = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
+    """Upper bound of the overlap: both sets are cut at fifteen common points of the hash range."""
+    cuts = np.arange(1, 16, dtype=np.uint64) << np.uint64(44)
     a = np.diff(np.concatenate([[0], np.searchsorted(p, cuts), [len(p)]]))
     b = np.diff(np.concatenate([[0], np.searchsorted(q, cuts), [len(q)]]))
     return int(np.minimum(a, b).sum())
