@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, packing, transducer
+from tidemark.llm import bpe, content, jaccard, language, license, mixing, near_vectors, packing, rules, transducer
 from tidemark.llm.shared import ship_library
 from tidemark.sources import tables
 
@@ -31,6 +32,32 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    return mixing.score_texts(spark, docs, language.remainder("doc_id", 7) != 2)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.apply_rules(load_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.remainder("doc_id", 5) == 0
+    prototypes = language.train(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content.extract(load_table(spark, sf_dir, "pages"))
+
+
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(spark, load_table(spark, sf_dir, "embeddings"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(spark, load_table(spark, sf_dir, "documents"))
 
@@ -40,7 +67,27 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan_licenses(load_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_packing, op8_ngram_jaccard, op9_token_counts)
+    f.__name__: f for f in (
+        op1_byte_bpe,
+        op2_packing,
+        op3_context_mixing,
+        op4_quality_rules,
+        op5_language_id,
+        op6_html_extraction,
+        op7_near_vectors,
+        op8_ngram_jaccard,
+        op9_token_counts,
+        op10_license_scan,
+        pipeline,
+    )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_quality_rules": rules.oracle()}
