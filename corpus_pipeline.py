@@ -32,7 +32,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return rules.apply_rules(docs).where("kept").select(docs.columns)
+    # the row number keeps the optimizer from copying the whole projection into a filter below it
+    judged = rules.apply_rules(docs).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,7 +115,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     if {"lang_pred", "score"} & set(docs.columns):
         raise ValueError("columns lang_pred and score are taken")
     names = sorted(prototypes)
-    matrix = np.array([prototypes[n] for n in names], dtype=np.float64).reshape(len(names), -1)
+    matrix = np.array([prototypes[n] for n in names], dtype=np.float64).reshape(len(names), DIMENSIONS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_vectors()

@@ -48,8 +48,8 @@ class Rule:
 
 #: Production thresholds: length, symbol, stop-word and line ratios.
 RULES = (
-    Rule("word_length", "word_chars / n_words", 2.0, 14.0),
-    Rule("symbols_per_word", "n_symbols / n_words", None, 0.25),
+    Rule("word_length", "word_chars / greatest(n_words, 1)", 2.0, 14.0),
+    Rule("symbols_per_word", "n_symbols / greatest(n_words, 1)", None, 0.25),
     Rule("stop_words", "n_stop_words", 2, None),
     Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", None, 0.5),
     Rule("bullet_lines", "n_bullet_lines / greatest(n_lines, 1)", None, 0.9),
