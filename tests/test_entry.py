@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import __spark_entry__ as entry
 
+from tidemark.plans.catalog import ORACLE, QUERIES
+
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
@@ -11,7 +13,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_but_run_log():
+    assert set(QUERIES) - set(ORACLE) == {"run_log"}
+    assert set(ORACLE) <= set(QUERIES)
+
+
+def test_entry_adds_to_the_base_queries_only():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) - set(o) == {"run_log"}
-    assert set(o) <= set(q)
-    assert not any(name.startswith("op") or name == "pipeline" for name in q)
+    assert {k: q[k] for k in QUERIES} == QUERIES and set(o) <= set(q)
+    assert all(name.startswith("op") or name == "pipeline" for name in set(q) - set(QUERIES))

@@ -107,11 +107,12 @@ def test_failed_run_is_logged_and_raised(spark):
 
 
 def test_log_write_failure_is_swallowed(spark):
-    from tidemark.streaming.opslog import LogContext, append_best_effort, run_event
+    from tidemark.streaming.opslog import Run, append_best_effort, run_event
 
-    ctx = LogContext("t", "bronze", "p", "r", base_context={"a": 1})
+    ctx = Run("r", "t", "p", notes={"a": 1})
     ev = run_event(spark, ctx, run_ts=dt.datetime(2024, 1, 1), status="SUCCESS", started=dt.datetime(2024, 1, 1),
-                   event_context={"a": 2, "b": 3})
+                   event_context={"a": 2, "b": 3}, message="x" * 5000)
+    assert len(ev.first().message) == 5000
     assert ev.first().context_json == '{"a":2,"b":3}'
     bad = "/proc/not-writable/log"
     assert append_best_effort(ev, bad) is False

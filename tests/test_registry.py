@@ -55,3 +55,26 @@ def test_merge_rejects_duplicate_source_keys(spark):
         state.merge_by_key(a, b, ["k"]).collect()
     c = spark.createDataFrame([(1, "y"), (2, "z")], "k int, v string")
     assert sorted(state.merge_by_key(a, c, ["k"]).collect()) == [(1, "y"), (2, "z")]
+
+
+DAY = dt.date(2024, 1, 1)
+
+
+def at(hour):
+    return dt.datetime(2024, 1, 2, hour)
+
+
+def _keyed(spark, rows):
+    return spark.createDataFrame(rows, "account string, source_file string, snapshot_ts timestamp, snapshot_date date, snapshot_version int")
+
+
+def test_reingested_file_is_registered_once(spark):
+    keyed = _keyed(spark, [("a", "f1", at(1), DAY, 1), ("a", "f1", at(3), DAY, 1), ("a", "f2", at(2), DAY, 2)])
+    rows = registry.register_snapshots(keyed).orderBy("snapshot_order_no").collect()
+    assert [(r.source_file, r.snapshot_order_no) for r in rows] == [("f1", 1), ("f2", 2)]
+
+
+def test_old_ingest_time_and_long_version_are_kept(spark):
+    state = registry.register_snapshots(_keyed(spark, [("a", "f9999", at(5), DAY, 9999)]))
+    later = registry.register_snapshots(_keyed(spark, [("a", "f10000", at(1), DAY, 10000), ("a", "f1", at(1), DAY, 1)]), state)
+    assert {r.source_file: r.is_out_of_order for r in later.collect()} == {"f10000": False, "f1": True}

@@ -48,13 +48,12 @@ def version_id(keys: Sequence[ColumnOrName], valid_from: ColumnOrName) -> Column
 
 
 def event_sort_key(date: ColumnOrName, version: ColumnOrName, source_file: ColumnOrName) -> Column:
-    """``yyyyMMdd-vvvv-file``; versions above 9999 would be cut by the pad, so
-    they fail the job instead of sorting wrongly."""
-    v = col(version)
-    padded = F.lpad(v.cast("string"), SORT_KEY_VERSION_WIDTH, "0")
-    limit = 10**SORT_KEY_VERSION_WIDTH - 1
-    guarded = F.when(v > F.lit(limit), F.raise_error(F.lit(f"snapshot_version above {limit}"))).otherwise(padded)
-    return F.concat(F.date_format(col(date), SORT_KEY_DATE_FORMAT), F.lit("-"), guarded, F.lit("-"), col(source_file))
+    """``yyyyMMdd-vvvv-file``.  The version has four digits, or all of its own when it has more; a
+    longer one is preceded by ``~`` for each further digit, so keys still sort by version."""
+    digits = col(version).cast("string")
+    more = F.greatest(F.length(digits) - SORT_KEY_VERSION_WIDTH, F.lit(0))
+    padded = F.concat(F.repeat(F.lit("~"), more), F.lpad(digits, F.greatest(F.length(digits), F.lit(SORT_KEY_VERSION_WIDTH)), "0"))
+    return F.concat(F.date_format(col(date), SORT_KEY_DATE_FORMAT), F.lit("-"), padded, F.lit("-"), col(source_file))
 
 
 def row_changed(a: Column, b: Column) -> Column:

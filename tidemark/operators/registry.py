@@ -6,13 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import event_sort_key, ntz
+from tidemark.functions.expressions import event_sort_key
 from tidemark.functions.sequence import sequence_within
 from tidemark.schema import HISTORY_KEYS, TRACKED
 
 # fixed values: first-run defaults of the per-account watermark
 FIRST_RUN_ORDER_NO = 0
-FIRST_RUN_TS = "1900-01-01 00:00:00"
 FIRST_RUN_SORT_KEY = "00000000-0000-"
 
 REGISTRY_COLUMNS = [
@@ -28,8 +27,9 @@ REGISTRY_COLUMNS = [
 
 
 def snapshot_files(keyed: DataFrame) -> DataFrame:
-    """distinct snapshot files (map-side distinct before the shuffle)."""
-    return keyed.select("account", "source_file", "snapshot_ts", "snapshot_date", "snapshot_version").distinct()
+    """distinct snapshot files, one row each; a file that was ingested more than once has its latest time."""
+    latest = [F.max(c).alias(c) for c in ("snapshot_ts", "snapshot_date", "snapshot_version")]
+    return keyed.groupBy("account", "source_file").agg(*latest)
 
 
 def register_snapshots(keyed: DataFrame, state: DataFrame | None = None) -> DataFrame:
@@ -37,8 +37,8 @@ def register_snapshots(keyed: DataFrame, state: DataFrame | None = None) -> Data
 
     * accounts without state start from the first-run defaults (a left join, so
       an account first seen on a later run is not lost);
-    * files already registered are skipped, and only files newer than the
-      account's latest ingest time are taken;
+    * files already registered are skipped; every other file is taken, however
+      old its ingest time is (below the account's maximum it is marked late);
     * order numbers continue the account's sequence by (date, version, file),
       numbered per (account, date) and offset by a prefix sum over dates;
     * a file is late when its sort key is below the account's earlier maximum.
@@ -48,14 +48,12 @@ def register_snapshots(keyed: DataFrame, state: DataFrame | None = None) -> Data
         new = files.withColumns(
             {
                 "max_order_no": F.lit(FIRST_RUN_ORDER_NO).cast("bigint"),
-                "max_ts": ntz(FIRST_RUN_TS),
                 "max_sort_key": F.lit(FIRST_RUN_SORT_KEY),
             }
         )
     else:
         marks = state.groupBy("account").agg(
             F.max("snapshot_order_no").cast("bigint").alias("max_order_no"),
-            F.max("snapshot_ts").alias("max_ts"),
             F.max("event_sort_key").alias("max_sort_key"),
         )
         new = (
@@ -64,12 +62,10 @@ def register_snapshots(keyed: DataFrame, state: DataFrame | None = None) -> Data
             .withColumns(
                 {
                     "max_order_no": F.coalesce("max_order_no", F.lit(FIRST_RUN_ORDER_NO).cast("bigint")),
-                    "max_ts": F.coalesce("max_ts", ntz(FIRST_RUN_TS)),
                     "max_sort_key": F.coalesce("max_sort_key", F.lit(FIRST_RUN_SORT_KEY)),
                 }
             )
         )
-    new = new.where(F.col("snapshot_ts") > F.col("max_ts"))
     numbered = sequence_within(
         new,
         keys=["account"],

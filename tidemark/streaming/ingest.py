@@ -34,7 +34,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, CONTRACT_VERSION, SNAPSHOT_SCHEMA
 from tidemark.sources.csv_snapshots import parse_by_header, stamp, with_path_parts
-from tidemark.streaming.opslog import LogContext, Status, append_best_effort, file_events, run_event
+from tidemark.streaming.opslog import Run, Status, append_best_effort, file_events, run_event
 
 BRONZE_PARTITIONS = ["AccountName", "snapshot_date"]
 
@@ -70,7 +70,7 @@ class IngestResult:
     batches: list[int] = field(default_factory=list)
 
 
-def batch_writer(bronze_path: str, log_path: str | None, ctx: LogContext, run_ts: datetime, result: IngestResult):
+def batch_writer(bronze_path: str, log_path: str | None, ctx: Run, run_ts: datetime, result: IngestResult):
     """B2-B3 + C4: the per-micro-batch function for ``foreachBatch``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -116,15 +116,7 @@ def run_ingest(
     """B1 + C7-C8: one bounded run; returns status and counts."""
     run_id = run_id or str(uuid.uuid4())
     started = run_ts or datetime.now(timezone.utc)
-    ctx = LogContext(
-        target_table=target_table,
-        layer="bronze",
-        pipeline_name="ingest_snapshots",
-        run_id=run_id,
-        checkpoint_location=checkpoint,
-        schema_location=None,
-        base_context={"trigger": "availableNow"},
-    )
+    ctx = Run(run_id, target_table, "ingest_snapshots", progress_at=checkpoint, notes={"trigger": "availableNow"})
     result = IngestResult(run_id=run_id, status=Status.STARTED)
     try:
         stream = bronze_rows(snapshot_stream(spark, landing, max_files_per_trigger), run_id, run_ts)
