@@ -35,10 +35,11 @@ def test_two_runs_late_new_account_same_file(spark):
     assert latest == {"a1": "a1/f8", "b2": "b2/f1"}
 
 
-def test_sort_key_fails_above_four_digit_version(spark):
-    df = _files(spark, [("a1", "a1/f1", dt.date(2024, 1, 1), ts(2), 10000)])
-    with pytest.raises(Exception):
-        registry.register_snapshots(df).collect()
+def test_sort_key_orders_versions_of_any_length(spark):
+    versions = [0, 7, 9999, 10000, 99999, 100000]
+    df = _files(spark, [("a1", f"a1/f{v}", dt.date(2024, 1, 1), ts(2), v) for v in versions])
+    rows = registry.register_snapshots(df).orderBy("event_sort_key").collect()
+    assert [r.snapshot_version for r in rows] == versions
 
 
 def test_sequence_next_ts_crosses_dates(spark):
