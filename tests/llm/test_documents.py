@@ -82,7 +82,7 @@ def test_jaccard_components_equal_brute_force(spark, work, families):
 def test_jaccard_blocks_and_windows_lose_nothing(spark, work, families, monkeypatch):
     monkeypatch.setattr(jaccard, "TOGETHER", 5)
     monkeypatch.setattr(jaccard, "BLOCK", 4)
-    monkeypatch.setattr(jaccard, "NEAR", (1, 1))
+    monkeypatch.setattr(jaccard, "NEAR", 1)
     df = spark.createDataFrame(rows_of(families), DOCUMENTS).repartition(4)
     found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark, df).collect()}
     assert found == brute_jaccard(families)[1]

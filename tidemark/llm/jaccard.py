@@ -6,8 +6,11 @@ are put in one order, rare first; two sets that are similar enough share a
 shingle within their first ``n - ceil(t * n) + 1`` (the prefix).  So prefixes
 are joined by shingle: rows of a shingle that only one class has are dropped,
 the others make candidate pairs, subject to the length filter, the positional
-filter and, when the sets are at hand, a suffix filter by binary partition.
-Every pair is verified once, exactly, from the whole sets.
+filter and a suffix filter.  That one bounds the difference of two sets from
+their parts: each row carries, for 1,024 parts of the hash range, whether its
+set has an odd number of shingles there, and where two sets disagree at least
+one shingle differs.  Every pair that is left is verified once, exactly, from
+the whole sets.
 
 Rarity comes from a table of counts of a fixed size (hashed, so a count may be
 too high).  Any common order gives right results; the table only makes
@@ -15,9 +18,10 @@ prefixes rare, and its size does not grow with the corpus.
 
 Linked classes are wanted as components, so a group of many near copies is not
 expanded into all its pairs: first each row of a shingle meets its next
-``NEAR`` neighbours, then components are formed, then rows meet neighbours of
-other components, and last every remaining pair of different components is
-made and verified.  No pair that could join two components is left out.
+``NEAR`` neighbours in an order drawn anew for each shingle, then components
+are formed, and last all rows of a shingle meet the rows of other components;
+a common shingle's rows are divided into blocks, and each pair of blocks is a
+cell of its own.  No pair that could join two components is left out.
 
 Edge cases: NULL, empty and wordless texts have an empty set and link with
 nothing; texts of one to four words have one shingle, the whole sequence;
@@ -40,10 +44,12 @@ from tidemark.llm.shared import connected_components, write_table
 WORDS = 5
 #: Size of the table of shingle counts, and of the bitmap of wanted classes (bits).
 COUNT_BITS, WANTED_BITS = 21, 24
-#: Neighbours that a row meets in each of the first two rounds, and rows of one shingle that stay in one task.
-NEAR, TOGETHER = (2, 12), 100_000
-#: Rows of a common shingle that form one block when its pairs are verified.
+#: Neighbours that a row meets in the first round, and rows of one shingle that stay in one task there.
+NEAR, TOGETHER = 4, 100_000
+#: Rows of a common shingle that form one block when all of them meet, and when pairs are verified.
 BLOCK = 4_000
+#: Parts of the hash range whose parities a set's sketch holds.
+PARITY_BITS = 1024
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -70,6 +76,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
     return out
 
 
+def parity_sketch(grams: np.ndarray) -> bytes:
+    """One bit for each part of the hash range: whether the set has an odd number of shingles there."""
+    counts = np.bincount((grams >> np.uint64(54)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def set_key(grams: np.ndarray) -> int:
     """64-bit key of a whole set (signed)."""
     mixed = tk.splitmix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) ^ np.uint64(len(grams) << 40)
@@ -107,16 +119,20 @@ class Join:
                     table += np.bincount((grams & np.uint64(len(table) - 1)).astype(np.int64), minlength=len(table)).astype(np.int32)
                     n = pa.array([len(s) for s in sets], pa.int64())
                     cls = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+                    sketch = pa.array([parity_sketch(s) if len(s) else None for s in sets], pa.binary())
                     nothing = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
-                    yield pa.RecordBatch.from_arrays([key, n, cls, *nothing], names=["key", "n", "cls", "chunk", "part"])
+                    yield pa.RecordBatch.from_arrays([key, n, cls, sketch, *nothing], names=names)
+            empty = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.binary())]
             for chunk, part in partials.parts_of(table):
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=["key", "n", "cls", "chunk", "part"])
+                yield pa.RecordBatch.from_arrays([*empty, pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=names)
 
-        rows = write_table(self.spark, self.src.mapInArrow(run, "key bigint, n bigint, cls bigint, " + partials.SCHEMA), "shingles")
+        names = ["key", "n", "cls", "sketch", "chunk", "part"]
+        rows = write_table(self.spark, self.src.mapInArrow(run, "key bigint, n bigint, cls bigint, sketch binary, " + partials.SCHEMA), "shingles")
         self.docs = rows.where("chunk is null").select("key", "n", "cls")
+        self.sketches = rows.where("cls is not null").groupBy("cls").agg(F.min("sketch").alias("sketch"))
         counts = partials.collect_table(rows.where("chunk is not null").select("chunk", "part"), 1 << COUNT_BITS, np.int32)
-        # 1 MB or so whatever the corpus: an eighth of a doubling per level
-        self.level = self.spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1.0 + counts.clip(0))).astype(np.uint8))
+        # 2 MB whatever the corpus
+        self.level = self.spark.sparkContext.broadcast(_levels(counts.clip(0)))
 
     # -- prefixes that several classes share
 
@@ -152,54 +168,69 @@ class Join:
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in _runs(batches, None):
                 several = _run_differs(rows["gram"], rows["cls"])
+                # copies of a text in several tasks gave the same row
+                several[1:] &= (rows["gram"][1:] != rows["gram"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])
                 if several.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[c][several]) for c in _COLUMNS], names=_COLUMNS)
+                    out = {c: rows[c][several] for c in _COLUMNS}
+                    # from here on the low byte tells how many classes share the shingle
+                    _, at, count = np.unique(out["gram"], return_inverse=True, return_counts=True)
+                    out["gram"] = out["gram"] & ~np.int64(255) | _levels(count)[at]
+                    yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in _COLUMNS], names=_COLUMNS)
 
         schema = "gram bigint, cls bigint, n int, pos int"
         rows = self.src.mapInArrow(run, schema).repartition("gram").sortWithinPartitions("gram", "n", "cls")
         before = F.lag("gram").over(Window.partitionBy("cls").orderBy("pos"))
-        self.rows = write_table(self.spark, rows.mapInArrow(shared, schema).withColumn("before", F.coalesce(before, F.col("cls"))), "prefixes")
+        kept = rows.mapInArrow(shared, schema).withColumn("before", F.coalesce(before, F.col("cls")))
+        self.rows = write_table(self.spark, kept.join(self.sketches, "cls"), "prefixes")
 
     # -- candidates and their verification
 
-    def candidates(self, comp: DataFrame | None, near: int | None, turn: int) -> DataFrame:
-        """Distinct pairs (a < b, and a shingle that both prefixes have): rows of a shingle with their
-        next ``near`` rows (None: with all), of different components where these are given, that pass
-        the length and positional filters."""
-        share = self.share
+    def candidates(self, comp: DataFrame | None) -> DataFrame:
+        """Distinct pairs (a < b, and a shingle that both prefixes have) that pass the length, positional
+        and suffix filters: rows of a shingle with their next ``NEAR`` rows, or, where components are
+        given, with all its rows of other components."""
+        share, near = self.share, NEAR if comp is None else None
         rows = self.rows
         if comp is None:
-            rows = rows.withColumn("comp", F.col("cls"))
+            # a very common shingle's rows are split: neighbours are met, not all
+            rows = rows.withColumns({"comp": F.col("cls"), "p": F.lit(0).cast("bigint"), "cell": F.pmod(F.xxhash64("cls"), _blocks("gram", TOGETHER))})
+            order = F.xxhash64("cls", "gram")
         else:
             rows = rows.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        # a very common shingle's rows are split, in another way each turn
-        cell = F.lit(0).cast("bigint") if near is None else F.pmod(F.xxhash64("cls", F.lit(turn)), _blocks("gram", TOGETHER))
-        order = ["mix", "cls"] if turn == 1 else ["n", "cls"]
-        rows = rows.withColumns({"cell": cell, "mix": F.xxhash64("cls", F.lit(turn))})
+            blocks = _blocks("gram", BLOCK)
+            rows = rows.withColumn("p", F.pmod(F.xxhash64("cls"), blocks)).withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+            rows = rows.withColumn("cell", F.greatest("p", "q") * (1 << 31) + F.least("p", "q")).drop("q")
+            order = F.col("n")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in _runs(batches, near):
+                across = (r["cell"] >> 31) != (r["cell"] & ((1 << 31) - 1))
                 for d in range(1, len(r["gram"])):
                     if near is not None and d > near:
                         break
                     same = (r["gram"][d:] == r["gram"][:-d]) & (r["cell"][d:] == r["cell"][:-d])
                     if not same.any():
                         break
-                    # a pair that shares the shared shingle before, too, has been made there
-                    again = r["before"][d:] == r["before"][:-d]
-                    i = np.flatnonzero(same & ~again & (r["comp"][d:] != r["comp"][:-d]) & r["fresh"][d:])
+                    same &= (r["comp"][d:] != r["comp"][:-d]) & r["fresh"][d:]
+                    if near is None:
+                        # a pair that shares the shared shingle before, too, is made there; one of a single block in that block's cell
+                        same &= (r["before"][d:] != r["before"][:-d]) & ~(across[d:] & (r["p"][d:] == r["p"][:-d]))
+                    i = np.flatnonzero(same)
                     j = i + d
                     nx, ny = r["n"][i].astype(np.int64), r["n"][j].astype(np.int64)
                     least = -(-share * (nx + ny) // (100 + share))
                     # positional: what follows this shingle in the shorter rest, and what precedes it in both prefixes
                     most = np.minimum(nx - r["pos"][i], ny - r["pos"][j]) + np.minimum(r["pos"][i], r["pos"][j])
                     ok = (100 * np.minimum(nx, ny) >= share * np.maximum(nx, ny)) & (most >= least)
+                    i, j, room = i[ok], j[ok], (nx + ny - 2 * least)[ok]
+                    # suffix: parts of the hash range whose parities differ
+                    ok = np.bitwise_count(r["sketch"][i] ^ r["sketch"][j]).sum(axis=1, dtype=np.int64) <= room
                     i, j = i[ok], j[ok]
                     if len(i):
                         x, y = r["cls"][i], r["cls"][j]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(r["gram"][i])], names=["a", "b", "gram"])
 
-        placed = rows.repartition("gram", "cell").sortWithinPartitions("gram", "cell", *order)
+        placed = rows.withColumn("mix", order).repartition("gram", "cell").sortWithinPartitions("gram", "cell", "mix", "cls")
         return placed.mapInArrow(run, "a bigint, b bigint, gram bigint").groupBy("a", "b").agg(F.min("gram").alias("gram"))
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:
@@ -279,17 +310,12 @@ class Join:
 
     def links(self) -> DataFrame:
         """Components (node, component) of linked classes."""
-        linked, tried, comp = None, None, None
-        for turn, near in enumerate((*NEAR, None)):
-            pairs = self.candidates(comp, near, turn)
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = write_table(self.spark, pairs, "pairs")
-            found = write_table(self.spark, self.verify(pairs), "links")
-            tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
-            linked = found if linked is None else linked.union(found)
-            comp = connected_components(self.spark, linked)
-        return comp
+        near = write_table(self.spark, self.candidates(None), "pairs")
+        linked = write_table(self.spark, self.verify(near), "links")
+        comp = connected_components(self.spark, linked)
+        rest = self.candidates(comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
+        linked = linked.union(write_table(self.spark, self.verify(write_table(self.spark, rest, "pairs")), "links"))
+        return connected_components(self.spark, linked)
 
     def run(self) -> DataFrame:
         """(id, n, component): every row with its set's size and the smallest id reachable by links."""
@@ -307,6 +333,11 @@ class Join:
 _COLUMNS = ["gram", "cls", "n", "pos"]
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale of one byte, an eighth of a doubling per level."""
+    return np.minimum(255, 8 * np.log2(1.0 + counts)).astype(np.uint8)
+
+
 def _run_differs(gram: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """Rows whose shingle has more than one class; rows of a shingle are neighbours."""
     if not len(gram):
@@ -316,12 +347,21 @@ def _run_differs(gram: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return np.repeat(low != high, np.diff(np.append(start, len(gram))))
 
 
+def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "sketch"}
+    if "sketch" in batch.schema.names:
+        out["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
+    return out
+
+
 def _runs(batches: Iterator[pa.RecordBatch], near: int | None) -> Iterator[dict[str, np.ndarray]]:
     """Sorted rows in pieces: with ``near``, each piece begins with the last ``near`` rows of the one
-    before (not ``fresh``); without it, pieces end where a shingle ends."""
+    before (not ``fresh``); without it, pieces end where a shingle (or its cell) ends."""
     held: dict[str, np.ndarray] | None = None
     for batch in batches:
-        new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+        if not batch.num_rows:
+            continue
+        new = _columns(batch)
         new["fresh"] = np.ones(batch.num_rows, dtype=bool)
         rows = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
         if near is not None:
@@ -329,7 +369,10 @@ def _runs(batches: Iterator[pa.RecordBatch], near: int | None) -> Iterator[dict[
             held = {c: v[-near:] for c, v in rows.items()}
             held["fresh"] = np.zeros(len(held["fresh"]), dtype=bool)
         else:
-            cut = int(np.searchsorted(rows["gram"], rows["gram"][-1])) if len(rows["gram"]) else 0
+            other = rows["gram"] != rows["gram"][-1]
+            if "cell" in rows:
+                other |= rows["cell"] != rows["cell"][-1]
+            cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
             if cut:
                 yield {c: v[:cut] for c, v in rows.items()}
             held = {c: v[cut:] for c, v in rows.items()}
@@ -338,7 +381,7 @@ def _runs(batches: Iterator[pa.RecordBatch], near: int | None) -> Iterator[dict[
 
 
 def _blocks(gram: str, rows: int) -> Column:
-    """Into how many parts the rows of a shingle go, by the level in its low byte."""
+    """Into how many parts the rows of a shingle go, by the level of its classes in its low byte."""
     estimate = F.pow(F.lit(2.0), F.col(gram).bitwiseAND(255) / 8)
     return (1 + F.floor(estimate / rows)).cast("bigint")
 
