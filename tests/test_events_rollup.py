@@ -80,3 +80,12 @@ def test_rollup_counts_versions_of_deleted_entities(spark):
     g = gold[0]
     assert (g.total_owned, g.total_deleted, g.total_obtained, g.max_rank) == (1, 3, 2, 3)
     assert g.last_upgraded_ts is None  # a type with no upgrade events keeps its row
+
+
+def test_lagging_account_loses_no_event(spark):
+    rows = [("fast", 1, "k", ts(9), "i1"), ("slow", 2, "k", ts(3), "i2"), ("new", 3, "k", ts(1), "i3")]
+    scd2 = spark.createDataFrame(rows, "account string, entity_id int, type_key string, valid_from timestamp_ntz, scd_id string")
+    prior = events.first_version_events(scd2.where("account = 'fast'"))
+    new = events.first_version_events(scd2, cutoff=events.event_cutoff(prior))
+    assert sorted(r.account for r in new.collect()) == ["new", "slow"]
+    assert events.event_cutoff(prior, scope=None).first().cutoff_ts == ts(9)

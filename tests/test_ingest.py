@@ -116,3 +116,18 @@ def test_log_write_failure_is_swallowed(spark):
     assert ev.first().context_json == '{"a":2,"b":3}'
     bad = "/proc/not-writable/log"
     assert append_best_effort(ev, bad) is False
+
+
+def test_control_character_and_byte_order_mark(spark):
+    (r,) = _parse(spark, '﻿ID;Name;HP\n1;"a\u0001b;c";2\n')
+    assert (r["ID"], r["Name"], r["HP"], r["_rescued_data"]) == (1, "a\u0001b;c", 2.0, None)
+
+
+def test_two_checkpoints_keep_each_others_rows(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-ingest-")
+    for name in ("one", "two"):
+        _write(f"{root}/{name}", "a1", f"snap_a1_01012024_{len(name)}.csv", f"ID;Name\n1;{name}\n")
+        _write(f"{root}/{name}", "b2", f"snap_b2_01012024_{len(name)}.csv", f"ID;Name\n2;{name}\n")
+        run_ingest(spark, f"{root}/{name}", f"{root}/bronze", f"{root}/ckpt-{name}", run_id=name)
+    bronze = read_bronze(spark, f"{root}/bronze")
+    assert sorted((r.AccountName, r.run_id) for r in bronze.collect()) == [("a1", "one"), ("a1", "two"), ("b2", "one"), ("b2", "two")]

@@ -79,3 +79,13 @@ def test_old_ingest_time_and_long_version_are_kept(spark):
     state = registry.register_snapshots(_keyed(spark, [("a", "f9999", at(5), DAY, 9999)]))
     later = registry.register_snapshots(_keyed(spark, [("a", "f10000", at(1), DAY, 10000), ("a", "f1", at(1), DAY, 1)]), state)
     assert {r.source_file: r.is_out_of_order for r in later.collect()} == {"f10000": False, "f1": True}
+
+
+def test_snapshots_of_one_run_have_distinct_version_times(spark):
+    rows = [("a", f"f{d}", ts(40), dt.date(2024, 1, d), 0, d, False) for d in (1, 2, 3)] + [("b", "g", ts(40), dt.date(2024, 1, 1), 0, 1, False)]
+    ddl = "account string, source_file string, snapshot_ts timestamp_ntz, snapshot_date date, snapshot_version int, snapshot_order_no bigint, is_out_of_order boolean"
+    seq = {(r.account, r.seq): r for r in registry.in_order_sequence(spark.createDataFrame(rows, ddl)).collect()}
+    times = [seq["a", k].snapshot_ts for k in (1, 2, 3)]
+    assert times == [ts(40) + dt.timedelta(microseconds=k) for k in range(3)]
+    assert [seq["a", k].next_ts for k in (1, 2, 3)] == [times[1], times[2], None]
+    assert seq["b", 1].snapshot_ts == ts(40) and seq["b", 1].next_ts is None

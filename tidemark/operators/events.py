@@ -14,23 +14,35 @@ from tidemark.schema import ENTITY_KEYS, UPGRADE_MEASURES
 EPOCH_TS = "1900-01-01 00:00:00"
 
 
-def event_cutoff(state: DataFrame | None, column: str = "event_ts") -> DataFrame:
-    """One-row table with the latest event time in state, or 1900-01-01."""
+def event_cutoff(state: DataFrame | None, column: str = "event_ts", scope: str | None = "account") -> DataFrame:
+    """The latest event time in state for each ``scope`` (account), so that an
+    account whose data arrive later than others' loses no event.  Without state,
+    or with ``scope=None``, one row: the latest time of all, or 1900-01-01."""
     if state is None:
         return state_free_cutoff()
-    return state.agg(F.coalesce(F.max(column), ntz(EPOCH_TS)).alias("cutoff_ts"))
+    if scope is None:
+        return state.agg(F.coalesce(F.max(column), ntz(EPOCH_TS)).alias("cutoff_ts"))
+    return state.groupBy(scope).agg(F.max(column).alias("cutoff_ts"))
 
 
 def state_free_cutoff() -> DataFrame:
     return SparkSession.getActiveSession().range(1).select(ntz(EPOCH_TS).alias("cutoff_ts"))
 
 
+def _with_cutoff(df: DataFrame, cutoff: DataFrame) -> DataFrame:
+    """``cutoff_ts`` beside each row: by the cutoff's scope column (1900-01-01 for
+    a scope without one), or from its only row, broadcast as it is one by construction."""
+    scope = [c for c in cutoff.columns if c != "cutoff_ts"]
+    if not scope:
+        return df.crossJoin(F.broadcast(cutoff.select("cutoff_ts")))
+    return df.join(cutoff, on=scope, how="left").withColumn("cutoff_ts", F.coalesce("cutoff_ts", ntz(EPOCH_TS)))
+
+
 def _after(df: DataFrame, cutoff: DataFrame | None, column: str) -> DataFrame:
-    """Rows with ``column`` above the cutoff: a cross join with a one-row
-    table, broadcast because its size is one row by construction."""
+    """Rows with ``column`` above the cutoff."""
     if cutoff is None:
         return df
-    return df.crossJoin(F.broadcast(cutoff.select("cutoff_ts"))).where(F.col(column) > F.col("cutoff_ts")).drop("cutoff_ts")
+    return _with_cutoff(df, cutoff).where(F.col(column) > F.col("cutoff_ts")).drop("cutoff_ts")
 
 
 def first_version_events(
@@ -109,8 +121,7 @@ def upgrade_events(
     cols = [c for _, c in measures]
     base = scd2.select(*keys, type_col, "valid_from", "scd_id", *cols)
     if cutoff is not None:
-        c = F.broadcast(cutoff.select("cutoff_ts"))
-        tagged = base.crossJoin(c).withColumn("_new", F.col("valid_from") > F.col("cutoff_ts")).drop("cutoff_ts")
+        tagged = _with_cutoff(base, cutoff).withColumn("_new", F.col("valid_from") > F.col("cutoff_ts")).drop("cutoff_ts")
         w = Window.partitionBy(*keys)
         # entities with something new, plus their last version at or before the cutoff
         last_old = F.max(F.when(~F.col("_new"), F.struct("valid_from", "scd_id"))).over(w)

@@ -149,9 +149,16 @@ def in_order_sequence(registry: DataFrame) -> DataFrame:
     """In-order files numbered 1..n per account, with the ingest time of the
     account's next in-order file (NULL for the latest).  Both come from one
     two-level numbering (per account and date, then a prefix sum over dates),
-    so no task holds all files of an account and no self-join is needed."""
+    so no task holds all files of an account and no self-join is needed.
+
+    Files of an account that one run ingested have one ingest time.  The second
+    of them counts as one microsecond later, the third as two, and so on, so
+    that versions have distinct start times, ids and an order."""
     files = registry.where(~F.col("is_out_of_order")).select(
         "account", "source_file", "snapshot_ts", "snapshot_date", "snapshot_order_no"
     )
+    files = sequence_within(files, ["account", "snapshot_ts"], "snapshot_date", ["snapshot_order_no"], out="_nth")
+    later = ((F.coalesce("_nth", F.lit(1)) - 1) / F.lit(1_000_000)).cast("decimal(18,6)")
+    files = files.withColumn("snapshot_ts", F.col("snapshot_ts") + F.make_dt_interval(secs=later)).drop("_nth")
     seq = sequence_within(files, ["account"], "snapshot_date", ["snapshot_order_no"], out="seq", next_of="snapshot_ts")
     return seq.select("account", "source_file", "seq", "snapshot_ts", F.col("next_snapshot_ts").alias("next_ts"))

@@ -58,9 +58,7 @@ def _header_names(header: Column) -> Column:
     )
 
 
-# cells of quoted lines are re-joined with a control character that cannot
-# occur in a line of a text file split on line breaks
-_CELL_JOIN = "\u0001"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def _cell(cells: Column, pos: Column) -> Column:
@@ -90,15 +88,15 @@ def parse_by_header(files: DataFrame, schema: StructType, text: str = "value", k
 
     Everything that needs a lambda runs once per file, and only for files
     that need it: header names and field positions; unquoting (files with a
-    quote get their quoted lines' cells unquoted and re-joined with a control
-    character); JSON fragments for cells under unknown headers or beyond the
-    header.  The per-row projection is then positional lookups, casts and
+    quote get each line's unquoted cells as an array); JSON fragments for cells
+    under unknown headers or beyond the header.  A byte-order mark before the
+    header is dropped.  The per-row projection is then positional lookups, casts and
     string concatenation only, which stay in generated code (a lambda would
     pull the whole projection out of it).
     """
     known = [f.name for f in schema.fields]
     known_arr = F.array(*[F.lit(n) for n in known])
-    lines = F.split(F.col(text), r"\r?\n")
+    lines = F.split(F.regexp_replace(F.col(text), "^" + BYTE_ORDER_MARK, ""), r"\r?\n")
     per_file = files.select(
         *keep,
         lines.alias("_lines"),
@@ -133,18 +131,12 @@ def parse_by_header(files: DataFrame, schema: StructType, text: str = "value", k
     frags = F.when(needs, F.transform("_lines", line_fragment)).otherwise(
         F.array_repeat(F.lit(None).cast("string"), F.size("_lines"))
     )
-    clean = F.when(
-        F.col("_quoted"),
-        F.transform(
-            "_lines",
-            lambda ln: F.when(F.instr(ln, QUOTE) > 0, F.array_join(_unquoted_cells(ln), _CELL_JOIN, "")).otherwise(
-                F.replace(ln, F.lit(SEP), F.lit(_CELL_JOIN))
-            ),
-        ),
-    ).otherwise(F.col("_lines"))
+    clean = F.when(F.col("_quoted"), F.transform("_lines", _unquoted_cells)).otherwise(
+        F.array_repeat(F.lit(None).cast("array<string>"), F.size("_lines"))
+    )
     pos_cols = [f"_p{i}" for i in range(len(known))]
     zipped = F.arrays_zip(F.col("_lines").alias("line"), clean.alias("cells"), frags.alias("frag"))
-    split_cells = F.when(F.col("_quoted"), F.split(F.col("_z.cells"), _CELL_JOIN)).otherwise(F.split(F.col("_z.cells"), SEP))
+    split_cells = F.when(F.col("_quoted"), F.col("_z.cells")).otherwise(F.split(F.col("_z.line"), SEP))
     rows = (
         per_file.select(*keep, "_quoted", *pos_cols, F.posexplode(zipped).alias("_ln", "_z"))
         .where((F.col("_ln") > 0) & (F.length(F.trim("_z.line")) > 0))

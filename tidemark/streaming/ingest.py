@@ -9,15 +9,16 @@ Per micro-batch (``foreachBatch``):
   write and the FILE log rows share one parse;
 * an empty batch is skipped;
 * rows are hash-partitioned by (account, snapshot date) and written to
-  ``<bronze>/batch_id=<id>`` with overwrite, partitioned by the same columns,
-  so each snapshot lands in one file; a replayed batch (after a failure between the
+  ``<bronze>/query_id=<stream>/batch_id=<id>`` with overwrite, partitioned by the
+  same columns, so each snapshot lands in one file; batch numbers begin anew with
+  each checkpoint, and the stream's id keeps two checkpoints apart; a replayed batch (after a failure between the
   write and the checkpoint commit) rewrites the same folder instead of
   appending twice;
 * FILE events (rows and rescued rows per file) are appended to the log.
 
 One RUN event closes the run: SUCCESS, EMPTY when no row arrived (counted in
 ``foreachBatch``, not from the bounded progress history) or FAILED with the
-error class and a message cut to 4000 characters, after which the error is
+error class and its whole message, after which the error is
 raised again.  The stream is started inside the try, so a failed start is
 logged too.  Log writes are best effort.
 """
@@ -30,7 +31,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidemark.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, CONTRACT_VERSION, SNAPSHOT_SCHEMA
 from tidemark.sources.csv_snapshots import parse_by_header, stamp, with_path_parts
@@ -70,6 +71,11 @@ class IngestResult:
     batches: list[int] = field(default_factory=list)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def batch_writer(bronze_path: str, log_path: str | None, ctx: Run, run_ts: datetime, result: IngestResult):
     """B2-B3 + C4: the per-micro-batch function for ``foreachBatch``."""
 
@@ -86,7 +92,7 @@ def batch_writer(bronze_path: str, log_path: str | None, ctx: Run, run_ts: datet
                 batch.repartition(*BRONZE_PARTITIONS)
                 .write.mode("overwrite")
                 .partitionBy(*BRONZE_PARTITIONS)
-                .parquet(f"{bronze_path.rstrip('/')}/batch_id={batch_id}")
+                .parquet(f"{bronze_path.rstrip('/')}/query_id={stream_id(batch.sparkSession, ctx.progress_at)}/batch_id={batch_id}")
             )
             result.rows += n
             result.batches.append(batch_id)
@@ -150,5 +156,5 @@ def run_ingest(
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """The bronze table with its declared schema (partition columns typed
     by the contract, not inferred from folder names)."""
-    schema = StructType(BRONZE_SCHEMA.fields + [StructField("batch_id", IntegerType())])
+    schema = StructType(BRONZE_SCHEMA.fields + [StructField("query_id", StringType()), StructField("batch_id", IntegerType())])
     return spark.read.schema(schema).parquet(bronze_path)
