@@ -47,7 +47,8 @@ def chunk_row(chunk: int, values: np.ndarray) -> pa.RecordBatch:
 def collect_table(parts: DataFrame, size: int, kind: type, add: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add) -> np.ndarray:
     """The combined table on the driver.  ``size`` is a parameter, so it does not grow with the data."""
     out = np.zeros(size, dtype=kind)
-    for row in combined(parts, kind, add).toLocalIterator():
+    # one job for all chunks: an iterator would run a job for each partition
+    for row in combined(parts, kind, add).collect():
         values = np.frombuffer(bytes(row["part"]), dtype=kind)
         out[row["chunk"] * CHUNK : row["chunk"] * CHUNK + len(values)] = values
     return out
