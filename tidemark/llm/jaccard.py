@@ -4,9 +4,9 @@ A text's set is its distinct five-word shingles (64-bit hashes of lower-cased
 words).  Texts with equal sets form a class and go on as one.  All shingles
 are put in one order, rare first; two sets that are similar enough share a
 shingle within their first ``n - ceil(t * n) + 1`` (the prefix).  So prefixes
-are joined by shingle: rows of a shingle that only one class has are dropped,
-the others make candidate pairs, subject to the length filter, the positional
-filter and a suffix filter.  That one bounds the difference of two sets from
+are joined by shingle: rows without another class of their shingle that passes the
+length filter are dropped, the others make candidate pairs, subject to the
+length filter, the positional filter and a suffix filter.  That one bounds the difference of two sets from
 their parts: each row carries, for 1,024 parts of the hash range, whether its
 set has an odd number of shingles there, and where two sets disagree at least
 one shingle differs.  Every pair that is left is verified once, exactly, from
@@ -17,11 +17,12 @@ too high).  Any common order gives right results; the table only makes
 prefixes rare, and its size does not grow with the corpus.
 
 Linked classes are wanted as components, so a group of many near copies is not
-expanded into all its pairs: first each row of a shingle meets its next
-``NEAR`` neighbours in an order drawn anew for each shingle, then components
-are formed, and last all rows of a shingle meet the rows of other components;
-a common shingle's rows are divided into blocks, and each pair of blocks is a
-cell of its own.  No pair that could join two components is left out.
+expanded into all its pairs: first the rows of some shingles of a class meet
+their next ``NEAR`` neighbours in one of ``ORDERS`` random orders, then
+components are formed, and last all rows of a shingle meet the rows of other
+components; a common shingle's rows are divided into blocks, and each pair of
+blocks is a cell of its own.  No pair that could join two components is left
+out.
 
 Edge cases: NULL, empty and wordless texts have an empty set and link with
 nothing; texts of one to four words have one shingle, the whole sequence;
@@ -44,8 +45,12 @@ from tidemark.llm.shared import connected_components, write_table
 WORDS = 5
 #: Size of the table of shingle counts, and of the bitmap of wanted classes (bits).
 COUNT_BITS, WANTED_BITS = 21, 24
-#: Neighbours that a row meets in the first round, and rows of one shingle that stay in one task there.
-NEAR, TOGETHER = 4, 100_000
+#: Neighbours that a row meets in the first round, orders in which it meets them (each for a part of the
+#: shingles, so that classes with many common shingles have the same few neighbours in all of them), shared
+#: shingles of a class that take part in it (the first ones, and one in ``EVERY`` of the others, chosen by
+#: hash), and rows of one shingle that stay in one task.  The last round
+#: makes up for whatever the first one leaves.
+NEAR, ORDERS, FIRST, EVERY, TOGETHER = 4, 2, 8, 16, 100_000
 #: Rows of a common shingle that form one block when all of them meet, and when pairs are verified.
 BLOCK = 4_000
 #: Parts of the hash range whose parities a set's sketch holds.
@@ -167,11 +172,13 @@ class Join:
 
         def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in _runs(batches, None):
-                several = _run_differs(rows["gram"], rows["cls"])
                 # copies of a text in several tasks gave the same row
-                several[1:] &= (rows["gram"][1:] != rows["gram"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])
-                if several.any():
-                    out = {c: rows[c][several] for c in _COLUMNS}
+                own = np.ones(len(rows["gram"]), dtype=bool)
+                own[1:] = (rows["gram"][1:] != rows["gram"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])
+                rows = {c: rows[c][own] for c in _COLUMNS}
+                partner = _has_partner(rows["gram"], rows["n"], share)
+                if partner.any():
+                    out = {c: rows[c][partner] for c in _COLUMNS}
                     # from here on the low byte tells how many classes share the shingle
                     _, at, count = np.unique(out["gram"], return_inverse=True, return_counts=True)
                     out["gram"] = out["gram"] & ~np.int64(255) | _levels(count)[at]
@@ -179,24 +186,26 @@ class Join:
 
         schema = "gram bigint, cls bigint, n int, pos int"
         rows = self.src.mapInArrow(run, schema).repartition("gram").sortWithinPartitions("gram", "n", "cls")
-        before = F.lag("gram").over(Window.partitionBy("cls").orderBy("pos"))
-        kept = rows.mapInArrow(shared, schema).withColumn("before", F.coalesce(before, F.col("cls")))
-        self.rows = write_table(self.spark, kept.join(self.sketches, "cls"), "prefixes")
+        by_class = Window.partitionBy("cls").orderBy("pos")
+        places = {"before": F.coalesce(F.lag("gram").over(by_class), F.col("cls")), "turn": F.row_number().over(by_class)}
+        self.rows = write_table(self.spark, rows.mapInArrow(shared, schema).withColumns(places), "prefixes")
 
     # -- candidates and their verification
 
     def candidates(self, comp: DataFrame | None) -> DataFrame:
         """Distinct pairs (a < b, and a shingle that both prefixes have) that pass the length, positional
-        and suffix filters: rows of a shingle with their next ``NEAR`` rows, or, where components are
-        given, with all its rows of other components."""
+        and suffix filters: rows of a shingle with their next ``NEAR`` rows, for some shared
+        shingles of a class, or, where components are given, with all its rows of other components."""
         share, near = self.share, NEAR if comp is None else None
         rows = self.rows
         if comp is None:
             # a very common shingle's rows are split: neighbours are met, not all
+            rows = rows.where((F.col("turn") <= FIRST) | (F.pmod(F.xxhash64("gram"), F.lit(EVERY)) == 0)).join(self.sketches, "cls")
             rows = rows.withColumns({"comp": F.col("cls"), "p": F.lit(0).cast("bigint"), "cell": F.pmod(F.xxhash64("cls"), _blocks("gram", TOGETHER))})
-            order = F.xxhash64("cls", "gram")
+            order = F.xxhash64("cls", F.pmod(F.shiftright("gram", 8), F.lit(ORDERS)))
         else:
             rows = rows.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+            rows = self.apart(rows).join(self.sketches, "cls")
             blocks = _blocks("gram", BLOCK)
             rows = rows.withColumn("p", F.pmod(F.xxhash64("cls"), blocks)).withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
             rows = rows.withColumn("cell", F.greatest("p", "q") * (1 << 31) + F.least("p", "q")).drop("q")
@@ -233,6 +242,22 @@ class Join:
         placed = rows.withColumn("mix", order).repartition("gram", "cell").sortWithinPartitions("gram", "cell", "mix", "cls")
         return placed.mapInArrow(run, "a bigint, b bigint, gram bigint").groupBy("a", "b").agg(F.min("gram").alias("gram"))
 
+    def apart(self, rows: DataFrame) -> DataFrame:
+        """Rows of the shingles that several components have, before sketches join them.  A shingle so
+        common that its rows are split keeps them all: no task sees them together."""
+        parts = _blocks("gram", TOGETHER)
+        rows = rows.withColumns({"cell": F.pmod(F.xxhash64("cls"), parts), "split": parts > 1})
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for r in _runs(batches, None):
+                keep = r["split"] | _run_differs(r["gram"], r["comp"])
+                if keep.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(r[c][keep]) for c in names], names=names)
+
+        names = [*_COLUMNS, "before", "comp"]
+        placed = rows.select(*names, "cell", "split").repartition("gram", "cell").sortWithinPartitions("gram", "cell")
+        return placed.mapInArrow(run, "gram bigint, cls bigint, n int, pos int, before bigint, comp bigint")
+
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """(cls, grams): whole sets of the wanted classes, from another pass over the texts."""
         words = self.words
@@ -272,7 +297,7 @@ class Join:
         return self.src.mapInArrow(run, "cls bigint, grams binary")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose whole sets are similar enough.
+        """Pairs whose whole sets are similar enough; of a cell's pairs those that its earlier ones do not join.
 
         Pairs of one shingle are verified together, so a set travels once per
         shingle and not once per pair; the rows of a very common shingle are
@@ -288,19 +313,29 @@ class Join:
         rows = sets.union(cells.select("gram", "p", "q", "a", "b", F.lit(1), F.lit(None).cast("binary")))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cell, held = None, {}
+            cell, held, root = None, {}, {}
+
+            def find(x: int) -> int:
+                while (up := root.setdefault(x, x)) != x:
+                    root[x] = x = root.setdefault(up, up)
+                return x
+
             for batch in batches:
                 keep_a, keep_b = [], []
                 columns = [batch.column(c).to_pylist() for c in ("gram", "p", "q", "a", "b", "kind")]
                 for k, (g, p, q, a, b, kind) in enumerate(zip(*columns, strict=True)):
                     if (g, p, q) != cell:
                         cell, held = (g, p, q), {}
+                        root.clear()
                     if not kind:
                         held[a] = unpack_set(batch.column("grams")[k].as_buffer())
                         continue
+                    if find(a) == find(b):
+                        continue
                     x, y = held[a], held[b]
                     least = -(-share * (len(x) + len(y)) // (100 + share))
                     if _suffix_bound(x, y) >= least and _overlap(x, y) >= least:
+                        root[find(a)] = find(b)
                         keep_a.append(a)
                         keep_b.append(b)
                 if keep_a:
@@ -338,15 +373,24 @@ def _levels(counts: np.ndarray) -> np.ndarray:
     return np.minimum(255, 8 * np.log2(1.0 + counts)).astype(np.uint8)
 
 
-def _run_differs(gram: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Rows whose shingle has more than one class; rows of a shingle are neighbours."""
-    if not len(gram):
-        return np.zeros(0, dtype=bool)
+def _run_differs(gram: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Rows whose shingle has more than one value; rows of a shingle are neighbours."""
     start = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-    low, high = np.minimum.reduceat(cls, start), np.maximum.reduceat(cls, start)
+    low, high = np.minimum.reduceat(value, start), np.maximum.reduceat(value, start)
     return np.repeat(low != high, np.diff(np.append(start, len(gram))))
 
 
+def _has_partner(gram: np.ndarray, n: np.ndarray, share: int) -> np.ndarray:
+    """Rows whose shingle has another class that passes the length filter.  Rows, one for each
+    class, are sorted by shingle and size, so the nearest size is next to a row."""
+    size = n.astype(np.int64)
+    pair = (gram[1:] == gram[:-1]) & (100 * size[:-1] >= share * size[1:])
+    out = np.zeros(len(gram), dtype=bool)
+    out[:-1] |= pair
+    out[1:] |= pair
+    return out
+
+
 def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "sketch"}
     if "sketch" in batch.schema.names:
