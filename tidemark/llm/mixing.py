@@ -1,10 +1,11 @@
 """Operator 3: language-model scores by logistic context mixing over bits.
 
 Bytes are coded by a binary tree of frequent and rare bytes; every decision in
-the tree is one bit.  Three predictors give a chance of that bit, from counts
-of the bytes that followed the last one, two and four bytes (the longer
-contexts hashed into tables of a fixed size) in all training texts.  Their
-logits are mixed by weights that are chosen by a gate (how well the longest
+the tree is one bit.  Predictors give a chance of that bit, from counts of the
+bytes that followed the last byte and the last two, three, four and six bytes
+in all training texts.  No context is hashed or left out: the contexts of one
+byte are a table of 256 x 256, and the longer ones are counted under their own
+bytes, so what is gathered grows with the texts.  Their logits are mixed by weights that are chosen by a gate (how well the longest
 contexts of the last stretch were known) and learned online: after each
 stretch of ``STRETCH`` bits of a text, its weights take a gradient step.  A
 slope and an offset per text refine the mixed logit in the same way.  Every
@@ -15,6 +16,10 @@ The base score needs the training count of every token of a text.  Texts are
 taken in blocks of neighbouring rows; a block lists its distinct tokens (64-bit
 hashes), the lists meet the counts in a join by token, and the answers go back
 to their block.  Neither the vocabulary nor the texts pass through the driver.
+The longer contexts go the same way, packed: a block sends each bucket of
+contexts its sorted (context, next byte) keys with their training counts; the
+bucket adds up all blocks' counts and answers every key with the logits on the
+byte's path through the tree.  The number of buckets follows the blocks.
 
 Edge cases: NULL and empty texts are the end token alone; without training
 texts all counts are 0 and every bit has even chances; repeated rows are
@@ -29,6 +34,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +43,17 @@ from tidemark.llm import partials
 from tidemark.llm import textkit as tk
 from tidemark.llm.shared import write_table
 
-#: Bits of the hashed contexts of each predictor (0: the last byte itself), bytes they look back.
-ORDERS = ((1, 8), (2, 12), (4, 13))
+#: Bytes that the predictors look back: in the table of a fixed size, and in the keys that grow with the texts.
+ORDERS, LONGER = (1,), (2, 3, 4, 6)
+#: Blocks whose keys one bucket of contexts holds on average, the least number of buckets.
+BUCKET_BLOCKS, LEAST_BUCKETS = 2, 16
 STRETCH, GATES, RATE, REFINE_RATE, START_WEIGHT = 1024, 3, 0.02, 0.01, 0.45
 #: Rows of one block; an end symbol that never occurs in UTF-8.
 BLOCK_ROWS, END_BYTE = 2048, 0xFF
 END_TOKEN = np.uint64(0x8E5D3C2B1A097F6E)
-_SIZES = [1 << (bits + 8) for _, bits in ORDERS]
+_SIZES = [1 << (8 * order + 8) for order in ORDERS]
 _STARTS = np.concatenate([[0], np.cumsum(_SIZES)])
+_KEYS = pa.Codec("zstd")
 
 
 def with_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,23 +62,55 @@ def with_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, offsets + np.arange(len(offsets))
 
 
-def contexts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Context number of every byte for each predictor; what precedes a text counts as zeros."""
+def contexts(data: np.ndarray, offsets: np.ndarray, orders: tuple[int, ...] = ORDERS) -> list[np.ndarray]:
+    """The bytes before every byte as one number, for each order; what precedes a text counts as zeros."""
     n = len(data)
     place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
-    word = np.zeros(n, dtype=np.uint32)
-    back = [np.zeros(n, dtype=np.uint32) for _ in range(4)]
-    for k in range(4):
-        if n > k + 1:
-            back[k][k + 1 :] = data[: n - k - 1]
-        back[k][place <= k] = 0
-    out = []
-    for order, bits in ORDERS:
-        word = sum((back[k] << np.uint32(8 * k) for k in range(order)), np.zeros(n, dtype=np.uint32))
-        out.append(word.astype(np.int32) if bits == 8 else ((word * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int32))
+    word, out = np.zeros(n, dtype=np.int64), []
+    for k in range(max(orders)):
+        back = np.zeros(n, dtype=np.int64)
+        back[k + 1 :] = data[: max(n - k - 1, 0)]
+        back[place <= k] = 0
+        word = word | back << (8 * k)
+        if k + 1 in orders:
+            out.append(word)
     return out
 
 
+def context_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(order, context, next byte) of every byte as one number without a hash, a row for each longer order."""
+    return np.stack([np.int64(order << 56) | c << 8 | data for order, c in zip(LONGER, contexts(data, offsets, LONGER), strict=True)])
+
+
+def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the place of each key among them."""
+    found = pa.array(keys.ravel()).dictionary_encode()
+    kinds = found.dictionary.to_numpy()
+    order = np.argsort(kinds)
+    rank = np.empty(len(kinds), dtype=np.int32)
+    rank[order] = np.arange(len(kinds), dtype=np.int32)
+    return kinds[order], rank[found.indices.to_numpy()]
+
+
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key; all next bytes of a context share one."""
+    return (tk.splitmix((keys >> 8).astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+
+
+def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys and their counts, as compressed byte planes of differences."""
+    both = np.stack([np.diff(keys, prepend=0), counts.astype(np.int64)])
+    planes = np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T)
+    return len(keys).to_bytes(8, "little") + _KEYS.compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(part: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(part[:8], "little")
+    planes = np.frombuffer(_KEYS.decompress(part[8:], n * 16, asbytes=True), dtype=np.uint8)
+    both = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).reshape(2, n)
+    return np.cumsum(both[0]), both[1]
+
+
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all rows with an end token after each row's, and tokens per row."""
     low = tk.lower_ascii(data)
@@ -78,6 +119,18 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.insert(hashes, np.cumsum(counts), END_TOKEN), counts + 1
 
 
+def squeezed(part: np.ndarray) -> bytes:
+    return len(part).to_bytes(8, "little") + _KEYS.compress(part.tobytes(), asbytes=True)
+
+
+def expanded(part: bytes) -> np.ndarray:
+    return np.frombuffer(_KEYS.decompress(part[8:], int.from_bytes(part[:8], "little"), asbytes=True), dtype=np.int8)
+
+
+def _logits(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.clip(np.round(np.log((one + 0.05) / (zero + 0.05)) * 16), -127, 127).astype(np.int8)
+
+
 class Model:
     """Tree of byte codes and quantised logits, from the counts of all training texts."""
 
@@ -87,6 +140,7 @@ class Model:
         heapq.heapify(heap)
         codes: list[list[tuple[int, int]]] = [[] for _ in range(256)]
         left, right = np.zeros((256, 255)), np.zeros((256, 255))
+        parts: dict[int, tuple[int, int, int]] = {}
         node = 255
         while len(heap) > 1:
             a, b = heapq.heappop(heap), heapq.heappop(heap)
@@ -95,21 +149,56 @@ class Model:
                 for s in symbols:
                     codes[s].insert(0, (node, bit))
                     (right if bit else left)[s, node] = 1
+            parts[node] = a[2][0], b[2][0], len(b[2])
             heapq.heappush(heap, (a[0] + b[0], min(a[1], b[1]) + 256, a[2] + b[2]))
+        # in the order of the leaves the bytes of every node are neighbours
+        self.leaf = np.empty(256, dtype=np.int64)
+        self.leaf[list(heap[0][2])] = np.arange(256)
+        self.middle = np.array([self.leaf[parts[k][1]] for k in range(255)], dtype=np.int64)
         self.length = np.array([len(c) for c in codes], dtype=np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.length)])[:-1]
         self.node = np.array([n for c in codes for n, _ in c], dtype=np.int32)
         self.bit = np.array([b for c in codes for _, b in c], dtype=np.float32)
         self.logit = []
         for table in tables:
-            zero, one = table @ left, table @ right
-            value = np.log((one + 0.05) / (zero + 0.05)) * 16
-            self.logit.append(np.pad(np.clip(np.round(value), -127, 127).astype(np.int8), ((0, 0), (0, 1))).ravel())
-        seen = tables[-1].sum(axis=1)
-        self.known = (seen >= 20).astype(np.float32)
-
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """log10 probability of every text (with end symbols)."""
+            self.logit.append(np.pad(_logits(table @ left, table @ right), ((0, 0), (0, 1))).ravel())
+
+    def paths(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits on the path of every distinct key's byte, one after the other, where each begins, and the keys' places.
+
+        ``keys`` may repeat; the counts of equal keys are added, and the keys must hold all next bytes of their contexts.
+        """
+        byte = keys & 255
+        leaves, place = distinct_keys(keys - byte + self.leaf[byte])
+        total = np.zeros(len(leaves), dtype=np.int64)
+        np.add.at(total, place, counts)
+        upto = np.concatenate([[0], np.cumsum(total)])
+        symbol = np.argsort(self.leaf)[leaves & 255]
+        length = self.length[symbol]
+        start = np.concatenate([[0], np.cumsum(length)])
+        pool = np.zeros(int(start[-1]), dtype=np.int8)
+        base = leaves >> 8 << 8
+        edge = np.flatnonzero(np.concatenate([[True], base[1:] != base[:-1], [True]])) if len(base) else np.zeros(1, np.int64)
+        many = np.diff(edge)
+        low, high = np.repeat(edge[:-1], many), np.repeat(edge[1:], many)
+        live = np.arange(len(leaves))
+        for level in range(int(length.max(initial=0))):
+            live = live[length[live] > level]
+            code = self.first[symbol[live]] + level
+            node, bit = self.node[code], self.bit[code] > 0
+            a, b = low[live], high[live]
+            alone = b - a == 1
+            cut = np.where(bit, a, b)  # a byte that is left alone is on its own side
+            cut[~alone] = np.searchsorted(leaves, (base[live] + self.middle[node])[~alone])
+            pool[start[live] + level] = _logits(upto[cut] - upto[a], upto[b] - upto[cut])
+            low[live], high[live] = np.where(bit, cut, a), np.where(bit, b, cut)
+        return pool, start, place
+
+    def score(self, data: np.ndarray, offsets: np.ndarray, longer: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """log10 probability of every text (with end symbols).
+
+        ``longer``: logits of paths, and for each longer order where the path of every byte begins in them.
+        """
         rows = len(offsets) - 1
         if not rows:
             return np.zeros(0)
@@ -129,10 +218,14 @@ class Model:
             return out.reshape(-1, STRETCH)
 
         node = self.node[code]
-        inputs = np.stack([laid(table[(c[at] << 8) + node]) for table, c in zip(self.logit, ctx, strict=True)], axis=2) * np.float32(1 / 16)
+        values = [table[(c[at] << 8) + node] for table, c in zip(self.logit, ctx, strict=True)]
+        if longer:
+            level = code - self.first[data[at]]
+            values += [longer[0][begins[at] + level] for begins in longer[1]]
+        inputs = np.stack([laid(v) for v in values], axis=2) * np.float32(1 / 16)
         sign = laid(2 * self.bit[code] - 1)  # 0 where a stretch is padded
-        known = np.add.reduceat(self.known[ctx[-1]], offsets[:-1]) / np.maximum(np.diff(offsets), 1)
-        weights = np.full((rows, GATES, len(ORDERS)), START_WEIGHT, dtype=np.float32)
+        known = np.zeros(rows)
+        weights = np.full((rows, GATES, inputs.shape[2]), START_WEIGHT, dtype=np.float32)
         refine = np.tile(np.array([1, 0], dtype=np.float32), (rows, 1))
         gate = np.minimum((known * GATES).astype(np.int64), GATES - 1)
         out = np.zeros(rows)
@@ -165,6 +258,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
         kept = write_table(spark, docs.select(*chosen), "texts")
         src = kept.select("key", "text", "train", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / BLOCK_ROWS)).alias("block"))
     names = ["block", "tok", "c", "chunk", "part"]
+    buckets = max(LEAST_BUCKETS, src.select("block").distinct().count() // BUCKET_BLOCKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(int(_STARTS[-1]), dtype=np.int32)
@@ -174,7 +268,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
             data, offsets = tk.text_buffers(batch.column("text"))
             edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                found, totals = [], []
+                found, totals, near, learned = [], [], [], []
                 for a, b in tk.slices(offsets[i : j + 1]):
                     part, off = data[offsets[i + a] : offsets[i + b]], offsets[i + a : i + b + 1] - offsets[i + a]
                     tokens, n = tokens_of(part, off)
@@ -185,32 +279,79 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
                     text, ends = with_ends(part, off)
                     learn = np.repeat(train[i + a : i + b], np.diff(ends))
                     for start, size, c in zip(_STARTS.tolist(), _SIZES, contexts(text, ends), strict=False):
-                        at = (c.astype(np.int64) << 8) + text
+                        at = (c << 8) + text
                         table[start : start + size] += np.bincount(at[learn], minlength=size).astype(np.int32)
+                    keys, which = distinct_keys(context_keys(text, ends))
+                    near.append(keys)
+                    learned.append(np.bincount(which, weights=np.tile(learn, len(LONGER)), minlength=len(keys)).astype(np.int64))
                 kinds, which = np.unique(np.concatenate(found), return_inverse=True)
                 c = np.bincount(which, weights=np.concatenate(totals), minlength=len(kinds)).astype(np.int64)
                 k = len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, blocks[i])), pa.array(kinds.astype(np.int64)), pa.array(c), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
+                keys, c = np.concatenate(near), np.concatenate(learned)
+                order = np.argsort(keys, kind="stable")
+                keys, c = keys[order], c[order]
+                first = np.flatnonzero(np.diff(keys, prepend=-1))
+                keys, c = keys[first], np.add.reduceat(c, first)
+                bucket = buckets_of(keys, buckets)
+                order = np.argsort(bucket, kind="stable")
+                cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+                sent = [packed(keys[order[x:y]], c[order[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+                none = pa.nulls(len(sent), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sent), blocks[i])), none, none, pa.array(bucket[order[cut[:-1]]]), pa.array(sent, pa.binary())], names=names)
         for chunk, part in partials.parts_of(table):
             none = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=names)
 
     rows = write_table(spark, src.mapInArrow(count, "block bigint, tok bigint, c bigint, " + partials.SCHEMA), "tokens")
-    listed = rows.where("chunk is null").select("block", "tok", "c")
+    listed = rows.where("tok is not null").select("block", "tok", "c")
     counted = write_table(spark, listed.groupBy("tok").agg(F.sum("c").alias("total")), "counts")
     figures = counted.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.count_if(F.col("total") > 0).alias("v")).first()
-    # the tables have a size fixed by ORDERS, about 3 MB as logits
-    model = Model(partials.collect_table(rows.where("chunk is not null").select("chunk", "part"), int(_STARTS[-1]), np.int32))
+    # this table has a size fixed by ORDERS, 64 KB as logits
+    model = Model(partials.collect_table(rows.where("block is null").select("chunk", "part"), int(_STARTS[-1]), np.int32))
     shared = spark.sparkContext.broadcast(model)
-    lists = listed.select("block", "tok").distinct().join(counted, "tok").select("block", "tok", "total")
+    lists = listed.select("block", "tok").distinct().join(counted, "tok").select("block", "tok", "total", F.lit(None).cast("int").alias("chunk"), F.lit(None).cast("binary").alias("part"))
+
+    def answer(sent: pa.Table) -> pa.Table:
+        blocks = sent.column("block").to_numpy()
+        keys, counts = zip(*(unpacked(p.as_py()) for p in sent.column("part")), strict=True)
+        edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        keys = np.concatenate(keys)
+        pool, start, place = shared.value.paths(keys, np.concatenate(counts))
+        order = np.argsort(blocks, kind="stable")
+        cut = np.flatnonzero(np.concatenate([[True], np.diff(blocks[order]) != 0, [True]]))
+        out = []
+        for x, y in zip(cut[:-1], cut[1:], strict=True):
+            own = tk.ragged(edges[order[x:y]], edges[order[x:y] + 1] - edges[order[x:y]])
+            if y - x > 1:  # a block that lies in several batches
+                own = own[np.unique(keys[own], return_index=True)[1]]
+            at = place[own]
+            out.append(squeezed(pool[tk.ragged(start[at], start[at + 1] - start[at])]))
+        return pa.table({"block": pa.array(blocks[order[cut[:-1]]]), "chunk": pa.array(np.full(len(out), sent.column("chunk")[0].as_py(), np.int32)), "part": pa.array(out, pa.binary())})
+
+    asked = rows.where("block is not null and chunk is not null").select("block", "chunk", "part")
+    answers = asked.groupBy("chunk").applyInArrow(answer, "block bigint, chunk int, part binary")
+    lists = lists.unionByName(answers, allowMissingColumns=True)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         data, offsets = tk.text_buffers(left.column("text").combine_chunks())
+        parts = right.filter(pc.is_valid(right.column("part")))
+        right = right.filter(pc.is_valid(right.column("tok")))
         order = np.argsort(right.column("tok").to_numpy())
         known = right.column("tok").to_numpy()[order]
         total = right.column("total").to_numpy()[order]
         n, hits, base, fine = [], [], [], []
-        for i, j in tk.slices(offsets, tk.SLICE_BYTES // 2):
+        cuts = list(tk.slices(offsets, tk.SLICE_BYTES // 2))
+        seen = [distinct_keys(context_keys(*with_ends(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))) for i, j in cuts]
+        keys = np.unique(np.concatenate([k for k, _ in seen]))
+        order = np.argsort(buckets_of(keys, buckets), kind="stable")
+        length = shared.value.length[keys[order] & 255]
+        begins = np.empty(len(keys), dtype=np.int64)
+        begins[order] = np.cumsum(length) - length
+        pool = np.concatenate([expanded(parts.column("part")[k].as_py()) for k in np.argsort(parts.column("chunk").to_numpy()).tolist()])
+        if len(pool) != length.sum():
+            raise ValueError("a block's contexts are not all answered")
+        for (i, j), (own, place) in zip(cuts, seen, strict=True):
             part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             tokens, per_row = tokens_of(part, off)
             c = total[np.searchsorted(known, tokens.astype(np.int64))]
@@ -218,7 +359,8 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
             n.append(per_row)
             hits.append(np.add.reduceat((c > 0).astype(np.int64), first))
             base.append(np.add.reduceat(np.log10(c + 1.0), first))
-            fine.append(shared.value.score(*with_ends(part, off)))
+            ends = with_ends(part, off)
+            fine.append(shared.value.score(*ends, (pool, begins[np.searchsorted(keys, own)][place].reshape(len(LONGER), -1))))
         cat = [np.concatenate(x) if x else np.zeros(0) for x in (n, hits, base, fine)]
         return pa.table({"key": left.column("key"), "train": left.column("train"), "n": pa.array(cat[0], pa.int64()), "hits": pa.array(cat[1], pa.int64()), "base": pa.array(cat[2], pa.float64()), "fine": pa.array(cat[3], pa.float64())})
 
