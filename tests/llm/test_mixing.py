@@ -59,3 +59,36 @@ def test_longer_contexts_are_kept_apart(spark, work):
     assert len(found) == len(rows)
     assert -found[60] / math.log10(2) / 2000 < 1.5
     assert found[61] == found[62]
+
+
+def trained(train, texts):
+    """A model of the texts ``train``, and the paths of all ``texts`` with the contexts that occur in them."""
+    data, offsets = mixing.with_ends(*buffers(train))
+    model = mixing.Model(np.bincount((mixing.contexts(data, offsets)[0] << 8) + data, minlength=1 << 16))
+    known, found = mixing.context_keys(data, offsets).ravel(), buffers(texts)
+    asked = mixing.context_keys(*found)
+    keys = np.concatenate([known, asked.ravel()])
+    pool, start, place = model.paths(keys, np.arange(len(keys)) < len(known))
+    return model, (*found, (pool, start[place[len(known) :]].reshape(asked.shape)))
+
+
+def test_gate_and_updates_reach_short_texts(monkeypatch):
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(30)]
+    train = [" ".join(r.choices(words, k=200)).encode()]
+    model, asked = trained(train, [b" ".join([train[0][:60], b"hgfhagbc gbha", train[0][300:340]])])
+    score = model.score(*asked)[0]
+    with monkeypatch.context() as m:
+        m.setattr(mixing, "GATES", 2)
+        assert not math.isclose(score, model.score(*asked)[0], rel_tol=1e-3)
+    with monkeypatch.context() as m:
+        m.setattr(mixing, "RATE", 0)
+        m.setattr(mixing, "REFINE_RATE", 0)
+        assert not math.isclose(score, model.score(*asked)[0], rel_tol=1e-3)
+
+
+def test_scores_are_a_distribution_with_longer_contexts_and_gates():
+    text = b"the cat sat on the mat and the cat sat down on the"
+    model, asked = trained([b"the cat sat on the mat", b"a dog sat down on the rug"], [text, *(text + bytes([k]) for k in range(256))])
+    scores = model.score(*asked)
+    assert math.isclose((10 ** (scores[1:] - scores[0])).sum(), 1, rel_tol=1e-3)

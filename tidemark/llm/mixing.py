@@ -5,12 +5,14 @@ the tree is one bit.  Predictors give a chance of that bit, from counts of the
 bytes that followed the last byte and the last two, three, four and six bytes
 in all training texts.  No context is hashed or left out: the contexts of one
 byte are a table of 256 x 256, and the longer ones are counted under their own
-bytes, so what is gathered grows with the texts.  Their logits are mixed by weights that are chosen by a gate (how well the longest
-contexts of the last stretch were known) and learned online: after each
-stretch of ``STRETCH`` bits of a text, its weights take a gradient step.  A
-slope and an offset per text refine the mixed logit in the same way.  Every
-text begins with the same weights, so its score depends on nothing but the
-text and the tables.
+bytes, so what is gathered grows with the texts.  Their logits are mixed
+by one of several weight sets; a gate picks it anew for every bit, by the
+longest predictor that has counts for this decision, which depends on past
+bytes and the tables only.  A set begins with the mean of the predictors up to
+its own.  After each stretch of ``STRETCH`` bits of a text the sets that its
+bits used take a gradient step.  A slope and an offset per text refine the
+mixed logit in the same way.  Every text begins with the same weights, so its
+score depends on nothing but the text and the tables.
 
 The base score needs the training count of every token of a text.  Texts are
 taken in blocks of neighbouring rows; a block lists its distinct tokens (64-bit
@@ -47,7 +49,8 @@ from tidemark.llm.shared import write_table
 ORDERS, LONGER = (1,), (2, 3, 4, 6)
 #: Blocks whose keys one bucket of contexts holds on average, the least number of buckets.
 BUCKET_BLOCKS, LEAST_BUCKETS = 2, 16
-STRETCH, GATES, RATE, REFINE_RATE, START_WEIGHT = 1024, 3, 0.02, 0.01, 0.45
+#: Bits between two updates, weight sets (one for each longest predictor with counts, and one for none), steps.
+STRETCH, GATES, RATE, REFINE_RATE = 64, len(ORDERS) + len(LONGER) + 1, 0.02, 0.01
 #: Rows of one block; an end symbol that never occurs in UTF-8.
 BLOCK_ROWS, END_BYTE = 2048, 0xFF
 END_TOKEN = np.uint64(0x8E5D3C2B1A097F6E)
@@ -224,17 +227,19 @@ class Model:
             values += [longer[0][begins[at] + level] for begins in longer[1]]
         inputs = np.stack([laid(v) for v in values], axis=2) * np.float32(1 / 16)
         sign = laid(2 * self.bit[code] - 1)  # 0 where a stretch is padded
-        known = np.zeros(rows)
-        weights = np.full((rows, GATES, inputs.shape[2]), START_WEIGHT, dtype=np.float32)
+        rank = np.arange(1, inputs.shape[2] + 1, dtype=np.int8)
+        kinds = np.arange(GATES, dtype=np.int8)
+        weights = np.tile((1 / np.maximum(kinds, 1))[:, None].astype(np.float32), (rows, 1, inputs.shape[2]))
         refine = np.tile(np.array([1, 0], dtype=np.float32), (rows, 1))
-        gate = np.minimum((known * GATES).astype(np.int64), GATES - 1)
         out = np.zeros(rows)
         order = np.argsort(-stretches, kind="stable")
         for step in range(int(stretches.max())):
             live = order[: int(np.searchsorted(-stretches[order], -step, "left"))]
             x, s = inputs[begin[live] + step], sign[begin[live] + step]
-            w = weights[live, gate[live]]
-            mixed = np.einsum("lbi,li->lb", x, w)
+            # the longest context with counts for this decision: known before the bit is
+            gate = np.minimum(((x != 0) * rank).max(axis=2), GATES - 1)
+            w = weights[live]
+            mixed = np.einsum("lbi,lbi->lb", x, w[np.arange(len(live))[:, None], gate])
             fine = refine[live, :1] * mixed + refine[live, 1:]
             # chance of the bit that came; padding has sign 0 and counts as certain
             margin = np.clip(fine * s, -30, 30)
@@ -242,7 +247,8 @@ class Model:
             out[live] -= lost.sum(axis=1, dtype=np.float64)
             error = s / (1 + np.exp(margin))
             scale = np.float32(RATE / np.sqrt(step + 1.0))
-            weights[live, gate[live]] = np.clip(w + scale * np.einsum("lb,lbi->li", error * refine[live, :1], x) / np.float32(8), -1, 2)
+            own = (gate[:, None, :] == kinds[:, None]) * (error * refine[live, :1])[:, None, :]
+            weights[live] = np.clip(w + scale * np.matmul(own, x), -1, 2)
             pull = np.stack([(error * mixed).sum(axis=1), error.sum(axis=1)], axis=1) * np.float32(REFINE_RATE / 8 / np.sqrt(step + 1.0))
             refine[live] = np.clip(refine[live] + np.clip(pull, -0.1, 0.1), [0.5, -0.5], [1.5, 0.5])
         return out / np.log(10)
