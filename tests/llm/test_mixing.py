@@ -7,10 +7,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from corpus_rows import DOCUMENTS, rows_of
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, partials
 
 
 def buffers(texts):
@@ -92,3 +93,21 @@ def test_scores_are_a_distribution_with_longer_contexts_and_gates():
     model, asked = trained([b"the cat sat on the mat", b"a dog sat down on the rug"], [text, *(text + bytes([k]) for k in range(256))])
     scores = model.score(*asked)
     assert math.isclose((10 ** (scores[1:] - scores[0])).sum(), 1, rel_tol=1e-3)
+
+
+def test_counts_beyond_32_bits(spark, work, monkeypatch):
+    kinds, collect = [], partials.collect_table
+
+    def seen(parts, size, kind, *add):
+        kinds.append(kind)
+        return collect(parts, size, kind, *add)
+
+    monkeypatch.setattr(partials, "collect_table", seen)
+    docs = spark.createDataFrame(rows_of(["a b", "a c"]), DOCUMENTS)
+    assert mixing.score_texts(spark, docs, F.lit(True)).count() == 2
+    assert kinds == [np.int64]
+    large = np.array([2**31 - 1, 7])
+    rows = spark.createDataFrame([(0, large.tobytes()), (0, large.tobytes())], partials.SCHEMA)
+    assert collect(rows, 2, np.int64, partials.added).tolist() == [2**32 - 2, 14]
+    with pytest.raises(OverflowError):
+        partials.added(np.array([2**63 - 1]), np.array([1]))

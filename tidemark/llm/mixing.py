@@ -175,6 +175,8 @@ class Model:
         leaves, place = distinct_keys(keys - byte + self.leaf[byte])
         total = np.zeros(len(leaves), dtype=np.int64)
         np.add.at(total, place, counts)
+        if counts.sum(dtype=np.float64) >= 2.0**62:
+            raise OverflowError("a count does not fit in 64 bits")
         upto = np.concatenate([[0], np.cumsum(total)])
         symbol = np.argsort(self.leaf)[leaves & 255]
         length = self.length[symbol]
@@ -267,7 +269,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
     buckets = max(LEAST_BUCKETS, src.select("block").distinct().count() // BUCKET_BLOCKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(int(_STARTS[-1]), dtype=np.int32)
+        table = np.zeros(int(_STARTS[-1]), dtype=np.int64)
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             train = np.asarray(batch.column("train").to_pylist(), dtype=bool)
@@ -286,7 +288,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
                     learn = np.repeat(train[i + a : i + b], np.diff(ends))
                     for start, size, c in zip(_STARTS.tolist(), _SIZES, contexts(text, ends), strict=False):
                         at = (c << 8) + text
-                        table[start : start + size] += np.bincount(at[learn], minlength=size).astype(np.int32)
+                        table[start : start + size] += np.bincount(at[learn], minlength=size)
                     keys, which = distinct_keys(context_keys(text, ends))
                     near.append(keys)
                     learned.append(np.bincount(which, weights=np.tile(learn, len(LONGER)), minlength=len(keys)).astype(np.int64))
@@ -314,7 +316,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
     counted = write_table(spark, listed.groupBy("tok").agg(F.sum("c").alias("total")), "counts")
     figures = counted.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.count_if(F.col("total") > 0).alias("v")).first()
     # this table has a size fixed by ORDERS, 64 KB as logits
-    model = Model(partials.collect_table(rows.where("block is null").select("chunk", "part"), int(_STARTS[-1]), np.int32))
+    model = Model(partials.collect_table(rows.where("block is null").select("chunk", "part"), int(_STARTS[-1]), np.int64, partials.added))
     shared = spark.sparkContext.broadcast(model)
     lists = listed.select("block", "tok").distinct().join(counted, "tok").select("block", "tok", "total", F.lit(None).cast("int").alias("chunk"), F.lit(None).cast("binary").alias("part"))
 

@@ -20,6 +20,14 @@ def parts_of(table: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield k // CHUNK, part.tobytes()
 
 
+def added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of counts; an error where one does not fit."""
+    total = a + b
+    if (total < a).any():
+        raise OverflowError(f"a count does not fit in {total.dtype}")
+    return total
+
+
 def combined(parts: DataFrame, kind: type, add: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """One row per chunk: the combination of all tasks' rows for it, streamed, never held together."""
 
