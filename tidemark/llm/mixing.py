@@ -101,8 +101,8 @@ def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys and their counts, as compressed byte planes of differences."""
-    both = np.stack([np.diff(keys, prepend=0), counts.astype(np.int64)])
+    """Sorted keys and their counts, as compressed byte planes."""
+    both = np.stack([keys, counts.astype(np.int64)])
     planes = np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T)
     return len(keys).to_bytes(8, "little") + _KEYS.compress(planes.tobytes(), asbytes=True)
 
@@ -111,7 +111,7 @@ def unpacked(part: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(part[:8], "little")
     planes = np.frombuffer(_KEYS.decompress(part[8:], n * 16, asbytes=True), dtype=np.uint8)
     both = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).reshape(2, n)
-    return np.cumsum(both[0]), both[1]
+    return both[0], both[1]
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,7 +276,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
             data, offsets = tk.text_buffers(batch.column("text"))
             edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                found, totals, near, learned = [], [], [], []
+                found, totals = [], []
                 for a, b in tk.slices(offsets[i : j + 1]):
                     part, off = data[offsets[i + a] : offsets[i + b]], offsets[i + a : i + b + 1] - offsets[i + a]
                     tokens, n = tokens_of(part, off)
@@ -289,13 +289,28 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
                     for start, size, c in zip(_STARTS.tolist(), _SIZES, contexts(text, ends), strict=False):
                         at = (c << 8) + text
                         table[start : start + size] += np.bincount(at[learn], minlength=size)
-                    keys, which = distinct_keys(context_keys(text, ends))
-                    near.append(keys)
-                    learned.append(np.bincount(which, weights=np.tile(learn, len(LONGER)), minlength=len(keys)).astype(np.int64))
                 kinds, which = np.unique(np.concatenate(found), return_inverse=True)
                 c = np.bincount(which, weights=np.concatenate(totals), minlength=len(kinds)).astype(np.int64)
                 k = len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, blocks[i])), pa.array(kinds.astype(np.int64)), pa.array(c), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
+        for chunk, part in partials.parts_of(table):
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=names)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            train = np.asarray(batch.column("train").to_pylist(), dtype=bool)
+            data, offsets = tk.text_buffers(batch.column("text"))
+            edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                near, learned = [], []
+                for a, b in tk.slices(offsets[i : j + 1]):
+                    text, ends = with_ends(data[offsets[i + a] : offsets[i + b]], offsets[i + a : i + b + 1] - offsets[i + a])
+                    learn = np.repeat(train[i + a : i + b], np.diff(ends))
+                    keys, which = distinct_keys(context_keys(text, ends))
+                    near.append(keys)
+                    learned.append(np.bincount(which, weights=np.tile(learn, len(LONGER)), minlength=len(keys)).astype(np.int64))
                 keys, c = np.concatenate(near), np.concatenate(learned)
                 order = np.argsort(keys, kind="stable")
                 keys, c = keys[order], c[order]
@@ -305,11 +320,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
                 order = np.argsort(bucket, kind="stable")
                 cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
                 sent = [packed(keys[order[x:y]], c[order[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
-                none = pa.nulls(len(sent), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sent), blocks[i])), none, none, pa.array(bucket[order[cut[:-1]]]), pa.array(sent, pa.binary())], names=names)
-        for chunk, part in partials.parts_of(table):
-            none = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sent), blocks[i])), pa.array(bucket[order[cut[:-1]]]), pa.array(sent, pa.binary())], names=["block", "chunk", "part"])
 
     rows = write_table(spark, src.mapInArrow(count, "block bigint, tok bigint, c bigint, " + partials.SCHEMA), "tokens")
     listed = rows.where("tok is not null").select("block", "tok", "c")
@@ -318,7 +329,8 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
     # this table has a size fixed by ORDERS, 64 KB as logits
     model = Model(partials.collect_table(rows.where("block is null").select("chunk", "part"), int(_STARTS[-1]), np.int64, partials.added))
     shared = spark.sparkContext.broadcast(model)
-    lists = listed.select("block", "tok").distinct().join(counted, "tok").select("block", "tok", "total", F.lit(None).cast("int").alias("chunk"), F.lit(None).cast("binary").alias("part"))
+    # a block that lies in several batches lists a token more than once; each gets the same total
+    lists = listed.select("block", "tok").join(counted, "tok").select("block", "tok", "total", F.lit(None).cast("int").alias("chunk"), F.lit(None).cast("binary").alias("part"))
 
     def answer(sent: pa.Table) -> pa.Table:
         blocks = sent.column("block").to_numpy()
@@ -337,7 +349,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
             out.append(squeezed(pool[tk.ragged(start[at], start[at + 1] - start[at])]))
         return pa.table({"block": pa.array(blocks[order[cut[:-1]]]), "chunk": pa.array(np.full(len(out), sent.column("chunk")[0].as_py(), np.int32)), "part": pa.array(out, pa.binary())})
 
-    asked = rows.where("block is not null and chunk is not null").select("block", "chunk", "part")
+    asked = src.mapInArrow(ask, "block bigint, chunk int, part binary")
     answers = asked.groupBy("chunk").applyInArrow(answer, "block bigint, chunk int, part binary")
     lists = lists.unionByName(answers, allowMissingColumns=True)
 
