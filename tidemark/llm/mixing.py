@@ -9,7 +9,7 @@ bytes, so what is gathered grows with the texts.  Their logits are mixed
 by one of several weight sets; a gate picks it anew for every bit, by the
 longest predictor that has counts for this decision, which depends on past
 bytes and the tables only.  A set begins with the mean of the predictors up to
-its own.  After each stretch of ``STRETCH`` bits of a text the sets that its
+its own.  After each stretch of ``STRETCH`` bits of a text (``LATER_STRETCH`` further on) the sets that its
 bits used take a gradient step.  A slope and an offset per text refine the
 mixed logit in the same way.  Every text begins with the same weights, so its
 score depends on nothing but the text and the tables.
@@ -49,7 +49,9 @@ from tidemark.llm.shared import write_table
 ORDERS, LONGER = (1,), (2, 3, 4, 6)
 #: Blocks whose keys one bucket of contexts holds on average, the least number of buckets.
 BUCKET_BLOCKS, LEAST_BUCKETS = 2, 16
-#: Bits between two updates, weight sets (one for each longest predictor with counts, and one for none), steps.
+#: Bits between two updates, at first and from the bit ``LATER`` of a text on.
+LATER, LATER_STRETCH = 4096, 512
+#: The former, weight sets (one for each longest predictor with counts, and one for none), steps.
 STRETCH, GATES, RATE, REFINE_RATE = 64, len(ORDERS) + len(LONGER) + 1, 0.02, 0.01
 #: Rows of one block; an end symbol that never occurs in UTF-8.
 BLOCK_ROWS, END_BYTE = 2048, 0xFF
@@ -212,47 +214,61 @@ class Model:
         at = np.repeat(np.arange(len(data), dtype=np.int32), length)
         code = tk.ragged(self.first[data], length)
         bits = np.concatenate([[0], np.cumsum(length)])[offsets]
-        stretches = -(-np.diff(bits) // STRETCH)
-        begin = np.concatenate([[0], np.cumsum(stretches)])
-        dest = np.arange(len(at)) + np.repeat(begin[:-1] * STRETCH - bits[:-1], np.diff(bits))
-        total = int(begin[-1]) * STRETCH
+        # stretches of one step lie together, texts with the most bits first
+        many = np.diff(bits)
+        order = np.argsort(-many, kind="stable")
+        rank = np.empty(rows, dtype=np.int64)
+        rank[order] = np.arange(rows)
+        edges = np.concatenate([np.arange(0, LATER, STRETCH), np.arange(LATER, max(LATER, int(many.max())) + LATER_STRETCH, LATER_STRETCH)])
+        edges = edges[: int(np.searchsorted(edges, many.max())) + 1]
+        long = np.diff(edges)
+        live = rows - np.searchsorted(np.sort(many), edges[:-1], "right")
+        begin = np.concatenate([[0], np.cumsum(live * long)])
+        nth = np.arange(len(at)) - np.repeat(bits[:-1], many)
+        step = np.searchsorted(edges, nth, "right") - 1
+        dest = begin[step] + np.repeat(rank, many) * long[step] + nth - edges[step]
+        total = int(begin[-1])
 
         def laid(values: np.ndarray) -> np.ndarray:
             out = np.zeros(total, dtype=np.float32)
             out[dest] = values
-            return out.reshape(-1, STRETCH)
+            return out
 
         node = self.node[code]
         values = [table[(c[at] << 8) + node] for table, c in zip(self.logit, ctx, strict=True)]
         if longer:
             level = code - self.first[data[at]]
             values += [longer[0][begins[at] + level] for begins in longer[1]]
-        inputs = np.stack([laid(v) for v in values], axis=2) * np.float32(1 / 16)
+        # the longest context with counts for this decision: known before the bit is
+        gate = np.zeros(len(at), dtype=np.int8)
+        for k, v in enumerate(values):
+            gate[v != 0] = min(k + 1, GATES - 1)
+        gate = laid(gate).astype(np.int64)
+        inputs = [laid(v) * np.float32(1 / 16) for v in values]
         sign = laid(2 * self.bit[code] - 1)  # 0 where a stretch is padded
-        rank = np.arange(1, inputs.shape[2] + 1, dtype=np.int8)
-        kinds = np.arange(GATES, dtype=np.int8)
-        weights = np.tile((1 / np.maximum(kinds, 1))[:, None].astype(np.float32), (rows, 1, inputs.shape[2]))
+        sets = np.arange(rows)[:, None] * GATES
+        mean = 1 / np.maximum(np.arange(GATES), 1)
+        weights = [np.tile(mean.astype(np.float32), rows) for _ in inputs]
         refine = np.tile(np.array([1, 0], dtype=np.float32), (rows, 1))
         out = np.zeros(rows)
-        order = np.argsort(-stretches, kind="stable")
-        for step in range(int(stretches.max())):
-            live = order[: int(np.searchsorted(-stretches[order], -step, "left"))]
-            x, s = inputs[begin[live] + step], sign[begin[live] + step]
-            # the longest context with counts for this decision: known before the bit is
-            gate = np.minimum(((x != 0) * rank).max(axis=2), GATES - 1)
-            w = weights[live]
-            mixed = np.einsum("lbi,lbi->lb", x, w[np.arange(len(live))[:, None], gate])
-            fine = refine[live, :1] * mixed + refine[live, 1:]
+        for step, n in enumerate(live.tolist()):
+            now = slice(int(begin[step]), int(begin[step + 1]))
+            s, which, fit = sign[now].reshape(n, -1), gate[now].reshape(n, -1) + sets[:n], refine[:n]
+            x = [v[now].reshape(n, -1) for v in inputs]
+            mixed = sum(v * w[which] for v, w in zip(x, weights, strict=True))
             # chance of the bit that came; padding has sign 0 and counts as certain
-            margin = np.clip(fine * s, -30, 30)
+            margin = np.clip((fit[:, :1] * mixed + fit[:, 1:]) * s, -30, 30)
             lost = np.where(s == 0, 0, np.log1p(np.exp(-margin)))
-            out[live] -= lost.sum(axis=1, dtype=np.float64)
+            out[:n] -= lost.sum(axis=1, dtype=np.float64)
             error = s / (1 + np.exp(margin))
-            scale = np.float32(RATE / np.sqrt(step + 1.0))
-            own = (gate[:, None, :] == kinds[:, None]) * (error * refine[live, :1])[:, None, :]
-            weights[live] = np.clip(w + scale * np.matmul(own, x), -1, 2)
-            pull = np.stack([(error * mixed).sum(axis=1), error.sum(axis=1)], axis=1) * np.float32(REFINE_RATE / 8 / np.sqrt(step + 1.0))
-            refine[live] = np.clip(refine[live] + np.clip(pull, -0.1, 0.1), [0.5, -0.5], [1.5, 0.5])
+            pace = np.float32(1 / np.sqrt(edges[step] / STRETCH + 1.0))
+            pushed, flat = error * fit[:, :1] * (np.float32(RATE) * pace), which.ravel()
+            for v, w in zip(x, weights, strict=True):
+                moved = w[: n * GATES] + np.bincount(flat, weights=(pushed * v).ravel(), minlength=n * GATES)
+                w[: n * GATES] = np.clip(moved, -1, 2)
+            pull = np.stack([(error * mixed).sum(axis=1), error.sum(axis=1)], axis=1) * (np.float32(REFINE_RATE / 8) * pace)
+            refine[:n] = np.clip(fit + np.clip(pull, -0.1, 0.1), [0.5, -0.5], [1.5, 0.5])
+        out = out[rank]
         return out / np.log(10)
 
 
