@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import staged_df, staged_row, ts
+from staged import staged_df, staged_row, ts
 
 from tidemark.operators import events, history, identity, registry, rollup, state
 

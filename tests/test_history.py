@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import staged_row, ts
+from staged import staged_row, ts
 
 from tidemark.operators import history, identity, registry
 from tidemark.schema import TRACKED
@@ -12,7 +12,7 @@ from tidemark.session import checkpoint_dir
 
 
 def _keyed(spark, rows):
-    from conftest import staged_df
+    from staged import staged_df
 
     final = staged_df(spark, rows)
     return identity.attach_key(final, identity.type_id_map(final))

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import staged_df, staged_row, ts
+from staged import staged_df, staged_row, ts
 
 from tidemark.functions.rules import DEFAULT_RULES
 from tidemark.operators import quality

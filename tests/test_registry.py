@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import staged_df, staged_row, ts
+from staged import staged_df, staged_row, ts
 
 from tidemark.operators import registry, state
 
