@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, content, jaccard, language, license, mixing, near_vectors, packing, rules, transducer
+from tidemark.llm import bpe, content, jaccard, language, license, merkle, mixing, near_vectors, packing, rules, transducer
 from tidemark.llm.shared import ship_library
 from tidemark.sources import tables
 
@@ -71,6 +71,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_licenses(load_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = {"text": merkle.tampered_text(F.col("text"), F.col("doc_id"))}
+    return merkle.digest_rows(merkle.manifest(spark, load_table(spark, sf_dir, "documents"), tampered))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -87,7 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard,
         op9_token_counts,
         op10_license_scan,
+        op11_merkle_manifest,
         pipeline,
     )
 }
-ORACLE: dict[str, str] = {"op4_quality_rules": rules.oracle()}
+ORACLE: dict[str, str] = {"op4_quality_rules": rules.oracle(), "op11_merkle_manifest": merkle.oracle()}
