@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, content, jaccard, language, license, merkle, mixing, near_vectors, packing, rules, transducer
+from tidemark.llm import bpe, content, jaccard, language, license, merkle, mixing, near_vectors, negatives, packing, repeats, rules, transducer
 from tidemark.llm.shared import ship_library
 from tidemark.sources import tables
 
@@ -76,6 +76,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest_rows(merkle.manifest(spark, load_table(spark, sf_dir, "documents"), tampered))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest_texts(repeats.without_repeats(spark, load_table(spark, sf_dir, "documents")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load_table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & negatives.usable(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = e.select(F.col("vec_id").alias("id"), label.alias("label"), negatives.quantised(F.col("embedding")).alias("vector"))
+    return negatives.mine(spark, rows, F.col("id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -93,7 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_license_scan,
         op11_merkle_manifest,
+        op12_substring_dedup,
+        op13_hard_negatives,
         pipeline,
     )
 }
-ORACLE: dict[str, str] = {"op4_quality_rules": rules.oracle(), "op11_merkle_manifest": merkle.oracle()}
+ORACLE: dict[str, str] = {"op4_quality_rules": rules.oracle(), "op11_merkle_manifest": merkle.oracle(), "op12_substring_dedup": repeats.oracle(), "op13_hard_negatives": negatives.oracle()}
