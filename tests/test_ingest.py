@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from tidemark.schema import LOG_SCHEMA
-from tidemark.sources.csv_snapshots import parse_by_header, with_path_parts
-from tidemark.streaming.ingest import read_bronze, run_ingest
+from tidemark.sources.csv_snapshots import map_records, number_lines, parse_by_header, records, snapshot_lines, with_path_parts
+from tidemark.streaming.ingest import IngestResult, batch_writer, read_bronze, run_ingest
+from tidemark.streaming.opslog import Run, read_log
 
 SCHEMA = StructType([StructField("ID", IntegerType()), StructField("Name", StringType()), StructField("HP", DoubleType())])
 
@@ -92,6 +93,7 @@ def test_two_bounded_runs_and_log(spark):
     log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
     levels = sorted((r.event_level, r.status) for r in log.select("event_level", "status").collect())
     assert levels == [("FILE", "SUCCESS")] * 3 + [("RUN", "EMPTY"), ("RUN", "SUCCESS")]
+    assert sorted(log.columns)[:2] == ["batch_id", "checkpoint_location"] and read_log(spark, f"{root}/log").columns == LOG_SCHEMA.fieldNames()
     files = {os.path.basename(r.source_file): (r.row_count, r.rows_rescued) for r in log.where(F.col("event_level") == "FILE").collect()}
     assert files["snap_b2_01012024_0.csv"] == (1, 1)
 
@@ -115,7 +117,7 @@ def test_log_write_failure_is_swallowed(spark):
     assert len(ev.first().message) == 5000
     assert ev.first().context_json == '{"a":2,"b":3}'
     bad = "/proc/not-writable/log"
-    assert append_best_effort(ev, bad) is False
+    assert append_best_effort(ev, bad, "s", "run-r") is False
 
 
 def test_control_character_and_byte_order_mark(spark):
@@ -131,3 +133,82 @@ def test_two_checkpoints_keep_each_others_rows(spark):
         run_ingest(spark, f"{root}/{name}", f"{root}/bronze", f"{root}/ckpt-{name}", run_id=name)
     bronze = read_bronze(spark, f"{root}/bronze")
     assert sorted((r.AccountName, r.run_id) for r in bronze.collect()) == [("a1", "one"), ("a1", "two"), ("b2", "one"), ("b2", "two")]
+
+
+def _cells_like_csv(text):
+    """What Python's csv module reads, as the reference for well-formed files."""
+    import csv
+    import io
+
+    return [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=";", quotechar='"', doublequote=True) if r]
+
+
+def test_records_with_line_breaks_across_ranges(spark):
+    import random
+
+    r = random.Random(8)
+    pieces = ["x", "long text of a cell", ";", '""', "\n", "\n\n", "\r\n", "é", " "]
+    root = tempfile.mkdtemp(prefix="tidemark-ingest-")
+    want = {}
+    for f in range(3):
+        lines = ["ID;Name;HP"]
+        for i in range(400):
+            quoted = '"' + "".join(r.choice(pieces) for _ in range(r.randint(1, 12))) + '"'
+            lines.append(f"{i};{quoted if r.random() < 0.4 else 'plain'};{i}.5")
+        text = ("\r\n" if f == 2 else "\n").join(lines) + "\n"
+        _write(root, "a1", f"snap_a1_0{f + 1}012024_0.csv", text)
+        want[f"snap_a1_0{f + 1}012024_0.csv"] = [(int(a), b or None, float(c)) for a, b, c in _cells_like_csv(text)[1:]]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        numbered = number_lines(snapshot_lines(spark, root)).persist()
+        assert numbered.select("source_file", "block").distinct().count() > 30
+        rows = map_records(records(numbered), SCHEMA).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {}
+    for x in rows:
+        got.setdefault(os.path.basename(x.source_file), []).append((x.ID, x.Name, x.HP))
+        assert x._rescued_data is None
+    assert {f: sorted(v, key=str) for f, v in got.items()} == {f: sorted(v, key=str) for f, v in want.items()}
+
+
+def test_quoted_cell_that_never_ends_keeps_its_lines_apart(spark):
+    rows = _parse(spark, 'ID;Name;HP\n1;"a\nb";1\n2;5" d;2\n3;"open;3\n4;c;4\n5;d;5\n')
+    assert [(r["ID"], r["Name"], r["HP"]) for r in sorted(rows, key=lambda r: r["ID"])] == [(1, "a\nb", 1.0), (2, '5" d', 2.0), (3, '"open', 3.0), (4, "c", 4.0), (5, "d", 5.0)]
+
+
+def test_header_with_a_line_break_and_blank_lines(spark):
+    rows = _parse(spark, 'ID;"Na\nme";Name\n\n1;x;y\n   \n2;z;w')
+    assert [(r["ID"], r["Name"], json.loads(r["_rescued_data"])) for r in sorted(rows, key=lambda r: r["ID"])] == [(1, "y", {"Na\nme": "x"}), (2, "w", {"Na\nme": "z"})]
+
+
+def test_one_large_file_is_read_by_even_tasks(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-ingest-")
+    _write(root, "a1", "snap_a1_01012024_0.csv", "ID;Name;HP\n" + "".join(f"{i};name {i % 7};{i}\n" for i in range(30_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = snapshot_lines(spark, root)
+        held = sorted(r["count"] for r in lines.groupBy("block").count().collect())
+        assert len(held) > 15 and held[-1] <= 3 * held[len(held) // 2]
+        run_ingest(spark, root, f"{root}/bronze", f"{root}/ckpt", run_id="r")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    bronze = read_bronze(spark, f"{root}/bronze")
+    assert bronze.agg(F.count("*"), F.sum("ID"), F.count_distinct("ID")).first()[:] == (30_000, sum(range(30_000)), 30_000)
+
+
+def test_replayed_batch_replaces_its_rows_and_log(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-ingest-")
+    _write(f"{root}/in", "a1", "snap_a1_01012024_0.csv", "ID;Name;Odd\n1;x;o\n2;y;\n")
+    run_ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", f"{root}/log", run_id="r1", run_ts=dt.datetime(2024, 2, 1))
+    ctx = Run("r1", "bronze.snapshots", "ingest_snapshots", progress_at=f"{root}/ckpt")
+    # the same batch once more, as after a failure between its write and the checkpoint's commit
+    from tidemark.sources.csv_snapshots import with_range
+
+    again = with_range(spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(f"{root}/in"))
+    batch_writer(spark, f"{root}/bronze", f"{root}/log", ctx, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1), IngestResult("r1", "STARTED"))(again, 0)
+    assert read_bronze(spark, f"{root}/bronze").count() == 2
+    log = read_log(spark, f"{root}/log")
+    assert sorted((r.event_level, r.row_count, r.rows_rescued) for r in log.collect()) == [("FILE", 2, 1), ("RUN", None, None)]

@@ -40,11 +40,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        current = current.get() if current.isDefined() else None
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        current = held.get() if held.isDefined() else None
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
 

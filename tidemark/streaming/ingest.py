@@ -3,18 +3,19 @@
 ``run_ingest`` starts a file stream over the landing folder with
 ``Trigger.AvailableNow``: every file not yet recorded in the checkpoint is
 processed once, in micro-batches, and the query stops when it has caught up.
-Per micro-batch (``foreachBatch``):
-
-* the batch is persisted and counted once, so the emptiness test, the bronze
-  write and the FILE log rows share one parse;
-* an empty batch is skipped;
-* rows are hash-partitioned by (account, snapshot date) and written to
-  ``<bronze>/query_id=<stream>/batch_id=<id>`` with overwrite, partitioned by the
-  same columns, so each snapshot lands in one file; batch numbers begin anew with
-  each checkpoint, and the stream's id keeps two checkpoints apart; a replayed batch (after a failure between the
-  write and the checkpoint commit) rewrites the same folder instead of
-  appending twice;
-* FILE events (rows and rescued rows per file) are appended to the log.
+Files are read as lines in ranges, never whole, so one large file is read by
+many tasks.  Per micro-batch (``foreachBatch``):
+
+* the lines, numbered in their ranges, are written once to the shared folder; the
+  header table, the quote states and the records all come from that table;
+* the batch's rows are written once, partitioned by (account, snapshot date), to
+  ``<bronze>/query_id=<stream>/batch_id=<id>`` with overwrite.  A range lies in one
+  task, so a snapshot of one range gives one file, and a snapshot of many ranges
+  is written by as many tasks.  Batch numbers begin anew with each checkpoint, and the
+  stream's id keeps two checkpoints apart; a replayed batch (after a failure between
+  the write and the checkpoint commit) rewrites the same folder;
+* rows and rescued rows per file are counted from the written batch and logged
+  as FILE events under the batch's own key, so a replay replaces them.
 
 One RUN event closes the run: SUCCESS, EMPTY when no row arrived (counted in
 ``foreachBatch``, not from the bounded progress history) or FAILED with the
@@ -34,32 +35,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidemark.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, CONTRACT_VERSION, SNAPSHOT_SCHEMA
-from tidemark.sources.csv_snapshots import parse_by_header, stamp, with_path_parts
+from tidemark.session import scratch_path
+from tidemark.sources.csv_snapshots import LINE_END, map_records, number_lines, ordered_lines, records, stamp, with_path_parts, with_range
 from tidemark.streaming.opslog import Run, Status, append_best_effort, file_events, run_event
 
 BRONZE_PARTITIONS = ["AccountName", "snapshot_date"]
 
 
 def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A1-A5: whole snapshot files from the landing folder as a stream, each
+    """A1-A5: lines of the snapshot files in the landing folder as a stream, each
     file once (progress lives in the checkpoint); vanished files are skipped."""
     reader = (
         spark.readStream.format("text")
-        .option("wholetext", "true")
+        .option("lineSep", LINE_END)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .option("ignoreMissingFiles", "true")
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return with_range(reader.load(landing))
 
 
-def bronze_rows(files: DataFrame, run_id: str, run_ts: datetime | None = None) -> DataFrame:
-    """Parse by header, derive path parts, stamp, project the contract."""
-    parsed = parse_by_header(files, SNAPSHOT_SCHEMA, keep=("source_file",))
+def bronze_rows(numbered: DataFrame, run_id: str, run_ts: datetime | None = None) -> DataFrame:
+    """Numbered lines to records by header, path parts, stamps, the contract's columns."""
     ts = F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz") if run_ts is not None else None
-    out = stamp(with_path_parts(parsed), run_id, CONTRACT_VERSION, ts)
+    out = stamp(with_path_parts(map_records(records(numbered), SNAPSHOT_SCHEMA)), run_id, CONTRACT_VERSION, ts)
     return out.select(*BRONZE_COLUMNS)
 
 
@@ -69,6 +70,7 @@ class IngestResult:
     status: str
     rows: int = 0
     batches: list[int] = field(default_factory=list)
+    stream: str | None = None
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -76,37 +78,39 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
-def batch_writer(bronze_path: str, log_path: str | None, ctx: Run, run_ts: datetime, result: IngestResult):
+def batch_writer(spark: SparkSession, bronze_path: str, log_path: str | None, ctx: Run, run_ts: datetime, rows_ts: datetime | None, result: IngestResult):
     """B2-B3 + C4: the per-micro-batch function for ``foreachBatch``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = datetime.now(timezone.utc)
-        batch = batch.persist()
-        try:
-            n = batch.count()  # one job fills the cache and answers "empty?"
-            if n == 0:
-                return
-            (
-                # one task per (account, date) folder: one file per snapshot
-                # instead of one per task and folder
-                batch.repartition(*BRONZE_PARTITIONS)
-                .write.mode("overwrite")
-                .partitionBy(*BRONZE_PARTITIONS)
-                .parquet(f"{bronze_path.rstrip('/')}/query_id={stream_id(batch.sparkSession, ctx.progress_at)}/batch_id={batch_id}")
-            )
-            result.rows += n
-            result.batches.append(batch_id)
-            if log_path:
-                append_best_effort(
-                    file_events(batch, ctx, run_ts=run_ts, batch_id=batch_id, started=started, finished=datetime.now(timezone.utc)),
-                    log_path,
-                )
-        finally:
-            batch.unpersist()
+        result.stream = result.stream or stream_id(spark, ctx.progress_at)
+        lines = scratch_path(spark, "ingest-lines")
+        # as many tasks as the batch has splits; a range stays in one of them
+        numbered = number_lines(ordered_lines(batch), partitions=max(1, batch.rdd.getNumPartitions()))
+        numbered.write.parquet(lines)
+        target = f"{bronze_path.rstrip('/')}/query_id={result.stream}/batch_id={batch_id}"
+        rows = bronze_rows(spark.read.schema(numbered.schema).parquet(lines), ctx.run_id, rows_ts)
+        rows.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(target)
+        written = spark.read.schema(BRONZE_SCHEMA).parquet(target)
+        n = written.count()
+        drop_folder(spark, lines)
+        if n == 0:
+            return
+        result.rows += n
+        result.batches.append(batch_id)
+        if log_path:
+            events = file_events(written, ctx, run_ts=run_ts, batch_id=batch_id, started=started, finished=datetime.now(timezone.utc))
+            append_best_effort(events, log_path, result.stream, f"batch-{batch_id}")
 
     return write
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that this run wrote."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run_ingest(
     spark: SparkSession,
     landing: str,
@@ -125,9 +129,9 @@ def run_ingest(
     ctx = Run(run_id, target_table, "ingest_snapshots", progress_at=checkpoint, notes={"trigger": "availableNow"})
     result = IngestResult(run_id=run_id, status=Status.STARTED)
     try:
-        stream = bronze_rows(snapshot_stream(spark, landing, max_files_per_trigger), run_id, run_ts)
         query = (
-            stream.writeStream.foreachBatch(batch_writer(bronze_path, log_path, ctx, started, result))
+            snapshot_stream(spark, landing, max_files_per_trigger)
+            .writeStream.foreachBatch(batch_writer(spark, bronze_path, log_path, ctx, started, run_ts, result))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -139,7 +143,7 @@ def run_ingest(
             append_best_effort(
                 run_event(spark, ctx, run_ts=started, status=result.status, started=started,
                           finished=datetime.now(timezone.utc), message=message),
-                log_path,
+                log_path, result.stream or "none", f"run-{run_id}",
             )
         return result
     except Exception as err:
@@ -148,7 +152,7 @@ def run_ingest(
             append_best_effort(
                 run_event(spark, ctx, run_ts=started, status=Status.FAILED, started=started,
                           finished=datetime.now(timezone.utc), message=str(err), error_class=type(err).__name__),
-                log_path,
+                log_path, result.stream or "none", f"run-{run_id}",
             )
         raise
 
