@@ -10,7 +10,8 @@ such windows form the maximal repeats, which go.
 2. Join.  Anchors that occur once go; every other occurrence meets the first
    one of its hash.  No pairs among the rest are made.
 3. Extend.  Both bring the words on either side that their windows reach; these
-   are compared word by word, to the left and to the right.  The windows inside
+   are compared word by word, to the left and to the right.  (Of occurrences with
+   equal words around them, a task sends on the earliest that it reads.)  The windows inside
    the common stretch are repeats of the first occurrence.  Neighbouring anchors
    continue the stretch, so their union is the maximal repeat.
 4. The rest.  A window beyond the common stretch differs from the first
@@ -49,6 +50,7 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 ANCHOR = "hash bigint, doc bigint, version bigint, pos int"
 CONTEXT = "hash bigint, doc bigint, version bigint, pos int, first boolean, lo int, hi int, left binary, right binary"
+CONTEXT_SLICE = 4 << 20  # bytes of text in which equal contexts meet before they travel
 FOUND = "doc bigint, version bigint, start int, stop int, window binary"
 
 
@@ -93,9 +95,9 @@ def anchors_of(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, rows: np
     return hashes[word[first]].view(np.int64), word[first], windows[first], windows[last]
 
 
-def _each_slice(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, tuple]]:
+def _each_slice(batch: pa.RecordBatch, limit: int = tk.SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, tuple]]:
     _, offsets = tk.text_buffers(batch.column("text"))
-    for i, j in tk.slices(offsets):
+    for i, j in tk.slices(offsets, limit):
         part = batch.slice(i, j - i)
         yield part, single_spaced(part.column("text"))
 
@@ -127,29 +129,47 @@ def _list_field(column: pa.Array, name: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contexts(length: int, seed: int) -> Callable:
-    """The words that the windows of each repeated anchor reach on either side."""
+    """The words that the windows of each repeated anchor reach on either side.
+
+    Of equal anchors with equal words around them only the earliest goes on; the
+    windows of the others are repeats of its windows, and are returned as such
+    (no ``left``): what is frequent meets in the task that reads it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, (data, starts, stops, rows) in _each_slice(batch):
+            for part, (data, starts, stops, rows) in _each_slice(batch, CONTEXT_SLICE):
                 h, word, lo, hi = anchors_of(data, starts, stops, rows, length, seed)
                 at, owner = _list_field(part.column("hits"), "pos")
                 first, _ = _list_field(part.column("hits"), "first")
                 wanted = rows[owner] + at
                 order = np.argsort(wanted)
-                wanted, first = wanted[order], first[order]
+                wanted, first = wanted[order], first[order].astype(bool)
                 k = np.minimum(np.searchsorted(wanted, word), max(len(wanted) - 1, 0))
                 hit = np.flatnonzero(wanted[k] == word) if len(wanted) else np.zeros(0, np.int64)
-                h, word, lo, hi, first = h[hit], word[hit], lo[hit], hi[hit], first[k[hit]].astype(bool) if len(hit) else np.zeros(0, bool)
+                if not len(hit):
+                    continue
+                h, word, lo, hi, first = h[hit], word[hit], lo[hit], hi[hit], first[k[hit]]
                 row = np.searchsorted(rows, word, "right") - 1
                 edge = np.append(starts, len(data))  # a word's stretch goes to the next one's start
-                left = _spans(data, edge[lo], edge[word])
-                right = _spans(data, edge[np.minimum(word + seed, len(starts))], edge[np.minimum(hi + length, len(starts))])
+                sides = (edge[lo], edge[word]), (edge[word + seed], edge[hi + length])
                 doc, version = (part.column(c).to_numpy()[row] for c in ("doc", "version"))
+                pos = word - rows[row]
+                alike = [h.view(np.uint64), *(tk.span_hash(data, *x) for x in sides)]
+                order = np.lexsort((pos, version, doc, *alike))
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([x[order][1:] != x[order][:-1] for x in alike], axis=0)
+                earliest = np.zeros(len(order), bool)
+                earliest[order[new]] = True
+                # an equal row of the table is the same document
+                leader = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+                same = np.empty(len(order), np.int64)
+                same[order] = leader
+                keep = earliest | ((doc == doc[same]) & (version == version[same]) & (pos == pos[same]))
+                bare = pa.array(~keep)
+                text = [pc.if_else(bare, pa.scalar(None, pa.binary()), _spans(data, np.where(keep, x, 0), np.where(keep, y, 0))) for x, y in sides]
                 place = lambda x: pa.array((x - rows[row]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(doc), pa.array(version), place(word), pa.array(first), place(lo), place(hi), left, right], names=[x.split()[0] for x in CONTEXT.split(", ")]
-                )
+                columns = [pa.array(h), pa.array(doc), pa.array(version), place(word), pa.array(first), place(lo), place(hi), *text]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in CONTEXT.split(", ")])
 
     return run
 
@@ -195,27 +215,29 @@ def _extend(length: int, seed: int) -> Callable:
 
 def repeat_windows(spark: SparkSession, texts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Stretches of repeats (doc, version, start, stop) in words; ``texts``: doc, version, text."""
+    # what a join meets is always a written table, so that Spark can split hot keys of the other side
     found = texts.mapInArrow(_anchors(length, seed), ANCHOR)
     place = F.struct("doc", "version", "pos")
     firsts = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("f")).where("n > 1").select("hash", "f")
     firsts = write_table(spark, firsts, "repeats-firsts")
     hits = found.join(firsts, "hash").select("doc", "version", "pos", (F.col("f") == place).alias("first"))
+    hits = hits.groupBy("doc", "version").agg(F.collect_set(F.struct("pos", "first")).alias("hits"))
     hits = write_table(spark, hits, "repeats-hits")
 
-    by_doc = hits.groupBy("doc", "version").agg(F.collect_set(F.struct("pos", "first")).alias("hits"))
-    contexts = write_table(spark, texts.join(by_doc, ["doc", "version"]).mapInArrow(_contexts(length, seed), CONTEXT), "repeats-contexts")
-
+    contexts = write_table(spark, texts.join(hits, ["doc", "version"]).mapInArrow(_contexts(length, seed), CONTEXT), "repeats-contexts")
     # rows that are copies of a document bring its first occurrences once each
-    first = contexts.where("first").groupBy("hash").agg(F.min(F.struct("left", "right")).alias("f")).select("hash", F.col("f.left").alias("f_left"), F.col("f.right").alias("f_right"))
-    extended = contexts.where("NOT first").join(first, "hash").mapInArrow(_extend(length, seed), FOUND)
+    first = contexts.where("first AND left IS NOT NULL").groupBy("hash").agg(F.min(F.struct("left", "right")).alias("f"))
+    first = write_table(spark, first.select("hash", F.col("f.left").alias("f_left"), F.col("f.right").alias("f_right")), "repeats-first")
+    extended = contexts.where("NOT first AND left IS NOT NULL").join(first, "hash").mapInArrow(_extend(length, seed), FOUND)
     extended = write_table(spark, extended, "repeats-extended")
 
     rest = extended.where("window IS NOT NULL")
     at = F.struct("doc", "version", "start")
     earliest = rest.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("f")).where("n > 1").select("window", "f")
-    later = rest.join(earliest, "window").where(F.col("f") != at)
+    later = rest.join(write_table(spark, earliest, "repeats-earliest"), "window").where(F.col("f") != at)
     spans = ["doc", "version", "start", "stop"]
-    return extended.where("window IS NULL").select(*spans).union(later.select(*spans))
+    met = contexts.where("left IS NULL").select("doc", "version", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
+    return met.union(extended.where("window IS NULL").select(*spans)).union(later.select(*spans))
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +266,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text")).select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64("text").alias("version"), "text")
     spans = repeat_windows(spark, rows.select("doc", "version", "text"), length, seed)
-    spans = spans.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans = write_table(spark, spans.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "repeats-spans")
     return rows.join(spans, ["doc", "version"], "left").select("doc_id", "text", "spans").mapInArrow(_removed, "doc_id bigint, n_words bigint, n_removed bigint, kept binary")
 
 
