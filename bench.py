@@ -92,7 +92,7 @@ def main():
         rows = rows.join(last, "account")
         prev = history.scd2_backfill(rows.where(F.col("seq") < F.col("_last")).drop("seq", "_last"), seq)
         write(prev, "history_prev")
-        cur = rows.where(F.col("seq") == F.col("_last")).drop("seq", "_last")
+        cur = rows.where(F.col("seq") == F.col("_last")).drop("_last")
         write(cur, "current_last")
         t = time.time()
         noop(history.scd2_step(table("history_prev"), table("current_last")))

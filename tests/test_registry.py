@@ -89,3 +89,29 @@ def test_snapshots_of_one_run_have_distinct_version_times(spark):
     assert times == [ts(40) + dt.timedelta(microseconds=k) for k in range(3)]
     assert [seq["a", k].next_ts for k in (1, 2, 3)] == [times[1], times[2], None]
     assert seq["b", 1].snapshot_ts == ts(40) and seq["b", 1].next_ts is None
+
+
+def brute_effect(times):
+    """Each file's time: its own, but at least a microsecond after the file before it."""
+    out = []
+    for t in times:
+        out.append(t if not out else max(t, out[-1] + dt.timedelta(microseconds=1)))
+    return out
+
+
+def test_effect_times_rise_with_the_order_whatever_the_ingest_times(spark):
+    import random
+
+    r = random.Random(3)
+    ddl = "account string, source_file string, snapshot_ts timestamp_ntz, snapshot_date date, snapshot_version int, snapshot_order_no bigint, is_out_of_order boolean"
+    accounts = {a: [(dt.date(2024, 1, 1 + k // 3), ts(r.choice([5, 5, 9, 12]), r.randint(0, 1))) for k in range(14)] for a in "abc"}
+    rows = [(a, f"f{k:02d}", t, d, 0, k + 1, False) for a, files in accounts.items() for k, (d, t) in enumerate(files)]
+    want = {(a, k + 1): t for a, files in accounts.items() for k, t in enumerate(brute_effect([t for _, t in files]))}
+    whole = registry.in_order_sequence(spark.createDataFrame(rows, ddl))
+    got = {(x.account, x.seq): (x.snapshot_ts, x.next_ts) for x in whole.collect()}
+    assert got == {k: (t, want.get((k[0], k[1] + 1))) for k, t in want.items()}
+    # in two runs: the first six files of each account, then the others from its mark
+    first = registry.in_order_sequence(spark.createDataFrame([x for x in rows if x[5] <= 6], ddl))
+    marks = first.where("seq = 6").select("account", "seq", "snapshot_ts")
+    then = registry.in_order_sequence(spark.createDataFrame([x for x in rows if x[5] > 6], ddl), marks)
+    assert {(x.account, x.seq): x.snapshot_ts for x in first.union(then).collect()} == want

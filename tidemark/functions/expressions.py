@@ -13,7 +13,6 @@ ColumnOrName = Column | str
 KEY_SEPARATOR = "||"  # joins normalised attributes before hashing
 SCD_ID_SEPARATOR = "|"
 EVENT_ID_SEPARATOR = "::"
-TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 SORT_KEY_DATE_FORMAT = "yyyyMMdd"
 SORT_KEY_VERSION_WIDTH = 4
 
@@ -37,13 +36,9 @@ def inferred_number(c: ColumnOrName, divisor: int = 10) -> Column:
     return (col(c) / F.lit(divisor)).cast("int")
 
 
-def ts_text(c: ColumnOrName) -> Column:
-    return F.date_format(col(c), TS_TEXT_FORMAT)
-
-
-def version_id(keys: Sequence[ColumnOrName], valid_from: ColumnOrName) -> Column:
-    """Stable id of one history version: SHA-256 of keys and start time."""
-    parts = [col(k).cast("string") for k in keys] + [ts_text(valid_from)]
+def version_id(keys: Sequence[ColumnOrName], seq: ColumnOrName) -> Column:
+    """Stable id of one history version: SHA-256 of keys and the number of the snapshot that opened it."""
+    parts = [col(k).cast("string") for k in keys] + [col(seq).cast("string")]
     return F.sha2(F.concat_ws(SCD_ID_SEPARATOR, *parts), 256)
 
 

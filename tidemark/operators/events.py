@@ -58,10 +58,12 @@ def first_version_events(
     entity; the equal result is ``row_number() = 1`` by (valid_from, scd_id).
     """
     w = Window.partitionBy(*keys).orderBy("valid_from", "scd_id")
-    first = scd2.select(*keys, type_col, "valid_from", "scd_id").withColumn("_rn", F.row_number().over(w)).where(
-        F.col("_rn") == 1
-    )
-    first = _after(first, cutoff, "valid_from")
+    rows = scd2.select(*keys, type_col, "valid_from", "scd_id")
+    if cutoff is not None:
+        # only entities with something new, and of them only those without anything older
+        new, older = _split_at(rows, cutoff, keys)
+        rows = new.join(older.select(*keys), on=list(keys), how="left_anti")
+    first = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return first.select(
         F.col("scd_id").alias("event_id"),
         "scd_id",
@@ -76,6 +78,14 @@ def changed_since(scd2: DataFrame, cutoff: DataFrame, keys: Sequence[str] = ENTI
     return _after(scd2.select(*keys, "valid_from"), cutoff, "valid_from").select(*keys).distinct()
 
 
+def _split_at(scd2: DataFrame, cutoff: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(versions after the cutoff, earlier versions of the same entities); history of other entities is not moved."""
+    tagged = _with_cutoff(scd2, cutoff)
+    new = tagged.where(F.col("valid_from") > F.col("cutoff_ts")).drop("cutoff_ts")
+    older = tagged.where(F.col("valid_from") <= F.col("cutoff_ts")).drop("cutoff_ts")
+    return new.select(scd2.columns), older.join(changed_since(scd2, cutoff, keys), on=list(keys), how="left_semi").select(scd2.columns)
+
+
 def latest_versions(df: DataFrame, n: int, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
     """The ``n`` latest versions per entity (planned as a WindowGroupLimit)."""
     w = Window.partitionBy(*keys).orderBy(F.col("valid_from").desc(), F.col("scd_id").desc())
@@ -110,36 +120,37 @@ def upgrade_events(
     cutoff: DataFrame | None = None,
     keys: Sequence[str] = ENTITY_KEYS,
     type_col: str = "type_key",
+    across_gaps: bool = True,
 ) -> DataFrame:
     """A monitored measure rose from one version to the next.
 
-    With a cutoff only versions after it produce events; the one version just
-    before the cutoff is kept so the first new version has its previous value
-    (every new version is compared, not only the latest).  The compare spans
-    delete gaps, as the previous version is the previous row in history.
-    """
-    cols = [c for _, c in measures]
-    base = scd2.select(*keys, type_col, "valid_from", "scd_id", *cols)
-    if cutoff is not None:
-        tagged = _with_cutoff(base, cutoff).withColumn("_new", F.col("valid_from") > F.col("cutoff_ts")).drop("cutoff_ts")
-        w = Window.partitionBy(*keys)
-        # entities with something new, plus their last version at or before the cutoff
-        last_old = F.max(F.when(~F.col("_new"), F.struct("valid_from", "scd_id"))).over(w)
-        any_new = F.max(F.col("_new").cast("int")).over(w)
-        base = (
-            tagged.withColumn("_last_old", last_old)
-            .withColumn("_any_new", any_new)
-            .where(
-                (F.col("_any_new") == 1)
-                & (F.col("_new") | (F.struct("valid_from", "scd_id") == F.col("_last_old")))
-            )
-            .drop("_last_old", "_any_new")
-        )
-    else:
-        base = base.withColumn("_new", F.lit(True))
-    prev = with_previous(base, cols, keys)
-    tall = unpivot_pairs(prev, measures, [*keys, type_col, "valid_from", "scd_id", "_new"])
-    ev = tall.where(F.col("_new") & F.col("old_value").isNotNull() & (F.col("new_value") > F.col("old_value")))
+    With a cutoff only versions after it produce events, and only entities that
+    have one are read: their new versions and the last one before (every new
+    version is compared, not only the latest).  ``across_gaps``: compare also
+    with a version that ended before this one began (the entity was gone
+    meanwhile)."""
+    cols = [*keys, type_col, "valid_from", "valid_to", "scd_id", *[c for _, c in measures]]
+    base = scd2.select(*dict.fromkeys(cols))
+    if cutoff is None:
+        return increases(base.withColumn("_new", F.lit(True)), measures, keys, type_col, across_gaps)
+    new, older = _split_at(base, cutoff, keys)
+    before = latest_versions(older, 1, keys).select(base.columns)
+    return increases(new.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False))), measures, keys, type_col, across_gaps)
+
+
+def increases(
+    versions: DataFrame,
+    measures: Sequence[tuple[str, str]] = UPGRADE_MEASURES,
+    keys: Sequence[str] = ENTITY_KEYS,
+    type_col: str = "type_key",
+    across_gaps: bool = True,
+) -> DataFrame:
+    """Events of the versions flagged ``_new``, each compared with the entity's version before it."""
+    prev = with_previous(versions, [*[c for _, c in measures], "valid_to"], keys).where(F.col("_new"))
+    if not across_gaps:
+        prev = prev.where(F.col("old_valid_to") == F.col("valid_from"))
+    tall = unpivot_pairs(prev, measures, [*keys, type_col, "valid_from", "scd_id"])
+    ev = tall.where(F.col("old_value").isNotNull() & (F.col("new_value") > F.col("old_value")))
     return ev.select(
         F.concat(F.col("scd_id"), F.lit(EVENT_ID_SEPARATOR), F.col("upgrade_type")).alias("event_id"),
         "scd_id",

@@ -1,5 +1,9 @@
 """Slowly-changing (SCD2) history with hard deletes.
 
+A version has the number of the snapshot that opened it (``seq``, within its
+account); its id is a hash of the entity and that number, so it does not
+change when a file is ingested again and times move.
+
 Two ways to the same table:
 
 * ``scd2_backfill`` builds every version from all snapshots in one pass:
@@ -8,6 +12,9 @@ Two ways to the same table:
   the entity was absent from the account's previous snapshot) or differs in
   a tracked column; it ends at the ingest time of the account's snapshot after
   its last observation, or stays open when there is none.
+  With ``prior``, the open versions of earlier runs, it continues them: only the
+  new snapshots and the accounts' open versions are read, and closed versions
+  are final.
 * ``scd2_step`` applies one batch of current rows to stored history: unchanged
   keys keep their open row, changed keys close it and open a new one, new keys
   insert, and open keys missing from an account present in the batch close.
@@ -20,13 +27,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import row_changed, tracked_struct, version_id
 from tidemark.schema import ENTITY_KEYS, HISTORY_KEYS, TRACKED
 
-HISTORY_COLUMNS = [*HISTORY_KEYS, *TRACKED, "source_file", "valid_from", "valid_to", "scd_id"]
+HISTORY_COLUMNS = [*HISTORY_KEYS, *TRACKED, "source_file", "seq", "valid_from", "valid_to", "scd_id"]
 
 
 def scd2_backfill(
@@ -37,9 +44,15 @@ def scd2_backfill(
     carry: Sequence[str] = ("type_key", "source_type_id", "source_file"),
     scope: str = "account",
     change: str = "exact",
+    prior: DataFrame | None = None,
 ) -> DataFrame:
     """All versions from all in-order snapshots.
 
+    ``prior`` holds open versions (history rows) of accounts with new snapshots.
+    They stand for the account's last snapshot before those of ``sequence`` (whose
+    numbers continue), so each is kept open, closed, or followed by a new version;
+    the result has them and all new versions.
+
     ``change="exact"`` compares the tracked columns as a struct (null-safe);
     ``change="hash"`` (J3) compares one 64-bit hash of the tracked values and
     their NULL flags instead, so the windows carry a long instead of a wide
@@ -54,6 +67,14 @@ def scd2_backfill(
     keys, tracked = list(keys), list(tracked)
     cols = list(dict.fromkeys([*keys, *carry, "source_file", *tracked]))
     rows = keyed.select(*cols).join(sequence, on=[scope, "source_file"], how="inner")
+    rows = rows.withColumns({"_opened": F.col("seq"), "_prior": F.lit(False)})
+    if prior is not None:
+        # an open version as an observation in the snapshot before the account's first new one
+        begin = sequence.groupBy(scope).agg(F.min(F.struct("seq", F.col("snapshot_ts").alias("ts"))).alias("_b"))
+        held = prior.join(begin, scope).select(
+            *cols, F.col("valid_from").alias("snapshot_ts"), F.col("seq").alias("_opened"), (F.col("_b.seq") - 1).alias("seq"), F.col("_b.ts").alias("next_ts"), F.lit(True).alias("_prior")
+        )
+        rows = rows.unionByName(held)
     w = Window.partitionBy(*keys).orderBy("seq")
     if change == "hash":
         vals = F.xxhash64(*[x for c in tracked for x in (F.col(c), F.col(c).isNull())])
@@ -79,9 +100,11 @@ def scd2_backfill(
         *HISTORY_KEYS,
         *tracked,
         "source_file",
+        F.col("_opened").alias("seq"),
         F.col("snapshot_ts").alias("valid_from"),
         F.col("_close").alias("valid_to"),
-        version_id(keys, "snapshot_ts").alias("scd_id"),
+        version_id(keys, "_opened").alias("scd_id"),
+        *([F.col("_prior")] if prior is not None else []),
     )
 
 
@@ -96,26 +119,27 @@ def scd2_step(
 ) -> DataFrame:
     """One snapshot step.
 
-    ``current`` holds the latest rows per entity with an ``as_of`` column (the
-    version time, by default the snapshot's ingest time).  Open rows whose
+    ``current`` holds the latest rows per entity with their snapshot's number
+    ``seq`` and an ``as_of`` column (the version time).  Open rows whose
     ``scope`` (account) appears in ``current`` but whose key does not are
     closed at that account's ``as_of`` (hard delete).  Closed history rows pass
     through untouched; only open rows take part in the join.
     """
     keys, tracked = list(keys), list(tracked)
     carried = [c for c in HISTORY_KEYS if c not in keys] + ["source_file"]
-    cur = current.select(*keys, *carried, *tracked, F.col(as_of).alias("_as_of"))
+    cur = current.select(*keys, *carried, *tracked, "seq", F.col(as_of).alias("_as_of"))
     if history is None:
         return cur.select(
             *HISTORY_KEYS,
             *tracked,
             "source_file",
+            "seq",
             F.col("_as_of").alias("valid_from"),
             F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-            version_id(keys, "_as_of").alias("scd_id"),
+            version_id(keys, "seq").alias("scd_id"),
         )
 
-    cols = [*HISTORY_KEYS, *tracked, "source_file"]
+    cols = [*HISTORY_KEYS, *tracked, "source_file", "seq"]
     hist = history.select(*cols, "valid_from", "valid_to", "scd_id")
     closed = hist.where(F.col("valid_to").isNotNull())
     open_ = hist.where(F.col("valid_to").isNull())
@@ -150,13 +174,19 @@ def scd2_step(
             *[F.col(f"c.{x}").alias(x) for x in cols],
             new_vf.alias("valid_from"),
             F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-            version_id([F.col(f"c.{k}") for k in keys], new_vf).alias("scd_id"),
+            version_id([F.col(f"c.{k}") for k in keys], "c.seq").alias("scd_id"),
         ),
     )
     stepped = j.select(F.explode(F.array(old, new)).alias("_v")).where(F.col("_v").isNotNull()).select("_v.*")
     return closed.unionByName(stepped)
 
 
+def valid_at(history: DataFrame, ts: Column) -> DataFrame:
+    """The versions in effect at ``ts``.  (What was known at a time is a matter of
+    the rows that a history is made of: ``Silver(..., known_at=...)``.)"""
+    return history.where((F.col("valid_from") <= ts) & (F.col("valid_to").isNull() | (F.col("valid_to") > ts)))
+
+
 def scd2_view(history: DataFrame, keys: Sequence[str] = ENTITY_KEYS, tracked: Sequence[str] = TRACKED) -> DataFrame:
     """Consumer view with is_current and is_deleted (the entity has no
     open version; set on every version of a deleted entity)."""

@@ -70,12 +70,12 @@ def quarantined(classified: DataFrame) -> DataFrame:
 
 
 def dedupe_order(tiebreak: str | None = None) -> list[Column]:
-    """Newest version, then newest ingest, then latest run; a tie-break column
-    (for example a content hash or source row id) makes the order total."""
-    order = [F.col("snapshot_version").desc_nulls_last(), F.col("snapshot_ts").desc_nulls_last(), F.col("run_id").desc_nulls_last()]
-    if tiebreak:
-        order.append(F.col(tiebreak).desc_nulls_last())
-    return order
+    """Newest version, then newest ingest, then latest run, then a tie-break
+    column (for example a source row id); without one the other staged columns
+    decide, greatest first, so that only equal rows tie."""
+    first = ["snapshot_version", "snapshot_ts", "run_id"]
+    more = [tiebreak] if tiebreak else [c for c in STAGED_COLUMNS if c not in (*first, *DEDUPE_KEYS)]
+    return [F.col(c).desc_nulls_last() for c in [*first, *more]]
 
 
 def rank_duplicates(df: DataFrame, keys: Sequence[str] = DEDUPE_KEYS, order: Sequence[Column] | None = None) -> DataFrame:

@@ -3,7 +3,7 @@ in-order file, current state, last-run summary."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import event_sort_key
@@ -145,20 +145,56 @@ def latest_by_date_version(final: DataFrame) -> DataFrame:
     return final.join(latest, on=["account", "source_file"], how="inner")
 
 
-def in_order_sequence(registry: DataFrame) -> DataFrame:
-    """In-order files numbered 1..n per account, with the ingest time of the
-    account's next in-order file (NULL for the latest).  Both come from one
-    two-level numbering (per account and date, then a prefix sum over dates),
-    so no task holds all files of an account and no self-join is needed.
-
-    Files of an account that one run ingested have one ingest time.  The second
-    of them counts as one microsecond later, the third as two, and so on, so
-    that versions have distinct start times, ids and an order."""
-    files = registry.where(~F.col("is_out_of_order")).select(
-        "account", "source_file", "snapshot_ts", "snapshot_date", "snapshot_order_no"
-    )
-    files = sequence_within(files, ["account", "snapshot_ts"], "snapshot_date", ["snapshot_order_no"], out="_nth")
-    later = ((F.coalesce("_nth", F.lit(1)) - 1) / F.lit(1_000_000)).cast("decimal(18,6)")
-    files = files.withColumn("snapshot_ts", F.col("snapshot_ts") + F.make_dt_interval(secs=later)).drop("_nth")
-    seq = sequence_within(files, ["account"], "snapshot_date", ["snapshot_order_no"], out="seq", next_of="snapshot_ts")
-    return seq.select("account", "source_file", "seq", "snapshot_ts", F.col("next_snapshot_ts").alias("next_ts"))
+EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+MICROSECOND = "INTERVAL '0.000001' SECOND"
+
+
+def in_order_sequence(registry: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """In-order files numbered per account (``seq``), with the time at which each
+    takes effect and that of the account's next in-order file (NULL for the latest).
+
+    A file takes effect at its ingest time, but never before, nor together with,
+    the file before it: ``max(ts of this and earlier files j, plus (i - j)
+    microseconds)``.  So files that one run ingested, and files that were ingested
+    again after their successors, have times that rise with ``seq``.
+
+    ``marks`` (account, seq, snapshot_ts) is each account's last file of earlier
+    runs; numbers and times continue from it.
+
+    All of it comes from one numbering inside (account, date) and a table with one
+    row per (account, date): as ``ts - seq`` only a running maximum is needed, which
+    is combined over the dates.  No task holds all files of an account."""
+    since = lambda c: F.col(c) - F.expr(EPOCH)  # noqa: E731  an interval, whatever the session's time zone
+    us = lambda n: F.expr(MICROSECOND) * n
+    files = registry.where(~F.col("is_out_of_order")).select("account", "source_file", "snapshot_date", "snapshot_order_no", since("snapshot_ts").alias("_at"))
+    group = ["account", "snapshot_date"]
+    w = Window.partitionBy(*group).orderBy("snapshot_order_no")
+    files = files.withColumn("_rn", F.row_number().over(w))
+    files = files.withColumns({
+        "_peak": F.max(F.col("_at") - us(F.col("_rn"))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_next_at": F.lead("_at").over(w),
+    })
+    dates = files.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max("_peak").alias("_top"), F.max(F.when(F.col("_rn") == 1, F.col("_at"))).alias("_first"))
+    if marks is None:
+        dates = dates.withColumns({"_from": F.lit(0).cast("bigint"), "_held": F.lit(None).cast("interval day to second")})
+    else:
+        held = marks.select("account", F.col("seq").alias("_from"), (since("snapshot_ts") - us(F.col("seq"))).alias("_held"))
+        dates = dates.join(held, "account", "left").withColumn("_from", F.coalesce("_from", F.lit(0).cast("bigint")))
+    d = Window.partitionBy("account").orderBy("snapshot_date")
+    dates = dates.withColumn("_off", F.col("_from") + F.sum("_n").over(d) - F.col("_n"))
+    earlier = F.max(F.col("_top") - us(F.col("_off"))).over(d.rowsBetween(Window.unboundedPreceding, -1))
+    dates = dates.withColumn("_before", F.greatest(earlier, F.col("_held")))  # greatest() passes NULLs over
+    dates = dates.withColumn("_opens", us(F.col("_off") + 1) + F.greatest(F.col("_before"), F.col("_first") - us(F.col("_off") + 1)))
+    dates = dates.select(*group, "_off", "_before", F.lead("_opens").over(d).alias("_next_opens"))
+    out = files.join(dates, group).withColumn("seq", F.col("_off") + F.col("_rn"))
+    peak = F.greatest(F.col("_before"), F.col("_peak") - us(F.col("_off")))
+    after = us(F.col("seq") + 1) + F.greatest(peak, F.col("_next_at") - us(F.col("seq") + 1))
+    following = F.when(F.col("_next_at").isNotNull(), after).otherwise(F.col("_next_opens"))
+    return out.select("account", "source_file", "seq", (F.expr(EPOCH) + us(F.col("seq")) + peak).alias("snapshot_ts"), (F.expr(EPOCH) + following).alias("next_ts"))
+
+
+def with_effect(registry: DataFrame, sequence: DataFrame) -> DataFrame:
+    """Registry rows of in-order files, ``snapshot_ts`` being the time at which they take effect."""
+    times = sequence.select("account", "source_file", F.col("snapshot_ts").alias("_effect"))
+    out = registry.join(times, ["account", "source_file"]).withColumn("snapshot_ts", F.col("_effect"))
+    return out.select(*REGISTRY_COLUMNS)

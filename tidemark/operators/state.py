@@ -1,25 +1,17 @@
-"""Stored state without a table format: keyed merge as a pure function and
-versioned parquet directories with a marker file.
+"""Keyed merge as a pure function, and helpers for written tables.
 
 On plain parquet there is no MERGE, UPDATE or overwrite-in-place, and Spark
 refuses to overwrite a table it is reading.  A merge therefore builds the new
-state as a DataFrame (``merge_by_key``) and ``write_version`` writes it to the
-next ``v=N`` directory; readers take the highest committed version.  A retried
-write rewrites the same uncommitted directory, so a lost executor or a failed
-job never leaves a half state visible.
+state as a DataFrame (``merge_by_key``); ``operators.store`` keeps such states.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_VERSION_DIR = re.compile(r"^v=(\d+)$")
-COMMIT_MARKER = "_COMMITTED"
-
 
 def merge_by_key(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: rows of ``source`` replace target rows with the same key, new keys
@@ -56,43 +48,8 @@ def cluster_write(df: DataFrame, path: str, columns: Sequence[str], mode: str =
     part.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, the path, and the JVM."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, hroot, jvm = _fs(spark, root)
-    if not fs.exists(hroot):
-        return []
-    out = []
-    for st in fs.listStatus(hroot):
-        m = _VERSION_DIR.match(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER)):
-            out.append(int(m.group(1)))
-    return sorted(out)
-
-
-def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
-    """Write ``df`` as the next version of the state at ``root`` and commit
-    it with a marker file; returns the version number."""
-    spark = df.sparkSession
-    versions = committed_versions(spark, root)
-    nxt = (versions[-1] + 1) if versions else 1
-    path = f"{root.rstrip('/')}/v={nxt}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    fs, hpath, jvm = _fs(spark, path)
-    fs.create(jvm.org.apache.hadoop.fs.Path(hpath, COMMIT_MARKER), True).close()
-    return nxt
-
-
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    """The highest committed version at ``root``, or None before the first run."""
-    versions = committed_versions(spark, root)
-    if not versions:
-        return None
-    return spark.read.parquet(f"{root.rstrip('/')}/v={versions[-1]}")

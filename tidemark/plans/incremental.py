@@ -14,9 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import events, history, identity, registry, state
-from tidemark.schema import ENTITY_KEYS
-from tidemark.session import checkpoint_dir, scratch_path
+from tidemark.operators import events, identity, registry, state
+from tidemark.operators.store import Layout, Store
+from tidemark.plans.runs import open_store, run_batch
+from tidemark.session import scratch_path
 
 # fixed values of the two-run scenario
 HELD_BACK_DAY_MULTIPLE = 5
@@ -56,16 +57,15 @@ def late_snapshots(keyed: DataFrame) -> DataFrame:
 
 
 def registry_roundtrip(spark: SparkSession, keyed: DataFrame) -> DataFrame:
-    """Run 1 writes state version 1; run 2 reads the latest version,
-    merges its new files and writes version 2; the result is read back."""
-    root = scratch_path(spark, "registry-state")
+    """Run 1 commits the registry; run 2 reads what its accounts touch,
+    merges its new files and commits; the result is read back from the store."""
+    store = Store(spark, scratch_path(spark, "registry-state"), {"registry": Layout("account", ("source_file",))})
     run1, run2, _ = two_runs(keyed)
-    prior = state.read_latest(spark, root)  # None: first run
-    state.write_version(registry.register_snapshots(run1, state=prior), root)
-    prior = state.read_latest(spark, root)
-    merged = state.merge_by_key(prior, registry.register_snapshots(run2, state=prior), REGISTRY_KEYS)
-    state.write_version(merged, root)
-    return state.read_latest(spark, root)
+    for rows in (run1, run2):
+        change = store.begin()
+        change.merge("registry", registry.register_snapshots(rows, state=change.rows_of("registry", rows)), REGISTRY_KEYS)
+        change.commit()
+    return store.read("registry")
 
 
 def first_seen_two_runs(keyed: DataFrame) -> DataFrame:
@@ -99,33 +99,14 @@ def obtained_incremental(scd2: DataFrame, keyed: DataFrame) -> DataFrame:
     return state.merge_by_key(prior, new, ["event_id"])
 
 
-def scd2_fold(spark: SparkSession, keyed: DataFrame, sequence: DataFrame, every: int = 1) -> DataFrame:
-    """G1-G2 folded: apply ``scd2_step`` for each account's 1st, 2nd, ...
-    in-order snapshot.
-
-    Only open versions flow from step to step; at every ``every``-th step the
-    state is checkpointed into the shared checkpoint folder and the versions
-    closed so far are split off (as an append-only history table would keep
-    them), so a step costs the open set plus one batch, not the whole history,
-    and a lost executor recomputes at most ``every`` steps."""
-    checkpoint_dir(spark)
-    rows = keyed.join(sequence.select("account", "source_file", "seq"), on=["account", "source_file"], how="inner")
-    rows = rows.checkpoint()
-    steps = rows.agg(F.max("seq")).first()[0] or 0
-    open_hist, closed_parts = None, []
-    for b in range(1, steps + 1):
-        open_hist = history.scd2_step(open_hist, rows.where(F.col("seq") == b))
-        if b % every == 0 or b == steps:
-            done = open_hist.checkpoint()
-            closed_parts.append(done.where(F.col("valid_to").isNotNull()))
-            open_hist = done.where(F.col("valid_to").isNull())
-    if open_hist is None:
-        return history.scd2_step(None, rows.where(F.lit(False)))
-    out = open_hist
-    for part in closed_parts:
-        out = out.unionByName(part)
-    return out
-
-
-def scd2_incremental(spark: SparkSession, keyed: DataFrame, sequence: DataFrame, every: int = 1) -> DataFrame:
-    return history.scd2_view(scd2_fold(spark, keyed, sequence, every=every), ENTITY_KEYS)
+def stored_runs(spark: SparkSession, bronze: DataFrame, tiebreak: str | None) -> Store:
+    """Three runs over the store: the files up to a third of the dates, up to two thirds, and the
+    others.  The last run gets all rows once more; what is registered is skipped."""
+    store = open_store(spark, scratch_path(spark, "runs"))
+    lo, hi = F.min("snapshot_date"), F.max("snapshot_date")
+    third = (F.datediff(hi, lo) / 3).cast("int")
+    cuts = bronze.agg(F.date_add(lo, third).alias("first"), F.date_add(lo, third * 2).alias("second"))
+    tagged = bronze.crossJoin(F.broadcast(cuts))  # one row
+    for batch in (tagged.where("snapshot_date <= first"), tagged.where("snapshot_date > first AND snapshot_date <= second"), tagged):
+        run_batch(store, batch.drop("first", "second"), tiebreak)
+    return store

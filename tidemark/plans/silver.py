@@ -5,37 +5,38 @@ final -> id map -> keyed -> {lookup, registry} -> {current, first seen}
 -> history -> scd2 -> {obtained, upgrades} -> gold.
 Each attribute is built on first use; nothing is collected.
 
-With ``materialize=True`` the two layers everything else reads (keyed rows
-and history) are written once with ``checkpoint()`` into the shared folder of
-``spark.checkpoint.dir``: later plans start from those files, so a lost
-executor recomputes from there, and the three readers of history do not
-each recompute it.
+With ``materialize=True`` the layers everything else reads (keyed rows, the
+snapshot sequence and history) are written once as parquet into the shared folder
+of ``spark.checkpoint.dir``: later plans start from those files and read only
+the columns they need, and a lost executor recomputes from there.
+
+``known_at`` leaves out what was ingested after that time: the layers as they
+were known then.  (``history.valid_at`` asks the other question: which versions
+are in effect at a time, by what is known now.)
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import events, history, identity, quality, registry, rollup
 from tidemark.schema import STAGED_COLUMNS
-from tidemark.session import checkpoint_dir
+from tidemark.session import write_layer
 
 
 class Silver:
     """Lazily built layers over one bronze DataFrame (first-run semantics)."""
 
-    def __init__(self, bronze: DataFrame, tiebreak: str | None = None, materialize: bool = False):
-        self.bronze = bronze
+    def __init__(self, bronze: DataFrame, tiebreak: str | None = None, materialize: bool = False, known_at: Column | None = None):
+        self.bronze = bronze if known_at is None else bronze.where(F.col("snapshot_ts") <= known_at)
         self.tiebreak = tiebreak
         self.materialize = materialize
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint()
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        return write_layer(df.sparkSession, df, name) if self.materialize else df
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -69,7 +70,7 @@ class Silver:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return self._cut(identity.attach_key(self.final, self.id_map))
+        return self._cut(identity.attach_key(self.final, self.id_map), "keyed")
 
     @cached_property
     def lookup(self) -> DataFrame:
@@ -85,15 +86,15 @@ class Silver:
 
     @cached_property
     def first_seen(self) -> DataFrame:
-        return identity.first_seen(self.keyed, self.registry)
+        return identity.first_seen(self.keyed, registry.with_effect(self.registry, self.sequence))
 
     @cached_property
     def sequence(self) -> DataFrame:
-        return registry.in_order_sequence(self.registry)
+        return self._cut(registry.in_order_sequence(self.registry), "sequence")
 
     @cached_property
     def history(self) -> DataFrame:
-        return self._cut(history.scd2_backfill(self.keyed, self.sequence))
+        return self._cut(history.scd2_backfill(self.keyed, self.sequence), "history")
 
     @cached_property
     def scd2(self) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
@@ -56,3 +56,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_layer(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder: computed once, whatever reads it, and lost
+    executors recompute from it.  Unlike a checkpoint, its columns are read as they are needed."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
