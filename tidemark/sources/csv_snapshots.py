@@ -26,6 +26,7 @@ empty cells are NULL; blank lines are no records.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -117,9 +118,17 @@ def range_states(numbered: DataFrame, keys: Sequence[str] = ("source_file",)) ->
     return held.select(*keys, "block", "state", F.col("_from.block").alias("from_block"), F.col("_from.n").alias("from_n"), loose("block").alias("loose_block"), loose("n").alias("loose_n"))
 
 
-def records(numbered: DataFrame, keys: Sequence[str] = ("source_file",)) -> DataFrame:
-    """One row per CSV record: the keys, the place of its first line (block, n), its text."""
+def has_broken_records(numbered: DataFrame) -> bool:
+    """Whether any line, begun outside quotes, ends inside; if none does, every line is a record."""
+    return not numbered.where(F.col("upto").isin(FLIP, INSIDE)).isEmpty()
+
+
+def records(numbered: DataFrame, keys: Sequence[str] = ("source_file",), broken: bool = True) -> DataFrame:
+    """One row per CSV record: the keys, the place of its first line (block, n), its text.
+    ``broken=False``: it is known that every line is a record."""
     keys = list(keys)
+    if not broken:
+        return _without_return(numbered.select(*keys, "block", "n", "value"))
     rows = numbered.join(range_states(numbered, keys), [*keys, "block"])
     inside, after = _after(F.col("before"), F.col("state")), _after(F.col("upto"), F.col("state"))
     loose = F.col("loose_block").isNotNull() & (F.struct("block", "n") >= F.struct(F.col("loose_block").alias("block"), F.col("loose_n").alias("n")))
@@ -131,8 +140,11 @@ def records(numbered: DataFrame, keys: Sequence[str] = ("source_file",)) -> Data
     parts = rows.where("_part").withColumn("_first", F.coalesce(first, F.struct(F.col("from_block").alias("block"), F.col("from_n").alias("n"))))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "n", "value"))), lambda x: x["value"]), LINE_END)
     joined = parts.groupBy(*keys, "_first").agg(text.alias("value")).select(*keys, F.col("_first.block").alias("block"), F.col("_first.n").alias("n"), "value")
-    out = whole.union(joined)
-    return out.withColumn("value", F.when(F.endswith("value", F.lit("\r")), F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value")))
+    return _without_return(whole.union(joined))
+
+
+def _without_return(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("value", F.when(F.endswith("value", F.lit("\r")), F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value")))
 
 
 def _unquote(c: Column) -> Column:
@@ -167,6 +179,11 @@ def _cell(cells: Column, pos: Column) -> Column:
     return F.when(F.length(raw) > 0, raw)
 
 
+#: a known cell's text (as ``_cell`` has it) in SQL
+_VALUE = """CASE WHEN {r} = '' OR {r} = '""' THEN NULL
+    WHEN startswith({r}, '"') AND endswith({r}, '"') AND length({r}) >= 2 THEN replace(substring({r}, 2, length({r}) - 2), '""', '"') ELSE {r} END"""
+
+
 def _fragment(name: Column, value: Column) -> Column:
     """``"name":"value"`` with JSON escaping (the body of a one-key object):
     each side is a one-element JSON array with its brackets cut off."""
@@ -188,8 +205,8 @@ def file_headers(rows: DataFrame, schema: StructType, keys: Sequence[str] = ("so
     return named.select(*keys, "_hdr", *[F.array_position("_hdr", n).cast("int").alias(f"_p{i}") for i, n in enumerate(known)], unknown.alias("_unknown"))
 
 
-def map_records(rows: DataFrame, schema: StructType, keys: Sequence[str] = ("source_file",)) -> DataFrame:
-    """Records mapped by each file's header to ``schema`` plus ``_rescued_data``."""
+def map_records(rows: DataFrame, schema: StructType, keys: Sequence[str] = ("source_file",), carry: Sequence[str] = ()) -> DataFrame:
+    """Records mapped by each file's header to ``schema`` plus ``_rescued_data``; ``carry``: other columns to keep."""
     known = [f.name for f in schema.fields]
     body = rows.where("NOT (block = 0 AND n = 1)").where(F.length(F.trim("value")) > 0)
     body = body.join(file_headers(rows, schema, keys), list(keys)).withColumn("_c", _split(F.col("value")))
@@ -201,17 +218,21 @@ def map_records(rows: DataFrame, schema: StructType, keys: Sequence[str] = ("sou
     unk = F.transform(F.filter("_unknown", lambda i: _cell(cells, i).isNotNull()), lambda i: _fragment(F.element_at("_hdr", i), _cell(cells, i)))
     # lambdas only for records that have such cells
     odd = F.when((F.size("_unknown") > 0) | (F.size(cells) > n_h), F.array_join(F.concat(unk, ext), ","))
-    values = body.select(*keys, *[_cell(cells, F.col(f"_p{i}")).alias(f"_v{i}") for i in range(len(known))], F.when(F.length(odd) > 0, odd).alias("_odd"))
-    cell = {n: F.col(f"_v{i}") for i, n in enumerate(known)}
-    typed = {f.name: (cell[f.name] if isinstance(f.dataType, StringType) else cell[f.name].try_cast(f.dataType)) for f in schema.fields}
-    bad = [
-        F.when(cell[f.name].isNotNull() & typed[f.name].isNull(), _fragment(F.lit(f.name), cell[f.name]))
-        for f in schema.fields
-        if not isinstance(f.dataType, StringType)
-    ]
-    text = F.concat_ws(",", *bad, F.col("_odd"))
-    rescued = F.when(text != "", F.concat(F.lit("{"), text, F.lit("}")))
-    return values.select(*keys, *[typed[n].alias(n) for n in known], rescued.alias("_rescued_data"))
+    kept = [*keys, *carry]
+    # as SQL text: a projection of some hundred expressions is then built with one call for each
+    raw = [f"CASE WHEN _p{i} > 0 THEN try_element_at(_c, _p{i}) END AS _r{i}" for i in range(len(known))]
+    body = body.select(*kept, F.when(F.length(odd) > 0, odd).alias("_odd"), *[F.expr(x) for x in raw])
+    values = body.selectExpr(*kept, "_odd", *[f"{_VALUE.format(r=f'_r{i}')} AS _v{i}" for i in range(len(known))])
+    typed, bad = [], []
+    for i, f in enumerate(schema.fields):
+        if isinstance(f.dataType, StringType):
+            typed.append(f"_v{i} AS `{f.name}`")
+            continue
+        cast, name = f"try_cast(_v{i} AS {f.dataType.simpleString()})", json.dumps(f.name)
+        typed.append(f"{cast} AS `{f.name}`")
+        bad.append(f"CASE WHEN _v{i} IS NOT NULL AND {cast} IS NULL THEN concat('{name}:', substring(to_json(array(_v{i})), 2, length(to_json(array(_v{i}))) - 2)) END")
+    text = f"concat_ws(',', {', '.join([*bad, '_odd'])})"
+    return values.selectExpr(*kept, *typed, f"CASE WHEN {text} != '' THEN concat('{{', {text}, '}}') END AS _rescued_data")
 
 
 def parse_by_header(files: DataFrame, schema: StructType, text: str = "value", keep: tuple[str, ...] = ("source_file",)) -> DataFrame:

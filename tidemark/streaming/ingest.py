@@ -36,7 +36,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidemark.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, CONTRACT_VERSION, SNAPSHOT_SCHEMA
 from tidemark.session import scratch_path
-from tidemark.sources.csv_snapshots import LINE_END, map_records, number_lines, ordered_lines, records, stamp, with_path_parts, with_range
+from tidemark.sources.csv_snapshots import LINE_END, has_broken_records, map_records, number_lines, ordered_lines, records, stamp, with_path_parts, with_range
 from tidemark.streaming.opslog import Run, Status, append_best_effort, file_events, run_event
 
 BRONZE_PARTITIONS = ["AccountName", "snapshot_date"]
@@ -57,11 +57,16 @@ def snapshot_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
     return with_range(reader.load(landing))
 
 
-def bronze_rows(numbered: DataFrame, run_id: str, run_ts: datetime | None = None) -> DataFrame:
-    """Numbered lines to records by header, path parts, stamps, the contract's columns."""
+def bronze_rows(numbered: DataFrame, run_id: str, run_ts: datetime | None = None, partitions: int | None = None) -> DataFrame:
+    """Written numbered lines to records by header, path parts, stamps, the contract's columns.
+
+    With ``partitions`` a range's rows are dealt to one of so many tasks: a task opens a
+    file for each snapshot that it writes, so few rows in many files need many tasks."""
     ts = F.lit(run_ts.replace(tzinfo=None)).cast("timestamp_ntz") if run_ts is not None else None
-    out = stamp(with_path_parts(map_records(records(numbered), SNAPSHOT_SCHEMA)), run_id, CONTRACT_VERSION, ts)
-    return out.select(*BRONZE_COLUMNS)
+    rows = map_records(records(numbered, broken=has_broken_records(numbered)), SNAPSHOT_SCHEMA, carry=["block"])
+    if partitions:
+        rows = rows.repartition(partitions, "source_file", "block")
+    return stamp(with_path_parts(rows), run_id, CONTRACT_VERSION, ts).select(*BRONZE_COLUMNS)
 
 
 @dataclass
@@ -85,11 +90,12 @@ def batch_writer(spark: SparkSession, bronze_path: str, log_path: str | None, ct
         started = datetime.now(timezone.utc)
         result.stream = result.stream or stream_id(spark, ctx.progress_at)
         lines = scratch_path(spark, "ingest-lines")
-        # as many tasks as the batch has splits; a range stays in one of them
-        numbered = number_lines(ordered_lines(batch), partitions=max(1, batch.rdd.getNumPartitions()))
+        # a task for each split of the batch; a range stays in one of them
+        splits = max(batch.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+        numbered = number_lines(ordered_lines(batch), partitions=splits)
         numbered.write.parquet(lines)
         target = f"{bronze_path.rstrip('/')}/query_id={result.stream}/batch_id={batch_id}"
-        rows = bronze_rows(spark.read.schema(numbered.schema).parquet(lines), ctx.run_id, rows_ts)
+        rows = bronze_rows(spark.read.schema(numbered.schema).parquet(lines), ctx.run_id, rows_ts, splits)
         rows.write.mode("overwrite").partitionBy(*BRONZE_PARTITIONS).parquet(target)
         written = spark.read.schema(BRONZE_SCHEMA).parquet(target)
         n = written.count()
