@@ -9,7 +9,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tidemark.plans.catalog import prepare  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,5 +23,4 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    prepare(s)
     yield s

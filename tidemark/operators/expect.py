@@ -1,16 +1,17 @@
 """Data expectations as Spark jobs.
 
-Each check returns its failing rows (or groups) as a DataFrame.
-``run_expectations`` reduces a list of checks to one row per check
-(check, severity, failures, status) with one global count per check and no
-collect.  NULL handling: accepted values, relationships and expressions let
+Each check returns its failing rows (or groups) as a DataFrame.  ``evaluate``
+runs many checks that are declared as data (``Declared``): a layer's rows are
+read once and become, for every check that a row bears on, one (check, key)
+pair; pairs are counted with map-side sums, and the counts give every check's
+failures.  NULL handling: accepted values, relationships and expressions let
 NULL pass (``null_is_failure`` turns that off for expressions); uniqueness
 ignores rows with a NULL key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,23 +63,59 @@ def expression_is_true(
 
 
 @dataclass(frozen=True)
-class Check:
-    name: str
-    failing: DataFrame
-    severity: str = ERROR
+class Declared:
+    """One check as data.
 
+    Without ``keys``: rows for which ``fails`` (SQL) is true are failures.  With
+    ``keys`` alone: key groups of more than one row are; rows with a NULL key, or
+    outside ``where``, do not count.  With ``parent`` (layer, column): rows whose
+    only key is no value of that column are.
+    """
 
-def run_expectations(checks: Sequence[Check]) -> DataFrame:
-    """One row per check with its failure count and status (a failing
-    ``warn`` check reports ``warn``; a failing ``error`` check ``fail``)."""
-    rows = None
-    for chk in checks:
-        one = chk.failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(chk.name).alias("check_name"), F.lit(chk.severity).alias("severity"), "failures"
-        )
-        rows = one if rows is None else rows.unionByName(one)
+    name: str
+    severity: str = ERROR
+    fails: str | None = None
+    keys: tuple[str, ...] = ()
+    where: str | None = None
+    parent: tuple[str, str] | None = None
+
+
+def evaluate(layers: Mapping[str, DataFrame], declared: Mapping[str, Sequence[Declared]]) -> DataFrame:
+    """(layer, check_name, severity, failures, status) of all declared checks.
+
+    Failures are rows, for uniqueness key groups; a failing ``warn`` check reports
+    ``warn``, a failing ``error`` check ``fail``."""
+    spark = next(iter(layers.values())).sparkSession
+    pair = lambda i, key: F.struct(F.lit(i).alias("check"), key.alias("key"))
+    listed, pairs, parents = [], None, None
+    for layer, checks in declared.items():
+        bearing = []
+        for c in checks:
+            i = len(listed)
+            listed.append((i, layer, c.name, c.severity, bool(c.keys), c.parent is not None))
+            if not c.keys:
+                bearing.append(F.when(F.expr(c.fails), pair(i, F.lit(""))))
+                continue
+            complete = F.expr(" AND ".join([*[f"{k} IS NOT NULL" for k in c.keys], *([f"({c.where})"] if c.where else [])]))
+            bearing.append(F.when(complete, pair(i, F.to_json(F.struct(*[F.col(k).alias(str(n)) for n, k in enumerate(c.keys)])))))
+            if c.parent:
+                column = F.col(c.parent[1])
+                held = layers[c.parent[0]].where(column.isNotNull()).select(F.lit(i).alias("check"), F.to_json(F.struct(column.alias("0"))).alias("key")).distinct()
+                parents = held if parents is None else parents.unionByName(held)
+        rows = layers[layer].select(F.explode(F.array(*bearing)).alias("p")).where("p IS NOT NULL").select("p.*")
+        pairs = rows if pairs is None else pairs.unionByName(rows)
+    counts = pairs.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    if parents is not None:
+        counts = counts.join(parents.withColumn("there", F.lit(True)), ["check", "key"], "left")
+    else:
+        counts = counts.withColumn("there", F.lit(None).cast("boolean"))
+    table = spark.createDataFrame(listed, "check int, layer string, check_name string, severity string, keyed boolean, child boolean")
+    found = counts.join(F.broadcast(table), "check").groupBy("check").agg(  # the declared checks: a table of this program
+        F.sum(F.when(F.col("child"), F.when(F.col("there").isNull(), F.col("n"))).when(F.col("keyed"), (F.col("n") > 1).cast("bigint")).otherwise(F.col("n"))).alias("n")
+    )
+    out = table.join(found, "check", "left").withColumn("failures", F.coalesce("n", F.lit(0)).cast("bigint"))
     status = F.when(F.col("failures") == 0, F.lit(PASS)).when(F.col("severity") == WARN, F.lit(WARN)).otherwise(F.lit(FAIL))
-    return rows.withColumn("status", status)
+    return out.select("layer", "check_name", "severity", "failures", status.alias("status"))
 
 
 def overlapping_windows(scd2: DataFrame, keys: Sequence[str] = ("account", "entity_id")) -> DataFrame:
@@ -113,15 +150,11 @@ def obtained_mismatch(
 
 
 def attribute_conflicts(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
-    """Keys with more than one distinct value in any attribute; per
-    attribute the distinct count and the sorted distinct values joined by '|'."""
-    aggs = []
-    for name, c in columns.items():
-        aggs.append(F.count_distinct(c).alias(f"n_{name}"))
-        aggs.append(F.array_join(F.array_sort(F.collect_set(c.cast("string"))), "|").alias(f"{name}_values"))
-    grouped = df.groupBy(key).agg(*aggs)
-    cond = None
-    for name in columns:
-        term = F.col(f"n_{name}") > 1
-        cond = term if cond is None else cond | term
-    return grouped.where(cond)
+    """For keys with more than one distinct value in an attribute, a row per
+    value: (key, attribute, value, n_rows, n_values).  Values are counted and
+    joined, never collected, however many a key has; NULLs do not count."""
+    values = F.array(*[F.struct(F.lit(n).alias("attribute"), c.cast("string").alias("value")) for n, c in columns.items()])
+    counts = df.select(key, F.inline(values)).where(F.col("value").isNotNull()).groupBy(key, "attribute", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    several = counts.groupBy(F.col(key).alias("_key"), F.col("attribute").alias("_attribute")).agg(F.count(F.lit(1)).alias("n_values")).where(F.col("n_values") > 1)
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("attribute") == F.col("_attribute"))
+    return counts.join(several, same).select(key, "attribute", "value", "n_rows", "n_values")

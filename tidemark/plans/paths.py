@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import account_from_path, date_from_file_name, file_name, version_from_file_name
-from tidemark.plans.catalog import prepare
 from tidemark.sources.tables import load_table
 
 
@@ -62,5 +61,4 @@ def with_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def path_parts(spark: SparkSession, data_dir: str) -> DataFrame:
-    prepare(spark)
     return with_path_parts(landing_paths(load_table(spark, data_dir, "events")))

@@ -5,8 +5,8 @@ final -> id map -> keyed -> {lookup, registry} -> {current, first seen}
 -> history -> scd2 -> {obtained, upgrades} -> gold.
 Each attribute is built on first use; nothing is collected.
 
-With ``materialize=True`` the layers everything else reads (keyed rows, the
-snapshot sequence and history) are written once as parquet into the shared folder
+With ``materialize=True`` the layers everything else reads (classified and keyed
+rows, the snapshot sequence and history) are written once as parquet into the shared folder
 of ``spark.checkpoint.dir``: later plans start from those files and read only
 the columns they need, and a lost executor recomputes from there.
 
@@ -45,7 +45,7 @@ class Silver:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return quality.classify(self.staged)
+        return self._cut(quality.classify(self.staged), "classified")
 
     @cached_property
     def quarantine(self) -> DataFrame:

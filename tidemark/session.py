@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,20 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str):
+    """Runtime SQL settings for what runs inside; afterwards the session has its own again."""
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -62,5 +77,7 @@ def write_layer(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table in the shared folder: computed once, whatever reads it, and lost
     executors recompute from it.  Unlike a checkpoint, its columns are read as they are needed."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    # a ladder of some 30 cases over many aliases of one column makes the inference of constraints explode
+    with settings(spark, spark__sql__constraintPropagation__enabled="false"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
