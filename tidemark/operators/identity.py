@@ -21,6 +21,8 @@ def representative(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     order when ties would change the output.
     """
     fields = list(order)
+    # distinct first: a hash aggregate, after which few rows are left for the min of structs (which sorts)
+    df = df.select(key, *fields).distinct()
     return df.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in fields])).alias("_w")).select(
         key, *[F.col(f"_w.{c}").alias(c) for c in fields]
     )

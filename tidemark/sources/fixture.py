@@ -137,3 +137,37 @@ def lineitem_snapshots(lineitem: DataFrame, entities: int = 20) -> DataFrame:
     }
     tiebreak = F.struct("l_orderkey", "l_linenumber", "l_partkey")
     return base.select(*[cols[c].alias(c) for c in BRONZE_COLUMNS], tiebreak.alias(TIEBREAK))
+
+
+#: one damage per quarantine rule, in the ladder's order: bronze column and its bad value as SQL
+DAMAGE = (
+    ("AccountName", "NULL"), ("ID", "NULL"), ("HeroID", "NULL"), ("source_file", "NULL"),
+    ("run_id", "NULL"), ("snapshot_ts", "NULL"), ("snapshot_date", "NULL"), ("schema_version", "NULL"),
+    ("Name", "NULL"), ("Rank", "7"), ("EmpowerLevel", "5"), ("Rarity", "0"), ("Affinity", "5"), ("BlessingID", "7"), ("schema_version", "'2.0'"),
+    ("Faction", "19"), *((c, "-1") for c in (
+        "Level", "UsedT1MasScrolls", "UnUsedT1MasScrolls", "UsedT2MasScrolls", "UnUsedT2MasScrolls", "UsedT3MasScrolls", "UnUsedT3MasScrolls",
+        "HP", "ATK", "DEF", "CritRate", "CritDamage", "SPD", "ACC", "RES", "BlessingGrade", "BooksMissing", "snapshot_version")),
+)
+DAMAGE_CYCLE = 53  # a prime beyond the number of rules: most rows stay as they are
+
+
+def damage_sql() -> dict[str, str]:
+    """Per bronze column its damaged value: rule i is broken in rows whose ``record_id % DAMAGE_CYCLE`` is i, and a
+    second, later rule in every third of those; clean rows get fractions that staging must round."""
+    out: dict[str, str] = {}
+    for i, (column, bad) in enumerate(DAMAGE):
+        later = (i + 5) % len(DAMAGE)
+        out.setdefault(column, "CASE ")
+        out[column] += f"WHEN record_id % {DAMAGE_CYCLE} = {i} THEN {bad} "
+        c2, b2 = DAMAGE[later]
+        if later > i and c2 != column:
+            out.setdefault(c2, "CASE ")
+            out[c2] += f"WHEN record_id % {DAMAGE_CYCLE} = {i} AND record_id % 3 = 0 THEN {b2} "
+    kept = {"HP": "HP + 0.5", "ATK": "ATK + 0.25", "DEF": "DEF + 0.75", "SPD": "SPD + 0.126"}
+    return {c: f"{text}ELSE {kept.get(c, c)} END" for c, text in out.items()}
+
+
+def damaged(bronze: DataFrame) -> DataFrame:
+    """Bronze rows of which every quarantine rule rejects some."""
+    types = dict(bronze.dtypes)
+    return bronze.withColumns({c: F.expr(text).cast(types[c]) for c, text in damage_sql().items()})
