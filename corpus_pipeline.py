@@ -6,8 +6,8 @@ docs.  All stages but the last return the columns of ``documents``.
 
 * language_id drops documents without a letter (``und``);
 * quality_rules keeps what operator 4 keeps;
-* near_duplicates keeps one document of each component, its smallest doc_id
-  (of rows that repeat a doc_id, one);
+* near_duplicates keeps one document of each component, that with the smallest
+  doc_id;
 * packing returns the pieces of the kept documents with their sequences.
 """
 
@@ -24,22 +24,36 @@ from tidemark.llm.shared import ship_library, write_table
 from tidemark.sources.tables import load_table
 
 
+def nested(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns as one, so that no column of theirs meets an operator's working columns."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Prototypes from the training rows of this stage's input; documents without a language go."""
     prototypes = language.train(docs.where(language.remainder("doc_id", 5) != 0))
-    found = language.identify(docs, prototypes)
-    return found.where(F.col("lang_pred") != language.UNDETERMINED).select(docs.columns)
+    found = language.identify(nested(docs), prototypes)
+    return found.where(F.col("lang_pred") != language.UNDETERMINED).transform(restored, docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # the row number keeps the optimizer from copying the whole projection into a filter below it
-    judged = rules.apply_rules(docs).withColumn("_row", F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(docs.columns)
+    judged = rules.apply_rules(nested(docs)).withColumn("number", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("number") >= 0)).transform(restored, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.jaccard_components(spark, docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Rows are numbered, so that rows without an id, or with one id and different texts, are documents of their own.
+    The row with the smallest id of each component stays (an id before none, then the smaller number)."""
+    numbered = write_table(spark, nested(docs).select("row", "text", F.monotonically_increasing_id().alias("number")), "near-rows")
+    found = jaccard.jaccard_components(spark, numbered.select(F.col("number").alias("doc_id"), "text"))
+    ids = numbered.select("number", F.col("row.doc_id").alias("id"))
+    first = found.join(ids, found["doc_id"] == ids["number"]).groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "number")).alias("first"))
+    return numbered.join(first.select("first.number"), "number", "left_semi").transform(restored, docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
