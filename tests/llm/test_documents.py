@@ -260,3 +260,42 @@ def test_pipeline_equals_brute_force(spark, work):
     for r in rows:
         total[r["doc_id"]] += r["length"]
     assert all(total[r["doc_id"]] == r["doc_tokens"] for r in rows)
+
+
+CLASHING = ("score", "lang_pred", "row", "number", "n_words", "_text", "_words", "kept", "component_id", "label")
+
+
+def test_stages_keep_rows_without_id_or_with_one_id_and_clashing_columns(spark, work, tmp_path):
+    """Every stage but the last: NULL ids, one id for different texts, and columns named like working columns."""
+    import random
+
+    r = random.Random(4)
+    words = "the of and to in is that it for was with house river stone garden letter morning water people small green".split()
+    texts = [" ".join(r.choice(words) for _ in range(90)) for _ in range(12)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[0] + " more"), (7, texts[2]), (7, texts[3]), (8, texts[2]), (9, texts[4]), (10, None), (11, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCUMENTS).withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    after = {}
+    for name in ("language_id", "quality_rules", "near_duplicates"):
+        docs.transform(lambda d: stages[name](spark, d, str(tmp_path))).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == df.columns and all(x[c] == f"own {c}" for x in docs.collect() for c in CLASHING)
+        after[name] = sorted(((x["doc_id"], x["text"]) for x in docs.collect()), key=str)
+    assert after["language_id"] == sorted(((i, t) for i, t in rows if t), key=str) == after["quality_rules"]
+    kept = after["near_duplicates"]
+    # the texts 0 and 0 + more are near copies without ids: one stays; text 2 is in 7 and 8: 7 stays
+    assert len(kept) == 5 and {t for _, t in kept} >= {texts[1], texts[2], texts[3], texts[4]} and (8, texts[2]) not in kept
+    stages["packing"](spark, docs, str(tmp_path)).collect()
+    empty = spark.createDataFrame([], df.schema)
+    for name in ("language_id", "quality_rules", "near_duplicates", "packing"):
+        assert stages[name](spark, empty, str(tmp_path)).count() == 0
+
+
+def test_rules_query_with_clashing_columns(spark, work, tmp_path):
+    from tidemark.llm import queries
+
+    df = spark.createDataFrame(rows_of(["one two three", None]), DOCUMENTS).withColumns({c: F.lit(1) for c in ("n_words", "_text", "kept")})
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert [x["n_words"] for x in queries.op4_quality_rules(spark, str(tmp_path)).orderBy("doc_id").collect()] == [3, 0]

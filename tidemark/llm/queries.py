@@ -38,7 +38,8 @@ def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = rules.apply_rules(load_table(spark, sf_dir, "documents"))
+    # only these columns: others may have the names of counts
+    judged = rules.apply_rules(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
