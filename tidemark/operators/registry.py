@@ -120,8 +120,10 @@ def last_run_summary(keyed: DataFrame, quarantine: DataFrame, registry: DataFram
         ).alias("_l")
     ).select("account", "_l.*")
     pair = ["account", "source_file"]
-    rows = keyed.groupBy(*pair).agg(F.count(F.lit(1)).alias("snapshot_rows"))
-    bad = quarantine.groupBy(*pair).agg(F.count(F.lit(1)).alias("quarantined_rows"))
+    # only rows of the latest files are counted, not those of every file ever seen
+    only = latest.select(*pair)
+    rows = keyed.select(*pair).join(only, pair, "left_semi").groupBy(*pair).agg(F.count(F.lit(1)).alias("snapshot_rows"))
+    bad = quarantine.select(*pair).join(only, pair, "left_semi").groupBy(*pair).agg(F.count(F.lit(1)).alias("quarantined_rows"))
     return latest.join(rows, on=pair, how="left").join(bad, on=pair, how="left").select(
         "account",
         "source_file",
