@@ -299,3 +299,63 @@ def test_rules_query_with_clashing_columns(spark, work, tmp_path):
     df = spark.createDataFrame(rows_of(["one two three", None]), DOCUMENTS).withColumns({c: F.lit(1) for c in ("n_words", "_text", "kept")})
     df.write.parquet(f"{tmp_path}/documents.parquet")
     assert [x["n_words"] for x in queries.op4_quality_rules(spark, str(tmp_path)).orderBy("doc_id").collect()] == [3, 0]
+
+
+TWO = "<p>One paragraph, long enough to score, with commas.</p><p>Another paragraph, long enough too, with a comma.</p>"
+TEXT = "One paragraph, long enough to score, with commas.\nAnother paragraph, long enough too, with a comma."
+MENU = "<ul><li><a href=x>Home and more</a></li><li><a href=y>About all of us</a></li></ul>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><article><h1>T</h1><div>{TWO}</div></article></body>", f"T\n{TEXT}"),
+    (f"<body><header>Site</header><article><header><h1>Head</h1></header>{TWO}</article><footer>end</footer></body>", f"Head\n{TEXT}"),
+    (f"<body><div class='content with-sidebar'>{TWO}</div><div class=sidebar>{TWO}</div></body>", TEXT),
+    (f"<body><div class='post share-enabled'><h2>T</h2>{TWO}</div><div>{MENU}</div></body>", f"T\n{TEXT}"),
+    (f"<body><article>{TWO}{TWO}{TWO}</article><article><h2>B</h2><p>A short second article, of one sentence.</p></article></body>", f"{TEXT}\n{TEXT}\n{TEXT}\nB\nA short second article, of one sentence."),
+    (f"<body><div id=page-with-comments><main><section>{TWO}</section><section><h2>More</h2><ul><li>an item</li></ul></section></main></div></body>", f"{TEXT}\nMore\nan item"),
+    (f"<body><article>{TWO}<div class=comments>{TWO}{TWO}{TWO}{TWO}</div><aside>{TWO}</aside></article></body>", TEXT),
+    (f"<body><div>{MENU}</div><div><div>{TWO}</div><div><h2>Second</h2><table><tr><td>cell</td></tr></table></div></div></body>", f"{TEXT}\nSecond\ncell"),
+    ("<body>" + "<span>" * 3000 + "deep inline text, long enough to count</body>", "deep inline text, long enough to count"),
+])
+def test_articles_keep_their_blocks(page, text):
+    assert content.main_text(page) == text
+
+
+def test_pages_equal_a_plain_reader(spark, work):
+    """The pages of the test tables keep their text in one article element: a plain reader of that is the reference."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.out = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            if tag in content.BLOCKS:
+                self.out.append("")
+            elif tag == "br":
+                self.out[-1] += " "
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            if tag in content.BLOCKS:
+                self.out.append("")
+
+        def handle_data(self, data):
+            if self.inside > 0:
+                self.out[-1] += data
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    html = {r["page_id"]: r["html"] for r in pages.collect()}
+    for r in content.extract(pages).collect():
+        reader = Reader()
+        reader.feed(html[r["page_id"]] or "")
+        reader.close()
+        assert r["text"] == "\n".join(t for t in (" ".join(b.split()) for b in reader.out) if t), r["page_id"]
+
+
+def test_empty_tables_of_language_and_vectors(spark, work, none):
+    assert language.identify(none, language.train(none)).count() == 0
+    empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
+    assert near_vectors.near_vectors(spark, empty).count() == 0

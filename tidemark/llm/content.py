@@ -3,10 +3,15 @@
 A page is read into a small tree.  Every paragraph passes points (one, one per
 comma, up to three for length) to its parent, half of them to its grandparent
 and less to further ancestors.  A container's points are discounted by its
-link density; the best container is kept, with siblings that score well enough
-or are paragraphs of running text.  Elements that never belong to an article
-(menus, headers, footers, sidebars, forms, scripts, adverts, notices, reader
-comments, by tag, role or class) are left out before and inside it.
+link density.  From the best container the way goes up to the article or main
+element around it, and on to ancestors below the body that add no link-heavy
+part; all blocks of that element are kept, with siblings that score well enough,
+are articles, or are paragraphs of running text.  Elements that never belong to
+an article (menus, page headers, footers, sidebars, forms, scripts, adverts,
+notices, reader comments, by tag, role or class) are left out before and inside
+it.  A class or id never leaves out what holds an article or main element; and
+where the word is only part of a name (``with-sidebar``), not what holds most of
+the page's paragraphs.  The header of an article belongs to it.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by a newline in page order.
@@ -40,8 +45,13 @@ UNLIKELY = frozenset(
     "navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related reply replies respond rss "
     "search share sharing shoutbox sidebar sidebars signup skip social sponsor sponsored sponsors subscribe toolbar tools toast tweet widget widgets".split()
 )
+HOSTS = ("article", "main")
+#: What a class, id or role says of an element: nothing, a name with such a word in it, such a word.
+PLAIN, PARTLY, WHOLLY = 0, 1, 2
 #: A paragraph's least length to score, the share of the best score that a sibling needs.
 LEAST_CHARS, SIBLING_SHARE, SIBLING_POINTS = 25, 0.2, 10
+#: From this share of characters in links on a part is a menu rather than text.
+LINK_HEAVY = 0.5
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -52,26 +62,32 @@ _PART = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 class Node:
     """An element: its children are nodes and pieces of text, in page order."""
 
-    __slots__ = ("children", "dropped", "link_chars", "parent", "points", "tag", "text_chars")
+    __slots__ = ("children", "dropped", "inside", "link_chars", "named", "parent", "points", "tag", "text_chars")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, named: int = 0):
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
+        self.inside = tag in HOSTS or parent is not None and parent.inside
         self.children: list[Node | str] = []
         self.points, self.text_chars, self.link_chars = 0.0, 0, 0
 
 
-def _unlikely(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+def _hidden(attributes: str) -> bool:
+    return bool(attributes) and _HIDDEN.search(attributes) is not None
+
+
+def _named(tag: str, attributes: str) -> int:
+    """Whether class, id or role name what is not the article, wholly or in part of a name."""
+    found = PLAIN
+    if not attributes or tag in ("html", "body", *HOSTS):
+        return found
     for match in _NAMES.finditer(attributes):
         value = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", match[1] or match[2] or match[3] or "").lower()
-        if not UNLIKELY.isdisjoint(_PART.split(value)):
-            return True
-    return False
+        for name in value.split():
+            if name in UNLIKELY:
+                return WHOLLY
+            if not UNLIKELY.isdisjoint(_PART.split(name)):
+                found = PARTLY
+    return found
 
 
 def parse(page: str) -> Node:
@@ -115,7 +131,8 @@ def parse(page: str) -> Node:
                     here = up.parent
                     break
                 up = up.parent
-        node = Node(name, here, here.dropped or _unlikely(name, match[3]))
+        gone = name in DROPPED and not (name == "header" and here.inside) or name not in ("html", "body", *HOSTS) and _hidden(match[3])
+        node = Node(name, here, here.dropped or gone, _named(name, match[3]))
         here.children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
@@ -166,11 +183,51 @@ def _walk(root: Node) -> list[Node]:
     return order
 
 
+def _leave_out(root: Node) -> None:
+    """Drop the elements whose names say so, unless they hold what is looked for: first those named wholly,
+    then of those named in part all that hold no more than half of the paragraphs that are left."""
+    for level in (WHOLLY, PARTLY):
+        order = _walk(root)
+        if not any(n.named == level for n in order):
+            continue
+        hosts, mass = {id(n): n.tag in HOSTS for n in order}, dict.fromkeys(map(id, order), 0)
+        for node in reversed(order):
+            if node.tag in PARAGRAPHS:
+                mass[id(node)] += sum(len(c.strip()) for c in _inline(node))
+            if node.parent is not None:
+                hosts[id(node.parent)] |= hosts[id(node)]
+                mass[id(node.parent)] += mass[id(node)]
+        for node in order:
+            if node.named == level and not hosts[id(node)]:
+                node.dropped = level == WHOLLY or 2 * mass[id(node)] <= mass[id(root)]
+
+
+def _density(node: Node) -> float:
+    return node.link_chars / max(node.text_chars, 1)
+
+
+def _top(best: Node) -> Node:
+    """The element around the best container whose blocks are the article."""
+    top, up = best, best
+    while up is not None:
+        if up.tag in HOSTS and _density(up) < LINK_HEAVY:
+            top = up
+            break
+        up = up.parent
+    while top.parent is not None and top.parent.tag not in ("", "html", "body"):
+        beside = (c for c in top.parent.children if isinstance(c, Node) and c is not top and not c.dropped)
+        if any(_density(c) >= LINK_HEAVY for c in beside if c.text_chars):
+            break
+        top = top.parent
+    return top
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
     root = parse(page)
+    _leave_out(root)
     order = _walk(root)
     for node in reversed(order):  # children before parents
         for child in node.children:
@@ -196,29 +253,33 @@ def main_text(page: str | None) -> str:
         scored = True
     if not scored:
         return "\n".join(blocks([root]))
-    worth = {id(n): n.points * (1 - n.link_chars / max(n.text_chars, 1)) for n in order}
+    worth = {id(n): n.points * (1 - _density(n)) for n in order}
     best = max(order, key=lambda n: worth[id(n)])
     if best.parent is None:
         return "\n".join(blocks([best]))
+    top = _top(best)
     least = max(SIBLING_POINTS, SIBLING_SHARE * worth[id(best)])
     kept: list[Node | str] = []
-    for node in best.parent.children:
+    for node in top.parent.children:
         if not isinstance(node, Node) or node.dropped:
             continue
-        density = node.link_chars / max(node.text_chars, 1)
+        density = _density(node)
         running = node.tag == "p" and (node.text_chars > 80 and density < 0.25 or 0 < node.text_chars <= 80 and density == 0 and "." in "".join(_inline(node)))
-        if node is best or worth[id(node)] >= least or running:
+        article = node.tag == "article" and node.points > 0 and density < LINK_HEAVY
+        if node is top or worth[id(node)] >= least or running or article:
             kept.append(node)
     return "\n".join(blocks(kept))
 
 
 def _inline(node: Node) -> Iterator[str]:
     """Text of an element without its blocks."""
-    for child in node.children:
+    stack = list(reversed(node.children))
+    while stack:
+        child = stack.pop()
         if isinstance(child, str):
             yield child
         elif not child.dropped and child.tag not in BLOCKS:
-            yield from _inline(child)
+            stack.extend(reversed(child.children))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
