@@ -114,7 +114,7 @@ def test_runs_equal_one_computation(spark, tmp_path, seed):
     snaps = snapshots(seed)
     run_of = lambda day: ts(20 + (day - 1) // 4)  # noqa: E731  four days' snapshots arrive together
     whole = Silver(bronze_of(spark, snaps, run_of))
-    store = open_store(spark, str(tmp_path / "runs"))
+    store = open_store(spark, str(tmp_path / "runs"), coarse=3, fine=2)
     for k in range(3):
         batch = [x for x in snaps if (x[1] - 1) // 4 == k]
         run_batch(store, bronze_of(spark, batch, run_of))

@@ -102,7 +102,7 @@ def obtained_incremental(scd2: DataFrame, keyed: DataFrame) -> DataFrame:
 def stored_runs(spark: SparkSession, bronze: DataFrame, tiebreak: str | None) -> Store:
     """Three runs over the store: the files up to a third of the dates, up to two thirds, and the
     others.  The last run gets all rows once more; what is registered is skipped."""
-    store = open_store(spark, scratch_path(spark, "runs"))
+    store = open_store(spark, scratch_path(spark, "runs"), coarse=4, fine=2)
     lo, hi = F.min("snapshot_date"), F.max("snapshot_date")
     third = (F.datediff(hi, lo) / 3).cast("int")
     cuts = bronze.agg(F.date_add(lo, third).alias("first"), F.date_add(lo, third * 2).alias("second"))

@@ -32,22 +32,30 @@ from tidemark.plans.silver import Silver
 from tidemark.schema import ENTITY_KEYS
 from tidemark.session import write_layer
 
-LAYOUTS = {
-    "id_map": Layout("source_type_id", coarse=1, fine=1),
-    "lookup": Layout("type_key", coarse=1, fine=1),
-    "registry": Layout("account", ("source_file",)),
-    "marks": Layout("account", fine=1),
-    "first_seen": Layout("account", ("type_key",)),
-    "tail": Layout("account", ("entity_id",)),
-    "closed": Layout("account", ("entity_id",)),
-    "obtained": Layout("account", ("entity_id",)),
-    "upgrades": Layout("account", ("entity_id",)),
-    "gold": Layout("account", ("type_key",)),
-}
-
-
-def open_store(spark: SparkSession, root: str, keep: int = 2) -> Store:
-    return Store(spark, root, LAYOUTS, keep)
+#: Buckets of a table with a row per entity or type of an account: accounts' shares, and parts of each share.
+COARSE, FINE = 64, 4
+
+
+def layouts(coarse: int = COARSE, fine: int = FINE) -> dict[str, Layout]:
+    """How the models are spread; small models in fewer buckets."""
+    wide = lambda *by: Layout("account", by, coarse, fine)
+    return {
+        "id_map": Layout("source_type_id", coarse=1, fine=1),
+        "lookup": Layout("type_key", coarse=1, fine=1),
+        "registry": wide("source_file"),
+        "marks": Layout("account", coarse=coarse, fine=1),
+        "first_seen": wide("type_key"),
+        "tail": wide("entity_id"),
+        "closed": wide("entity_id"),
+        "obtained": wide("entity_id"),
+        "upgrades": wide("entity_id"),
+        "gold": wide("type_key"),
+    }
+
+
+def open_store(spark: SparkSession, root: str, keep: int = 2, coarse: int = COARSE, fine: int = FINE) -> Store:
+    """The store of ``run_batch``.  The numbers of buckets belong to the data: open it with the same ones."""
+    return Store(spark, root, layouts(coarse, fine), keep)
 
 
 def run_batch(store: Store, bronze: DataFrame, tiebreak: str | None = None) -> int:
