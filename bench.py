@@ -21,7 +21,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators import events, history, identity, quality, registry, rollup  # noqa: E402
-from tidemark.plans.catalog import prepare  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 from tidemark.sources.fixture import TIEBREAK, lineitem_snapshots  # noqa: E402
 from tidemark.sources.tables import load_table  # noqa: E402
@@ -37,7 +36,8 @@ def noop(df):
 
 def main():
     spark = get_session(master=f"local[{CPUS}]", shuffle_partitions=max(8, CPUS * 2), app="tidemark-bench")
-    prepare(spark)
+    # classify writes with a deep CASE ladder, see session.write_layer
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     ckpt = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-bench-")
     work = tempfile.mkdtemp(prefix="bench-", dir=ckpt if ckpt.startswith("/") else None)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
