@@ -9,8 +9,9 @@ length filter are dropped, the others make candidate pairs, subject to the
 length filter, the positional filter and a suffix filter.  That one bounds the difference of two sets from
 their parts: each row carries, for 1,024 parts of the hash range, whether its
 set has an odd number of shingles there, and where two sets disagree at least
-one shingle differs.  Every pair that is left is verified once, exactly, from
-the whole sets.
+one shingle differs.  Pairs that pass are filtered once more by sketches with
+several parts for each shingle.  Every pair that is left is verified once,
+exactly, from the whole sets.
 
 Rarity comes from a table of counts of a fixed size (hashed, so a count may be
 too high).  Any common order gives right results; the table only makes
@@ -53,8 +54,10 @@ COUNT_BITS, WANTED_BITS = 21, 24
 NEAR, ORDERS, FIRST, EVERY, TOGETHER = 4, 2, 8, 16, 100_000
 #: Rows of a common shingle that form one block when all of them meet, and when pairs are verified.
 BLOCK = 4_000
-#: Parts of the hash range whose parities a set's sketch holds.
-PARITY_BITS = 1024
+#: Neighbouring rows of a shingle whose pairs are verified together in the first round.
+VERIFIED = 512
+#: Parts of the hash range whose parities a set's sketch holds; parts for each shingle in its fine sketch, at least.
+PARITY_BITS, FINE = 1024, 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -81,12 +84,25 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
     return out
 
 
-def parity_sketch(grams: np.ndarray) -> bytes:
-    """One bit for each part of the hash range: whether the set has an odd number of shingles there."""
-    counts = np.bincount((grams >> np.uint64(54)).astype(np.int64), minlength=PARITY_BITS)
+def parity_sketch(grams: np.ndarray, bits: int = PARITY_BITS) -> bytes:
+    """One bit for each of ``bits`` (a power of two) parts of the hash range: whether the set has an odd number of shingles there."""
+    counts = np.bincount((grams >> np.uint64(65 - bits.bit_length())).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def fine_bits(n: int) -> int:
+    """Parts of a set's fine sketch: a power of two, ``FINE`` to twice as many for each shingle."""
+    return max(PARITY_BITS, 1 << (FINE * n - 1).bit_length())
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Lower bound of the symmetric difference of two sets from their fine sketches; the finer one is folded."""
+    p, q = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    if len(q) > len(p):
+        q = np.packbits(np.bitwise_xor.reduce(np.unpackbits(q).reshape(8 * len(p), -1), axis=1))
+    return int(np.bitwise_count(p ^ q).sum(dtype=np.int64))
+
+
 def set_key(grams: np.ndarray) -> int:
     """64-bit key of a whole set (signed)."""
     mixed = tk.splitmix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) ^ np.uint64(len(grams) << 40)
@@ -125,17 +141,19 @@ class Join:
                     n = pa.array([len(s) for s in sets], pa.int64())
                     cls = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
                     sketch = pa.array([parity_sketch(s) if len(s) else None for s in sets], pa.binary())
+                    fine = pa.array([parity_sketch(s, fine_bits(len(s))) if len(s) else None for s in sets], pa.binary())
                     nothing = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
-                    yield pa.RecordBatch.from_arrays([key, n, cls, sketch, *nothing], names=names)
-            empty = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.binary())]
-            for chunk, part in partials.parts_of(table):
+                    yield pa.RecordBatch.from_arrays([key, n, cls, sketch, fine, *nothing], names=names)
+            empty = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.binary())] * 2
+            for chunk, part in partials.parts_of(table, packed=True):
                 yield pa.RecordBatch.from_arrays([*empty, pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=names)
 
-        names = ["key", "n", "cls", "sketch", "chunk", "part"]
-        rows = write_table(self.spark, self.src.mapInArrow(run, "key bigint, n bigint, cls bigint, sketch binary, " + partials.SCHEMA), "shingles")
+        names = ["key", "n", "cls", "sketch", "fine", "chunk", "part"]
+        rows = write_table(self.spark, self.src.mapInArrow(run, "key bigint, n bigint, cls bigint, sketch binary, fine binary, " + partials.SCHEMA), "shingles")
         self.docs = rows.where("chunk is null").select("key", "n", "cls")
+        self.fine = rows.where("cls is not null").select("cls", "n", "fine")
         self.sketches = rows.where("cls is not null").groupBy("cls").agg(F.min("sketch").alias("sketch"))
-        counts = partials.collect_table(rows.where("chunk is not null").select("chunk", "part"), 1 << COUNT_BITS, np.int32)
+        counts = partials.collect_table(rows.where("chunk is not null").select("chunk", "part"), 1 << COUNT_BITS, np.int32, packed=True)
         # 2 MB whatever the corpus
         self.level = self.spark.sparkContext.broadcast(_levels(counts.clip(0)))
 
@@ -170,31 +188,27 @@ class Join:
                     if columns[0]:
                         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=_COLUMNS)
 
-        def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in _runs(batches, None):
-                # copies of a text in several tasks gave the same row
-                own = np.ones(len(rows["gram"]), dtype=bool)
-                own[1:] = (rows["gram"][1:] != rows["gram"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])
-                rows = {c: rows[c][own] for c in _COLUMNS}
-                partner = _has_partner(rows["gram"], rows["n"], share)
-                if partner.any():
-                    out = {c: rows[c][partner] for c in _COLUMNS}
-                    # from here on the low byte tells how many classes share the shingle
-                    _, at, count = np.unique(out["gram"], return_inverse=True, return_counts=True)
-                    out["gram"] = out["gram"] & ~np.int64(255) | _levels(count)[at]
-                    yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in _COLUMNS], names=_COLUMNS)
-
         schema = "gram bigint, cls bigint, n int, pos int"
-        rows = self.src.mapInArrow(run, schema).repartition("gram").sortWithinPartitions("gram", "n", "cls")
+        rows = self.src.mapInArrow(run, schema)
+        sized = Window.partitionBy("gram").orderBy("n", "cls")
+        # copies of a text in several tasks gave the same row
+        rows = rows.withColumn("twin", F.lag("cls").over(sized)).where("twin is null or twin != cls")
+        every = sized.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        around = {"less": F.lag("n").over(sized), "more": F.lead("n").over(sized), "classes": F.count(F.lit(1)).over(every)}
+        # sizes ascend, so the nearest size is next to a row
+        partner = (100 * F.col("less").cast("bigint") >= share * F.col("n").cast("bigint")) | (100 * F.col("n").cast("bigint") >= share * F.col("more").cast("bigint"))
+        # from here on the low byte tells how many classes share the shingle
+        shared = F.least(F.lit(255), F.floor(8 * F.log2(1.0 + F.col("classes")))).cast("bigint")
+        rows = rows.withColumns(around).where(partner).withColumn("gram", F.col("gram").bitwiseAND(~255).bitwiseOR(shared)).select(*_COLUMNS)
         by_class = Window.partitionBy("cls").orderBy("pos")
         places = {"before": F.coalesce(F.lag("gram").over(by_class), F.col("cls")), "turn": F.row_number().over(by_class)}
-        self.rows = write_table(self.spark, rows.mapInArrow(shared, schema).withColumns(places), "prefixes")
+        self.rows = write_table(self.spark, rows.withColumns(places), "prefixes")
 
     # -- candidates and their verification
 
     def candidates(self, comp: DataFrame | None) -> DataFrame:
-        """Distinct pairs (a < b, and a shingle that both prefixes have) that pass the length, positional
-        and suffix filters: rows of a shingle with their next ``NEAR`` rows, for some shared
+        """Distinct pairs (a < b, with a shingle that both prefixes have and a place among its rows) that pass the
+        length, positional and suffix filters: rows of a shingle with their next ``NEAR`` rows, for some shared
         shingles of a class, or, where components are given, with all its rows of other components."""
         share, near = self.share, NEAR if comp is None else None
         rows = self.rows
@@ -204,7 +218,7 @@ class Join:
             rows = rows.withColumns({"comp": F.col("cls"), "p": F.lit(0).cast("bigint"), "cell": F.pmod(F.xxhash64("cls"), _blocks("gram", TOGETHER))})
             order = F.xxhash64("cls", F.pmod(F.shiftright("gram", 8), F.lit(ORDERS)))
         else:
-            rows = rows.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+            rows = rows.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")
             rows = self.apart(rows).join(self.sketches, "cls")
             blocks = _blocks("gram", BLOCK)
             rows = rows.withColumn("p", F.pmod(F.xxhash64("cls"), blocks)).withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
@@ -236,11 +250,18 @@ class Join:
                     ok = np.bitwise_count(r["sketch"][i] ^ r["sketch"][j]).sum(axis=1, dtype=np.int64) <= room
                     i, j = i[ok], j[ok]
                     if len(i):
-                        x, y = r["cls"][i], r["cls"][j]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(r["gram"][i])], names=["a", "b", "gram"])
+                        x, y, gram = r["cls"][i], r["cls"][j], r["gram"][i]
+                        if near is not None:
+                            # neighbours lie in one stretch of the order, or in two that follow each other
+                            place = _stretch(gram, r["mix"][i])
+                        else:
+                            place = r["cell"][i]
+                        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (np.minimum(x, y), np.maximum(x, y), gram, place)], names=["a", "b", "gram", "place"])
 
         placed = rows.withColumn("mix", order).repartition("gram", "cell").sortWithinPartitions("gram", "cell", "mix", "cls")
-        return placed.mapInArrow(run, "a bigint, b bigint, gram bigint").groupBy("a", "b").agg(F.min("gram").alias("gram"))
+        pairs = placed.mapInArrow(run, "a bigint, b bigint, gram bigint, place bigint")
+        # a shingle makes a pair in one cell only, so there is one place for the least one
+        return pairs.groupBy("a", "b").agg(F.min_by("place", "gram").alias("place"), F.min("gram").alias("gram"))
 
     def apart(self, rows: DataFrame) -> DataFrame:
         """Rows of the shingles that several components have, before sketches join them.  A shingle so
@@ -250,12 +271,15 @@ class Join:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in _runs(batches, None):
-                keep = r["split"] | _run_differs(r["gram"], r["comp"])
+                own = np.where(r["alone"], r["cls"], r["comp"])
+                keep = r["split"] | _run_differs(r["gram"], own)
                 if keep.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(r[c][keep]) for c in names], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array((own if c == "comp" else r[c])[keep]) for c in names], names=names)
 
         names = [*_COLUMNS, "before", "comp"]
-        placed = rows.select(*names, "cell", "split").repartition("gram", "cell").sortWithinPartitions("gram", "cell")
+        # most classes are alone, and zeros take no room in a shuffle
+        rows = rows.withColumns({"alone": F.col("comp").isNull(), "comp": F.coalesce("comp", F.lit(0).cast("bigint"))})
+        placed = rows.select(*names, "cell", "split", "alone").repartition("gram", "cell").sortWithinPartitions("gram", "cell")
         return placed.mapInArrow(run, "gram bigint, cls bigint, n int, pos int, before bigint, comp bigint")
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:
@@ -267,10 +291,10 @@ class Join:
             for batch in batches:
                 at = _wanted_bit(np.asarray(batch.column("cls")))
                 np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-            for chunk, part in partials.parts_of(bits):
-                yield partials.chunk_row(chunk, np.frombuffer(part, np.uint8))
+            for chunk, part in partials.parts_of(bits, packed=True):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=["chunk", "part"])
 
-        bitmap = partials.collect_table(wanted.mapInArrow(mark, partials.SCHEMA), 1 << (WANTED_BITS - 3), np.uint8, np.bitwise_or)
+        bitmap = partials.collect_table(wanted.mapInArrow(mark, partials.SCHEMA), 1 << (WANTED_BITS - 3), np.uint8, np.bitwise_or, packed=True)
         shared_bits = self.spark.sparkContext.broadcast(bitmap)  # 2 MB, a parameter
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,18 +323,15 @@ class Join:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose whole sets are similar enough; of a cell's pairs those that its earlier ones do not join.
 
-        Pairs of one shingle are verified together, so a set travels once per
-        shingle and not once per pair; the rows of a very common shingle are
-        divided into blocks, and each pair of blocks is a cell of its own.
+        Pairs of one shingle and place are verified together, so a set travels
+        once per place and not once per pair.
         """
         share = self.share
-        blocks = _blocks("gram", BLOCK)
-        cells = pairs.withColumns({"p": F.pmod(F.xxhash64("a"), blocks), "q": F.pmod(F.xxhash64("b"), blocks)})
-        both = cells.select("gram", "p", "q", F.col("a").alias("cls")).union(cells.select("gram", "p", "q", F.col("b").alias("cls")))
+        both = pairs.select("gram", "place", F.col("a").alias("cls")).union(pairs.select("gram", "place", F.col("b").alias("cls")))
         wanted = write_table(self.spark, both.distinct(), "cells")
         # a class with copies may come from several tasks: the same set each time
-        sets = wanted.join(self.sets_of(wanted), "cls").select("gram", "p", "q", F.col("cls").alias("a"), F.lit(0).cast("bigint").alias("b"), F.lit(0).alias("kind"), "grams")
-        rows = sets.union(cells.select("gram", "p", "q", "a", "b", F.lit(1), F.lit(None).cast("binary")))
+        sets = wanted.join(self.sets_of(wanted), "cls").select("gram", "place", F.col("cls").alias("a"), F.lit(0).cast("bigint").alias("b"), F.lit(0).alias("kind"), "grams")
+        rows = sets.union(pairs.select("gram", "place", "a", "b", F.lit(1), F.lit(None).cast("binary")))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cell, held, root = None, {}, {}
@@ -322,10 +343,10 @@ class Join:
 
             for batch in batches:
                 keep_a, keep_b = [], []
-                columns = [batch.column(c).to_pylist() for c in ("gram", "p", "q", "a", "b", "kind")]
-                for k, (g, p, q, a, b, kind) in enumerate(zip(*columns, strict=True)):
-                    if (g, p, q) != cell:
-                        cell, held = (g, p, q), {}
+                columns = [batch.column(c).to_pylist() for c in ("gram", "place", "a", "b", "kind")]
+                for k, (g, p, a, b, kind) in enumerate(zip(*columns, strict=True)):
+                    if (g, p) != cell:
+                        cell, held = (g, p), {}
                         root.clear()
                     if not kind:
                         held[a] = unpack_set(batch.column("grams")[k].as_buffer())
@@ -341,15 +362,33 @@ class Join:
                 if keep_a:
                     yield pa.RecordBatch.from_arrays([pa.array(keep_a, pa.int64()), pa.array(keep_b, pa.int64())], names=["a", "b"])
 
-        return rows.repartition("gram", "p", "q").sortWithinPartitions("gram", "p", "q", "kind").mapInArrow(run, "a bigint, b bigint")
+        return rows.repartition("gram", "place").sortWithinPartitions("gram", "place", "kind").mapInArrow(run, "a bigint, b bigint")
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose fine sketches allow enough overlap.  Sketches, not whole sets, travel to each pair."""
+        share = self.share
+        ends = write_table(self.spark, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "ends")
+        # copies of a text have one sketch
+        fine = write_table(self.spark, self.fine.join(ends, "cls", "left_semi").dropDuplicates(["cls"]), "fine")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+                room = na + nb - 2 * -(-share * (na + nb) // (100 + share))
+                x, y = batch.column("fa"), batch.column("fb")
+                keep = pa.array([least_difference(x[k].as_py(), y[k].as_py()) <= r for k, r in enumerate(room.tolist())], pa.bool_())
+                yield batch.select(["a", "b", "gram", "place"]).filter(keep)
+
+        both = pairs.join(fine.toDF("a", "na", "fa"), "a").join(fine.toDF("b", "nb", "fb"), "b")
+        return both.mapInArrow(run, "a bigint, b bigint, gram bigint, place bigint")
 
     def links(self) -> DataFrame:
         """Components (node, component) of linked classes."""
         near = write_table(self.spark, self.candidates(None), "pairs")
-        linked = write_table(self.spark, self.verify(near), "links")
+        linked = write_table(self.spark, self.verify(write_table(self.spark, self.close(near), "close")), "links")
         comp = connected_components(self.spark, linked)
-        rest = self.candidates(comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
-        linked = linked.union(write_table(self.spark, self.verify(write_table(self.spark, rest, "pairs")), "links"))
+        rest = write_table(self.spark, self.candidates(comp).join(near.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        linked = linked.union(write_table(self.spark, self.verify(write_table(self.spark, self.close(rest), "close")), "links"))
         return connected_components(self.spark, linked)
 
     def run(self) -> DataFrame:
@@ -380,17 +419,6 @@ def _run_differs(gram: np.ndarray, value: np.ndarray) -> np.ndarray:
     return np.repeat(low != high, np.diff(np.append(start, len(gram))))
 
 
-def _has_partner(gram: np.ndarray, n: np.ndarray, share: int) -> np.ndarray:
-    """Rows whose shingle has another class that passes the length filter.  Rows, one for each
-    class, are sorted by shingle and size, so the nearest size is next to a row."""
-    size = n.astype(np.int64)
-    pair = (gram[1:] == gram[:-1]) & (100 * size[:-1] >= share * size[1:])
-    out = np.zeros(len(gram), dtype=bool)
-    out[:-1] |= pair
-    out[1:] |= pair
-    return out
-
-
 def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "sketch"}
     if "sketch" in batch.schema.names:
@@ -430,6 +458,12 @@ def _blocks(gram: str, rows: int) -> Column:
     return (1 + F.floor(estimate / rows)).cast("bigint")
 
 
+def _stretch(gram: np.ndarray, mix: np.ndarray) -> np.ndarray:
+    """Which of the equal stretches of a shingle's order a row is in, with about ``VERIFIED`` rows in each."""
+    stretches = 1 + np.floor(np.exp2((gram & 255) / 8) / VERIFIED)
+    return np.floor((mix.astype(np.float64) / 2.0**64 + 0.5) * stretches).astype(np.int64)
+
+
 def _wanted_bit(cls: np.ndarray) -> np.ndarray:
     return (tk.splitmix(cls.astype(np.int64).view(np.uint64)) & np.uint64((1 << WANTED_BITS) - 1)).astype(np.int64)
 
