@@ -52,10 +52,8 @@ COUNT_BITS, WANTED_BITS = 21, 24
 #: hash), and rows of one shingle that stay in one task.  The last round
 #: makes up for whatever the first one leaves.
 NEAR, ORDERS, FIRST, EVERY, TOGETHER = 4, 2, 8, 16, 100_000
-#: Rows of a common shingle that form one block when all of them meet, and when pairs are verified.
-BLOCK = 4_000
-#: Neighbouring rows of a shingle whose pairs are verified together in the first round.
-VERIFIED = 512
+#: Rows of a common shingle that form one block when all of them meet, and rows of a part of it when pairs are verified.
+BLOCK, VERIFIED = 4_000, 512
 #: Parts of the hash range whose parities a set's sketch holds; parts for each shingle in its fine sketch, at least.
 PARITY_BITS, FINE = 1024, 4
 
@@ -251,17 +249,19 @@ class Join:
                     i, j = i[ok], j[ok]
                     if len(i):
                         x, y, gram = r["cls"][i], r["cls"][j], r["gram"][i]
-                        if near is not None:
-                            # neighbours lie in one stretch of the order, or in two that follow each other
-                            place = _stretch(gram, r["mix"][i])
-                        else:
-                            place = r["cell"][i]
+                        # neighbours lie in one stretch of the order, or in two that follow each other
+                        place = _stretch(gram, r["mix"][i]) if near is not None else r["cell"][i]
                         yield pa.RecordBatch.from_arrays([pa.array(v) for v in (np.minimum(x, y), np.maximum(x, y), gram, place)], names=["a", "b", "gram", "place"])
 
         placed = rows.withColumn("mix", order).repartition("gram", "cell").sortWithinPartitions("gram", "cell", "mix", "cls")
         pairs = placed.mapInArrow(run, "a bigint, b bigint, gram bigint, place bigint")
         # a shingle makes a pair in one cell only, so there is one place for the least one
-        return pairs.groupBy("a", "b").agg(F.min_by("place", "gram").alias("place"), F.min("gram").alias("gram"))
+        pairs = pairs.groupBy("a", "b").agg(F.min_by("place", "gram").alias("place"), F.min("gram").alias("gram"))
+        if comp is not None:
+            # all may meet all here: places by the parts of both classes
+            parts = _blocks("gram", VERIFIED)
+            pairs = pairs.withColumn("place", F.pmod(F.xxhash64("a"), parts) * (1 << 31) + F.pmod(F.xxhash64("b"), parts))
+        return pairs
 
     def apart(self, rows: DataFrame) -> DataFrame:
         """Rows of the shingles that several components have, before sketches join them.  A shingle so
