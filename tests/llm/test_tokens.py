@@ -54,6 +54,32 @@ def test_transducer_chunks_compose(monkeypatch):
         assert transducer.count_texts([text], WORDS)[0] == whole
 
 
+def _words(n):
+    draw = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789.,-+" + "\u00e4\u00f6\u0434\u043e\u4e2d\u6587\u65e5\u0627\u0644\u03b1\u03b2\u0e01\u0e02\u0905\u0906"))
+    return ["".join(draw.choice(letters, draw.integers(2, 12))) for _ in range(n)]
+
+
+def test_transducer_tables_hold_transitions_and_not_all_bytes_of_every_state():
+    model = transducer.Transducer(transducer.Merges(WORDS))
+    model.counts([" ".join(_words(4000))])
+    assert len(model.states) > 4000
+    held = sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray))
+    assert held <= 256 * len(model.states)
+
+
+def test_transducer_that_starts_anew_counts_the_same(monkeypatch):
+    texts = [" ".join(_words(60)[i:]) for i in range(0, 60, 7)]
+    library = Tokenizer.from_file(WORDS)
+    monkeypatch.setattr(transducer, "MAX_STATES", 100)
+    monkeypatch.setattr(transducer, "MAX_PAIRS", 20)
+    model = transducer.Transducer(transducer.Merges(WORDS))
+    for text in texts:
+        assert model.counts([text])[0] == len(library.encode(text, add_special_tokens=False).ids)
+        model._clear()
+        assert len(model.states) == 2 and model.merges.pairs() <= 20
+
+
 def test_packing_covers_every_id_once(spark, docs, texts):
     library = Tokenizer.from_file(WORDS)
     rows = packing.pack(spark, packing.cut_documents(docs, WORDS, 1)).collect()

@@ -8,7 +8,9 @@ after a prefix it is enough to know, for each suffix of it that may still grow
 into a token, the last token before that suffix and the token count there.
 Prefixes that agree in this are one state.  A transition carries the change of
 the token count; the byte that ends a pre-token leads back to the start.
-States and transitions are made when a text first needs them.
+States and transitions are made when a text first needs them.  Few of the 256
+bytes lead on from a state, so transitions lie in one table of hashed (state,
+byte, end or not) numbers, whose size follows the transitions made so far.
 
 A slice of text becomes one stream of symbols that is cut into chunks.  All
 chunks run side by side.  The map of a chunk from entering state to leaving
@@ -33,8 +35,9 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm import textkit as tk
 
-#: Symbols of one chunk, and states that a worker keeps before it compiles anew.
-CHUNK, MAX_STATES = 256, 400_000
+#: Symbols of one chunk, and states and pairs of tokens that a worker keeps before it compiles anew.
+CHUNK, MAX_STATES, MAX_PAIRS = 256, 120_000, 200_000
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 START, UNKNOWN, END = 0, 1, b"\xff\xfe"  # END: marks the end of a pre-token; never part of UTF-8
 
 
@@ -59,12 +62,21 @@ class Merges:
             return bytes(alphabet[c] for c in (token[: -len(suffix)] if end else token)) + (END if end else b"")
 
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.tokens = {raw(t) for t in model["vocab"] if t not in self.special}
+        # by themselves: states name these objects, not copies of their bytes
+        self.tokens = {t: t for t in map(raw, (t for t in model["vocab"] if t not in self.special))}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
-        self.grows = {t[:i] for t in self.tokens for i in range(1, len(t) - (2 if t.endswith(END) else 0) + t.endswith(END)) if not t[:i].endswith(END[:1])}
+        self.grows = {g: g for g in {t[:i] for t in self.tokens for i in range(1, len(t) - (2 if t.endswith(END) else 0) + t.endswith(END)) if not t[:i].endswith(END[:1])}}
         self._fits: dict[tuple[bytes, bytes], bool] = {}
 
+    def pairs(self) -> int:
+        return len(self._fits)
+
+    def forget(self, limit: int) -> None:
+        """Drop what is known of pairs of tokens, if these are more than ``limit``."""
+        if len(self._fits) > limit:
+            self._fits.clear()
+
     def encode(self, data: bytes) -> list[bytes]:
         """Merges applied lowest rank first, leftmost first."""
         if data.endswith(END):
@@ -83,13 +95,13 @@ class Merges:
         """Whether the two tokens may stand side by side in an encoding."""
         if left is None:
             return self.encode_alone(right)
-        key = (left, right)
+        key = (left, self.tokens[right])
         if key not in self._fits:
             self._fits[key] = self.encode(left + right) == [left, right]
         return self._fits[key]
 
     def encode_alone(self, token: bytes) -> bool:
-        key = (b"", token)
+        key = (b"", self.tokens[token])
         if key not in self._fits:
             self._fits[key] = self.encode(token) == [token]
         return self._fits[key]
@@ -107,77 +119,90 @@ class Transducer:
         start = ((b"", None, 0),)
         self.states = [start, ()]
         self.number = {start: START}
-        self.column = np.full(256, -1, dtype=np.int64)  # of each byte seen so far
-        self.width = 64
-        self._allocate(4096)
-
-    def _allocate(self, rows: int) -> None:
-        old = getattr(self, "inner", None)
-        keep = len(self.states) if old is not None and old.shape[1] == self.width and rows > len(old) else 0
-        for name, kind, fill in (("inner", np.int32, -1), ("step", np.int8, 0), ("last", np.int16, -1)):
-            table = np.full((rows, self.width), fill, dtype=kind)
-            if keep:
-                table[: len(old)] = getattr(self, name)
-            setattr(self, name, table)
-        self.inner[UNKNOWN], self.last[UNKNOWN] = UNKNOWN, 0
-
-    def _columns(self, data: np.ndarray) -> np.ndarray:
-        """Column of each byte; new bytes get the next free one."""
-        present = np.flatnonzero(np.bincount(data, minlength=256))
-        new = present[self.column[present] < 0]
-        if len(new):
-            used = int((self.column >= 0).sum())
-            if used + len(new) > self.width:  # wider tables: compile anew, with the known bytes in place
-                known = self.column.copy()
-                self._clear()
-                self.column, self.width = known, 256
-                del self.inner
-                self._allocate(4096)
-            self.column[new] = used + np.arange(len(new))
-        self.byte_of = np.zeros(self.width, dtype=np.int64)
-        seen = np.flatnonzero(self.column >= 0)
-        self.byte_of[self.column[seen]] = seen
-        return self.column[data]
-
-    def _compile(self, state: int, column: int, final: bool) -> None:
+        self.merges.forget(MAX_PAIRS)
+        self.filled = 0
+        self._allocate(1 << 13)
+        for key in range(UNKNOWN * 512, UNKNOWN * 512 + 512):  # of each byte, within a pre-token and as its last
+            self._put(key, START if key & 1 else UNKNOWN, 0)
+
+    def _allocate(self, size: int) -> None:
+        """A table of ``size`` slots (a power of two) with the transitions made so far."""
+        held = (self.keys, self.values) if self.filled else None
+        self.keys, self.values = np.full(size, -1, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+        self.shift = np.uint64(64 - size.bit_length() + 1)
+        if held is None:
+            return
+        keys, values = (x[held[0] >= 0] for x in held)
+        slot = self._slot(keys)
+        while len(keys):  # of those that want one free slot the first gets it, the others look at the next
+            free = np.flatnonzero(self.keys[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            self.keys[taken], self.values[taken] = keys[free[first]], values[free[first]]
+            left = np.ones(len(keys), dtype=bool)
+            left[free[first]] = False
+            keys, values, slot = keys[left], values[left], (slot[left] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+
+    def _put(self, key: int, following: int, change: int) -> None:
+        """One more transition: the state that follows and the change of the count, in one number."""
+        if 2 * (self.filled + 1) > len(self.keys):
+            self._allocate(2 * len(self.keys))
+        slot = (key * int(SPREAD) & (1 << 64) - 1) >> int(self.shift)
+        while self.keys[slot] >= 0:
+            slot = (slot + 1) & (len(self.keys) - 1)
+        self.keys[slot], self.values[slot] = key, following << 16 | change + (1 << 15)
+        self.filled += 1
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The transition of each key; -1 for those not made yet."""
+        slot = self._slot(keys)
+        held, out = self.keys[slot], self.values[slot]
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            at = slot[open_]
+            held, out[open_] = self.keys[at], self.values[at]
+            open_ = open_[(held != keys[open_]) & (held >= 0)]
+        return out
+
+    def _compile(self, key: int) -> None:
         """The transition of a state by a byte, as the last byte of a pre-token or not."""
-        m, byte = self.merges, bytes([self.byte_of[column]])
-        entries = self.states[state]
-        if final:
+        m, byte = self.merges, bytes([key >> 1 & 255])
+        entries = self.states[key >> 9]
+        if key & 1:
             for suffix, left, count in entries:
                 token = suffix + byte + END
                 if token in m.tokens and m.fits(left, token):
-                    self.last[state, column] = count + 1
+                    self._put(key, START, count + 1)
                     return
             raise AssertionError("a pre-token without an encoding")
         for suffix, left, count in entries:
             token = suffix + byte
             if token in m.tokens and m.fits(left, token):
-                here, change = token, count + 1
+                here, change = m.tokens[token], count + 1
                 break
         else:
             raise AssertionError("a prefix without an encoding")
-        kept = [(s + byte, left, count - change) for s, left, count in entries if s + byte in m.grows]
+        kept = [(m.grows[s + byte], left, count - change) for s, left, count in entries if s + byte in m.grows]
         target = (*kept, (b"", here, 0))
         k = self.number.get(target)
         if k is None:
             k = self.number[target] = len(self.states)
             self.states.append(target)
-            if k >= len(self.inner):
-                self._allocate(2 * len(self.inner))
-        self.inner[state, column], self.step[state, column] = k, change
-
-    def _advance(self, state: np.ndarray, column: np.ndarray, final: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next state of every lane, and the change of its count."""
-        at = state * self.width + column
-        following = self.inner.ravel()[at]
-        ending = self.last.ravel()[at]
-        lacking = np.where(final, ending, following) < 0
+        self._put(key, k, change)
+
+    def _advance(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next state of every lane, and the change of its count; a symbol is a byte and whether it ends a pre-token."""
+        keys = state << 9 | symbol
+        found = self._find(keys)
+        lacking = found < 0
         if lacking.any():
-            for key in np.unique(at[lacking] * 2 + final[lacking]).tolist():
-                self._compile(key // 2 // self.width, key // 2 % self.width, bool(key & 1))
-            following, ending = self.inner.ravel()[at], self.last.ravel()[at]
-        return np.where(final, START, following), np.where(final, ending, self.step.ravel()[at])
+            for key in np.unique(keys[lacking]).tolist():
+                self._compile(key)
+            found[lacking] = self._find(keys[lacking])
+        return found >> 16, (found & 0xFFFF) - (1 << 15)
 
     def run(self, data: np.ndarray, final: np.ndarray) -> np.ndarray:
         """Change of the token count at every symbol of a stream of whole pre-tokens."""
@@ -185,21 +210,20 @@ class Transducer:
         emitted = np.zeros(n, dtype=np.int16)
         if not n:
             return emitted
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > MAX_STATES or self.merges.pairs() > MAX_PAIRS:
             self._clear()
-        column = self._columns(data)
+        symbol = data.astype(np.int16) << 1 | final
         chunks = -(-n // CHUNK)
         pad = chunks * CHUNK - n
-        grid = np.concatenate([column, np.full(pad, column[0])]).reshape(chunks, CHUNK).T.copy()
-        ends = np.concatenate([final, np.ones(pad, dtype=bool)]).reshape(chunks, CHUNK).T.copy()
+        grid = np.concatenate([symbol, np.full(pad, symbol[0] | 1)]).reshape(chunks, CHUNK).T.copy()
         out = np.zeros((CHUNK, chunks), dtype=np.int16)
         # each chunk's own part: the state that enters is known only after the end of a pre-token
         state = np.full(chunks, UNKNOWN, dtype=np.int64)
         state[0] = START
-        state[1:][ends[-1, :-1]] = START
+        state[1:][(grid[-1, :-1] & 1).astype(bool)] = START
         open_chunk = state == UNKNOWN
         for t in range(CHUNK):
-            state, out[t] = self._advance(state, grid[t], ends[t])
+            state, out[t] = self._advance(state, grid[t])
         emitted[:] = out.T.ravel()[:n]
         # prefix scans: the last chunk before that left in a known state, and the next end of a pre-token
         known = np.where(state != UNKNOWN, np.arange(chunks), -1)
@@ -215,7 +239,7 @@ class Transducer:
             begin, length, lane = begin[order], length[order], lane[order]
             for t in range(int(length[0])):
                 live = int(np.searchsorted(-length, -t, "left"))
-                lane, emitted[begin[:live] + t] = self._advance(lane[:live], column[begin[:live] + t], final[begin[:live] + t])
+                lane, emitted[begin[:live] + t] = self._advance(lane[:live], symbol[begin[:live] + t])
         return emitted
 
     def counts(self, texts: list[str]) -> np.ndarray:
@@ -251,7 +275,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tk.text_buffers(batch.column("text"))
-            for i, j in tk.slices(offsets, 4 * tk.SLICE_BYTES):
+            for i, j in tk.slices(offsets):
                 raw = data[offsets[i] : offsets[j]].tobytes()
                 texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[i:j] - offsets[i], offsets[i + 1 : j + 1] - offsets[i], strict=True)]
                 n = count_texts(texts, tokenizer_path)
