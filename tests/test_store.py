@@ -133,6 +133,22 @@ def test_runs_equal_one_computation(spark, tmp_path, seed):
     assert history.valid_at(whole.history, ts_col(ts(21, 1))).count() <= whole.history.count()
 
 
+def test_runs_start_from_written_bronze_rows(spark, tmp_path, monkeypatch):
+    """What makes a bronze column is evaluated once, not in each rule of each run that reads the column."""
+    from tidemark.plans import incremental
+
+    batches = []
+    monkeypatch.setattr(incremental, "run_batch", lambda store, batch, tiebreak: batches.append(batch))
+    bronze = bronze_of(spark, snapshots(3), lambda day: ts(20 + (day - 1) // 4))
+    incremental.stored_runs(spark, bronze, None)
+    assert len(batches) == 3
+    for batch in batches:
+        assert batch.columns == bronze.columns
+        assert batch.inputFiles() and all("/runs-bronze-" in f for f in batch.inputFiles())
+    assert [rows_of(batches[2].select("source_file", "ID"))] == [rows_of(bronze.select("source_file", "ID"))]
+    assert batches[0].count() and batches[1].count() and batches[0].count() + batches[1].count() < batches[2].count()
+
+
 def ts_col(t):
     from pyspark.sql import functions as F
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import events, identity, registry, state
 from tidemark.operators.store import Layout, Store
 from tidemark.plans.runs import open_store, run_batch
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, write_layer
 
 # fixed values of the two-run scenario
 HELD_BACK_DAY_MULTIPLE = 5
@@ -101,7 +101,11 @@ def obtained_incremental(scd2: DataFrame, keyed: DataFrame) -> DataFrame:
 
 def stored_runs(spark: SparkSession, bronze: DataFrame, tiebreak: str | None) -> Store:
     """Three runs over the store: the files up to a third of the dates, up to two thirds, and the
-    others.  The last run gets all rows once more; what is registered is skipped."""
+    others.  The last run gets all rows once more; what is registered is skipped.
+
+    The bronze rows are written first: each run's rules and cuts read columns then, where the
+    optimiser would copy the expressions that make a column into every rule that reads it."""
+    bronze = write_layer(spark, bronze, "runs-bronze")
     store = open_store(spark, scratch_path(spark, "runs"), coarse=4, fine=2)
     lo, hi = F.min("snapshot_date"), F.max("snapshot_date")
     third = (F.datediff(hi, lo) / 3).cast("int")
