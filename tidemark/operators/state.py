@@ -8,6 +8,7 @@ state as a DataFrame (``merge_by_key``); ``operators.store`` keeps such states.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,10 +83,33 @@ def cluster_write(df: DataFrame, path: str, columns: Sequence[str], mode: str =
     statistics prune files by any of the columns, not only by the first."""
     cols = list(columns)
     placed = df.withColumn("_z", interleaved(df, cols))
-    part = placed.repartitionByRange(files, "_z") if files else placed.repartitionByRange("_z")
+    part = _in_whole_cells(placed, files, RANK_BITS * len(cols)) if files else placed.repartitionByRange("_z")
     part.sortWithinPartitions("_z", *cols).drop("_z").write.mode(mode).parquet(path)
 
 
+#: Cells of the curve per file that a cut may lie between.
+CELLS_PER_FILE = 64
+
+
+def _in_whole_cells(placed: DataFrame, files: int, bits: int) -> DataFrame:
+    """Rows in ``files`` partitions along the curve, cut where cells of it begin.
+
+    Cuts from a sample lie a little beside the cells, and a file with a sliver of
+    the next cell covers the ranges of both.  The driver sees a count for each cell."""
+    fine = min(bits, (files * CELLS_PER_FILE - 1).bit_length())
+    cell = F.shiftright("_z", bits - fine)
+    held = sorted(placed.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect())
+    ends = list(accumulate(r["n"] for r in held))
+    cuts = []
+    for k in range(1, files):
+        share = k * ends[-1] / files if ends else 0
+        best = min(range(len(ends)), key=lambda i: abs(ends[i] - share), default=None)
+        if best is not None and best + 1 < len(held):
+            cuts.append(held[best + 1]["c"])
+    starts = F.array(*[F.lit(c).cast("bigint") for c in cuts]) if cuts else F.array().cast("array<bigint>")
+    return placed.repartitionById(files, F.size(F.filter(starts, lambda c: c <= cell)))
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, the path, and the JVM."""
     jvm = spark.sparkContext._jvm
