@@ -14,14 +14,16 @@ bits used take a gradient step.  A slope and an offset per text refine the
 mixed logit in the same way.  Every text begins with the same weights, so its
 score depends on nothing but the text and the tables.
 
-The base score needs the training count of every token of a text.  Texts are
-taken in blocks of neighbouring rows; a block lists its distinct tokens (64-bit
-hashes), the lists meet the counts in a join by token, and the answers go back
-to their block.  Neither the vocabulary nor the texts pass through the driver.
-The longer contexts go the same way, packed: a block sends each bucket of
-contexts its sorted (context, next byte) keys with their training counts; the
-bucket adds up all blocks' counts and answers every key with the logits on the
-byte's path through the tree.  The number of buckets follows the blocks.
+The base score needs the training count of every token of a text, the longer
+contexts the counts of all bytes that followed them.  Texts are taken in blocks
+of neighbouring rows.  A block sends each bucket of tokens (64-bit hashes) and
+of contexts one row: its sorted keys with their training counts, packed.  The
+bucket adds up all blocks' counts and answers every block with one row: the
+counts of its tokens, the logits on the path of each context's next byte
+through the tree, and the bucket's part of the figures of all training tokens.
+Both sides know the order of the keys, so answers carry none.  Neither the
+vocabulary nor the texts pass through the driver; texts travel packed, a row
+for each block.  The number of buckets follows the blocks.
 
 Edge cases: NULL and empty texts are the end token alone; without training
 texts all counts are 0 and every bit has even chances; repeated rows are
@@ -58,7 +60,11 @@ BLOCK_ROWS, END_BYTE = 2048, 0xFF
 END_TOKEN = np.uint64(0x8E5D3C2B1A097F6E)
 _SIZES = [1 << (8 * order + 8) for order in ORDERS]
 _STARTS = np.concatenate([[0], np.cumsum(_SIZES)])
-_KEYS = pa.Codec("zstd")
+_KEYS = pa.Codec("zstd", 3)
+#: The longest order; the bits of a byte with so many before it.
+DEPTH, TOP = LONGER[-1], (1 << 56) - 1
+#: Bytes of text whose bits are looked up at once, so that they stay in a processor's cache.
+LOOKED_UP = 1 << 15
 
 
 def with_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,37 +75,82 @@ def with_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def contexts(data: np.ndarray, offsets: np.ndarray, orders: tuple[int, ...] = ORDERS) -> list[np.ndarray]:
     """The bytes before every byte as one number, for each order; what precedes a text counts as zeros."""
-    n = len(data)
-    place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
-    word, out = np.zeros(n, dtype=np.int64), []
+    starts, many = offsets[:-1], np.diff(offsets)
+    word, out = np.zeros(len(data), dtype=np.int64), []
     for k in range(max(orders)):
-        back = np.zeros(n, dtype=np.int64)
-        back[k + 1 :] = data[: max(n - k - 1, 0)]
-        back[place <= k] = 0
-        word = word | back << (8 * k)
+        back = np.zeros(len(data), dtype=np.int64)
+        back[k + 1 :] = data[: max(len(data) - k - 1, 0)]
+        for j in range(k + 1):
+            back[starts[many > j] + j] = 0
+        word |= back << (8 * k)
         if k + 1 in orders:
-            out.append(word)
+            out.append(word.copy())
     return out
 
 
+def recent(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Every byte and the ``DEPTH`` before it, the latest at the top, as one number of 56 bits: its upper bytes are the key of a shorter order."""
+    n = len(data)
+    padded = np.concatenate([np.zeros(DEPTH + 1, dtype=np.uint8), data])
+    keys = np.ndarray(n, "<u8", padded, strides=(1,)).astype(np.int64) if n else np.zeros(0, np.int64)
+    keys = keys >> 8 & TOP
+    starts, many = offsets[:-1], np.diff(offsets)
+    for k in range(DEPTH):
+        keys[starts[many > k] + k] &= -1 << (8 * (DEPTH - k))
+    return keys
+
+
+def plain_keys(keys: np.ndarray) -> np.ndarray:
+    """(order, context, next byte) from keys with the next byte at the top, and back to the context in the order of the text."""
+    return (keys & ~TOP) | (keys << 8).byteswap()
+
+
 def context_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(order, context, next byte) of every byte as one number without a hash, a row for each longer order."""
-    return np.stack([np.int64(order << 56) | c << 8 | data for order, c in zip(LONGER, contexts(data, offsets, LONGER), strict=True)])
+    keys = recent(data, offsets)
+    return np.stack([plain_keys(of_order(keys, order)) for order in LONGER])
+
+
+def of_order(keys: np.ndarray, order: int) -> np.ndarray:
+    shift = 8 * (DEPTH - order)
+    return keys >> shift << shift | np.int64(order << 56)
+
+
+def runs(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+
+
+def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the place of each key among them, and the sums of the counts."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = runs(ordered)
+    place = np.empty(len(keys), dtype=np.int64)
+    place[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(keys)))
+    return ordered[first], place, np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
 
 
-def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys, and the place of each key among them."""
-    found = pa.array(keys.ravel()).dictionary_encode()
-    kinds = found.dictionary.to_numpy()
-    order = np.argsort(kinds)
-    rank = np.empty(len(kinds), dtype=np.int32)
-    rank[order] = np.arange(len(kinds), dtype=np.int32)
-    return kinds[order], rank[found.indices.to_numpy()]
+def distinct_contexts(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys of each longer order, sorted, with the sums of the counts; ``keys``: sorted results of ``recent``."""
+    out = []
+    for order in LONGER[::-1]:
+        keys = of_order(keys & TOP, order)
+        first = runs(keys)
+        keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        out.append((keys, counts))
+    return out[::-1]
 
 
-def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each key; all next bytes of a context share one."""
-    return (tk.splitmix((keys >> 8).astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+def by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of hashes by bucket, and where each bucket begins in it."""
+    bucket = (hashes % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    return np.argsort(bucket, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+
+
+def context_hashes(keys: np.ndarray) -> np.ndarray:
+    """A hash of the order and context of plain keys: all next bytes of a context share it."""
+    return tk.splitmix((keys >> 8).astype(np.uint64))
 
 
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -125,11 +176,98 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def squeezed(part: np.ndarray) -> bytes:
-    return len(part).to_bytes(8, "little") + _KEYS.compress(part.tobytes(), asbytes=True)
+    return part.nbytes.to_bytes(8, "little") + _KEYS.compress(part.tobytes(), asbytes=True)
+
+
+def expanded(part: bytes, kind: type = np.int8) -> np.ndarray:
+    return np.frombuffer(_KEYS.decompress(part[8:], int.from_bytes(part[:8], "little"), asbytes=True), dtype=kind)
+
+
+def planes(numbers: np.ndarray) -> np.ndarray:
+    """The bytes of 64-bit numbers, lowest bytes first, which compress where most numbers are small."""
+    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.ravel()
+
+
+def unplaned(part: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(part.reshape(8, -1).T).view("<i8").ravel()
+
+
+def runs_of(blocks: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows [i, j) of one block each."""
+    first = runs(blocks).tolist()
+    return list(zip(first, [*first[1:], len(blocks)], strict=True))
+
 
+def block_keys(data: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Sorted distinct tokens of a block and their training counts, and the same for the contexts of each longer order."""
+    tokens, counts, keys = [], [], []
+    for i, j in tk.slices(offsets):
+        part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        found, n = tokens_of(part, off)
+        learn = np.repeat(train[i:j], n)
+        # learned and other tokens apart: sorting values is far faster than an order of them
+        for own, one in ((np.sort(found[learn]), 1), (np.sort(found[~learn]), 0)):
+            first = runs(own)
+            tokens.append(own[first].view(np.int64))
+            counts.append(np.diff(first, append=len(own)) * one)
+        text, ends = with_ends(part, off)
+        keys.append(recent(text, ends) << 1 | np.repeat(train[i:j], np.diff(ends)))
+    found, c = np.concatenate(tokens), np.concatenate(counts)
+    tokens, _, learned = added_up(found, c)
+    ordered = np.sort(np.concatenate(keys))
+    each = distinct_contexts(ordered >> 1, ordered & 1)
+    return tokens, learned, [k for k, _ in each], [c for _, c in each]
 
-def expanded(part: bytes) -> np.ndarray:
-    return np.frombuffer(_KEYS.decompress(part[8:], int.from_bytes(part[:8], "little"), asbytes=True), dtype=np.int8)
+
+def asked_of(block: int, tokens: np.ndarray, learned: np.ndarray, keys: list[np.ndarray], counts: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """A row for every bucket, though it has nothing of the block: its tokens and contexts, packed."""
+    order, cut = by_bucket(tokens.view(np.uint64), buckets)
+    words = [packed(tokens[order[x:y]], learned[order[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    found, c = plain_keys(np.concatenate(keys)), np.concatenate(counts)
+    order = np.argsort(found)
+    found, c = found[order], c[order]
+    order, cut = by_bucket(context_hashes(found), buckets)
+    parts = [packed(found[order[x:y]], c[order[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    arrays = [pa.array(np.full(buckets, block)), pa.array(np.arange(buckets, dtype=np.int32)), pa.array(words, pa.binary()), pa.array(parts, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, names=["block", "chunk", "words", "part"])
+
+
+def together(parts: pa.ChunkedArray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Keys and counts of all parts one after the other, and where each part begins."""
+    keys, counts = zip(*(unpacked(p.as_py()) for p in parts), strict=True)
+    return (np.concatenate(keys), np.concatenate(counts)), np.cumsum([0, *map(len, keys)])
+
+
+def own_part(keys: np.ndarray, cut: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Places of the keys of one block, which has more than one part if it lies in several batches."""
+    own = tk.ragged(cut[parts], cut[parts + 1] - cut[parts])
+    return own if len(parts) == 1 else own[np.unique(keys[own], return_index=True)[1]]
+
+
+def ranked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct results of ``recent``, and the place of every byte's among them."""
+    keys = recent(data, offsets)
+    at = np.argsort(keys)
+    keys = keys[at]
+    first = runs(keys)
+    place = np.empty(len(keys), dtype=np.int32)
+    place[at] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(first, append=len(keys)))
+    return keys[first], place
+
+
+def begins_of(own: np.ndarray, keys: list[np.ndarray], begins: list[np.ndarray]) -> np.ndarray:
+    """Where the paths of sorted results of ``recent`` begin in the answers, a row for each longer order."""
+    out = []
+    for order, known, begin in zip(LONGER, keys, begins, strict=True):
+        k = of_order(own, order)
+        first = runs(k)
+        out.append(np.repeat(begin[np.searchsorted(known, k[first])], np.diff(first, append=len(k))))
+    return np.stack(out)
+
+
+def eights(pool: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of a pool on, as one number; zeros follow its end."""
+    return np.ndarray(len(pool) + 1, "<u8", np.concatenate([pool, np.zeros(8, np.int8)]), strides=(1,))
 
 
 def _logits(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -164,112 +302,145 @@ class Model:
         self.first = np.concatenate([[0], np.cumsum(self.length)])[:-1]
         self.node = np.array([n for c in codes for n, _ in c], dtype=np.int32)
         self.bit = np.array([b for c in codes for _, b in c], dtype=np.float32)
-        self.logit = []
-        for table in tables:
-            self.logit.append(np.pad(_logits(table @ left, table @ right), ((0, 0), (0, 1))).ravel())
+        self.side = (2 * self.bit - 1).astype(np.int8)
+        # logits in favour of the path of each (last byte, byte), for each order of a fixed size
+        self.near = [(_logits(table @ left, table @ right)[:, self.node] * self.side).ravel() for table in tables]
+        # the first eight of each path at once
+        self.sides = eights(self.side)[self.first]
+        self.nears = [eights(near)[(np.arange(len(near) // len(self.side))[:, None] * len(self.side) + self.first).ravel()] for near in self.near]
 
     def paths(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logits on the path of every distinct key's byte, one after the other, where each begins, and the keys' places.
 
         ``keys`` may repeat; the counts of equal keys are added, and the keys must hold all next bytes of their contexts.
         """
+        pool, start, place, symbol = self.favours(keys, counts)
+        return pool * self.side[tk.ragged(self.first[symbol], self.length[symbol])], start, place
+
+    def favours(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``paths`` with logits in favour of each bit of the byte, and the byte of every distinct key."""
         byte = keys & 255
-        leaves, place = distinct_keys(keys - byte + self.leaf[byte])
-        total = np.zeros(len(leaves), dtype=np.int64)
-        np.add.at(total, place, counts)
+        leaves, place, total = added_up(keys - byte + self.leaf[byte], counts)
         if counts.sum(dtype=np.float64) >= 2.0**62:
             raise OverflowError("a count does not fit in 64 bits")
         upto = np.concatenate([[0], np.cumsum(total)])
         symbol = np.argsort(self.leaf)[leaves & 255]
         length = self.length[symbol]
         start = np.concatenate([[0], np.cumsum(length)])
-        pool = np.zeros(int(start[-1]), dtype=np.int8)
         base = leaves >> 8 << 8
-        edge = np.flatnonzero(np.concatenate([[True], base[1:] != base[:-1], [True]])) if len(base) else np.zeros(1, np.int64)
+        edge = np.append(runs(base), len(base))
         many = np.diff(edge)
         low, high = np.repeat(edge[:-1], many), np.repeat(edge[1:], many)
-        live = np.arange(len(leaves))
-        for level in range(int(length.max(initial=0))):
-            live = live[length[live] > level]
+        # once a byte is left alone, every further bit favours it by its whole count
+        pool = np.repeat(_logits(np.zeros(len(total)), total), length)
+        live = np.flatnonzero(high - low > 1)
+        level = 0
+        while len(live):
             code = self.first[symbol[live]] + level
-            node, bit = self.node[code], self.bit[code] > 0
+            one = self.bit[code] > 0
             a, b = low[live], high[live]
-            alone = b - a == 1
-            cut = np.where(bit, a, b)  # a byte that is left alone is on its own side
-            cut[~alone] = np.searchsorted(leaves, (base[live] + self.middle[node])[~alone])
-            pool[start[live] + level] = _logits(upto[cut] - upto[a], upto[b] - upto[cut])
-            low[live], high[live] = np.where(bit, cut, a), np.where(bit, b, cut)
-        return pool, start, place
-
-    def score(self, data: np.ndarray, offsets: np.ndarray, longer: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+            cut = np.searchsorted(leaves, base[live] + self.middle[self.node[code]])
+            zeros, ones = upto[cut] - upto[a], upto[b] - upto[cut]
+            pool[start[live] + level] = _logits(np.where(one, zeros, ones), np.where(one, ones, zeros))
+            a, b = np.where(one, cut, a), np.where(one, b, cut)
+            low[live], high[live] = a, b
+            level += 1
+            live = live[(b - a > 1) & (length[live] > level)]
+        return pool, start, place, symbol
+
+    def places(self, keys: list[np.ndarray], buckets: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+        """The keys of each order, where their paths begin in the answers of all buckets, and the length of these."""
+        plain = plain_keys(np.concatenate(keys))
+        order = np.argsort(plain)
+        order = order[by_bucket(context_hashes(plain[order]), buckets)[0]]
+        length = self.length[plain[order] & 255]
+        begins = np.empty(len(plain), dtype=np.int64)
+        begins[order] = np.cumsum(length) - length
+        return keys, np.split(begins, np.cumsum([len(k) for k in keys])[:-1]), int(length.sum())
+
+    def score(self, data: np.ndarray, offsets: np.ndarray, longer: tuple[np.ndarray, ...] | None = None, favours: bool = False) -> np.ndarray:
         """log10 probability of every text (with end symbols).
 
-        ``longer``: logits of paths, and for each longer order where the path of every byte begins in them.
+        ``longer``: logits of paths (in favour of each bit, if so said), where paths begin in them, a row for each longer order, and the
+        column of every byte there, unless each has its own.
         """
         rows = len(offsets) - 1
         if not rows:
             return np.zeros(0)
-        ctx = contexts(data, offsets)
-        length = self.length[data]
-        at = np.repeat(np.arange(len(data), dtype=np.int32), length)
-        code = tk.ragged(self.first[data], length)
-        bits = np.concatenate([[0], np.cumsum(length)])[offsets]
-        # stretches of one step lie together, texts with the most bits first
+        many_bits = self.length[data]
+        upto = np.concatenate([[0], np.cumsum(many_bits)])
+        bits = upto[offsets]
         many = np.diff(bits)
         order = np.argsort(-many, kind="stable")
-        rank = np.empty(rows, dtype=np.int64)
-        rank[order] = np.arange(rows)
-        edges = np.concatenate([np.arange(0, LATER, STRETCH), np.arange(LATER, max(LATER, int(many.max())) + LATER_STRETCH, LATER_STRETCH)])
-        edges = edges[: int(np.searchsorted(edges, many.max())) + 1]
-        long = np.diff(edges)
-        live = rows - np.searchsorted(np.sort(many), edges[:-1], "right")
-        begin = np.concatenate([[0], np.cumsum(live * long)])
-        nth = np.arange(len(at)) - np.repeat(bits[:-1], many)
-        step = np.searchsorted(edges, nth, "right") - 1
-        dest = begin[step] + np.repeat(rank, many) * long[step] + nth - edges[step]
-        total = int(begin[-1])
-
-        def laid(values: np.ndarray) -> np.ndarray:
-            out = np.zeros(total, dtype=np.float32)
-            out[dest] = values
-            return out
-
-        node = self.node[code]
-        values = [table[(c[at] << 8) + node] for table, c in zip(self.logit, ctx, strict=True)]
-        if longer:
-            level = code - self.first[data[at]]
-            values += [longer[0][begins[at] + level] for begins in longer[1]]
-        # the longest context with counts for this decision: known before the bit is
-        gate = np.zeros(len(at), dtype=np.int8)
-        for k, v in enumerate(values):
-            gate[v != 0] = min(k + 1, GATES - 1)
-        gate = laid(gate).astype(np.int64)
-        inputs = [laid(v) * np.float32(1 / 16) for v in values]
-        sign = laid(2 * self.bit[code] - 1)  # 0 where a stretch is padded
-        sets = np.arange(rows)[:, None] * GATES
-        mean = 1 / np.maximum(np.arange(GATES), 1)
-        weights = [np.tile(mean.astype(np.float32), rows) for _ in inputs]
+        many, starts = many[order], bits[:-1][order]
+        edges = np.concatenate([np.arange(0, LATER, STRETCH), np.arange(LATER, max(LATER, int(many[0])) + LATER_STRETCH, LATER_STRETCH)])
+        edges = edges[: int(np.searchsorted(edges, many[0])) + 1]
+        inputs = len(self.near) + (len(longer[1]) if longer else 0)
+        # rows: logits of the predictors, sign of the bit, gate; beyond the end, room for a last stretch
+        laid = np.zeros((inputs + 2, int(upto[-1]) + max(STRETCH, LATER_STRETCH)), dtype=np.int8)
+        last = contexts(data, offsets)
+        pool, begins, place = longer if longer and len(longer) == 3 else (*(longer or (self.side, np.zeros((0, 0), np.int64))), np.arange(len(data)))
+        # the first eight bits of all orders' paths lie together
+        eight = np.ascontiguousarray(eights(pool)[begins].T)
+        lines = [inputs, *range(inputs)]
+        views = [np.ndarray(laid.shape[1] - 7, "<u8", laid[k], strides=(1,)) for k in lines]
+        for a in range(0, len(data), LOOKED_UP):
+            b = min(a + LOOKED_UP, len(data))
+            byte, at, near = data[a:b], upto[a:b], [c[a:b] for c in last]
+            found = eight.take(place[a:b], axis=0) if longer else eight.T
+            paths = [self.sides.take(byte), *(table.take((c << 8) + byte) for table, c in zip(self.nears, near, strict=True)), *found.T]
+            # in the order of the text: what is written beyond a byte's last bit, the next byte overwrites
+            for view, path in zip(views, paths, strict=True):
+                view[at] = path
+            more = np.flatnonzero(many_bits[a:b] > 8)
+            length, first = many_bits[a:b][more] - 8, self.first[byte[more]]
+            where = tk.ragged(at[more] + 8, length)
+            rest = [(self.side, first), *((table, c[more] * len(self.side) + first) for table, c in zip(self.near, near, strict=True))]
+            rest += [(pool, x) for x in (begins[:, place[a:b][more]] if longer else ())]
+            for line, (table, begin) in zip(lines, rest, strict=True):
+                laid[line, where] = table[tk.ragged(begin + 8, length)]
+            own = laid[:, upto[a] : upto[b]]
+            if not favours:
+                own[len(self.near) : inputs] *= own[-2]
+            # the longest context with counts for this decision: known before the bit is
+            for k in range(inputs):
+                np.maximum(own[-1], (own[k] != 0).view(np.int8) * np.int8(min(k + 1, GATES - 1)), out=own[-1])
+        mean = (1 / np.maximum(np.arange(GATES), 1)).astype(np.float32)
+        weights = np.tile(np.repeat(mean, inputs).reshape(GATES, inputs), (rows, 1, 1))
         refine = np.tile(np.array([1, 0], dtype=np.float32), (rows, 1))
         out = np.zeros(rows)
-        for step, n in enumerate(live.tolist()):
-            now = slice(int(begin[step]), int(begin[step + 1]))
-            s, which, fit = sign[now].reshape(n, -1), gate[now].reshape(n, -1) + sets[:n], refine[:n]
-            x = [v[now].reshape(n, -1) for v in inputs]
-            mixed = sum(v * w[which] for v, w in zip(x, weights, strict=True))
-            # chance of the bit that came; padding has sign 0 and counts as certain
-            margin = np.clip((fit[:, :1] * mixed + fit[:, 1:]) * s, -30, 30)
-            lost = np.where(s == 0, 0, np.log1p(np.exp(-margin)))
-            out[:n] -= lost.sum(axis=1, dtype=np.float64)
-            error = s / (1 + np.exp(margin))
-            pace = np.float32(1 / np.sqrt(edges[step] / STRETCH + 1.0))
-            pushed, flat = error * fit[:, :1] * (np.float32(RATE) * pace), which.ravel()
-            for v, w in zip(x, weights, strict=True):
-                moved = w[: n * GATES] + np.bincount(flat, weights=(pushed * v).ravel(), minlength=n * GATES)
-                w[: n * GATES] = np.clip(moved, -1, 2)
-            pull = np.stack([(error * mixed).sum(axis=1), error.sum(axis=1)], axis=1) * (np.float32(REFINE_RATE / 8) * pace)
+        for edge, long in zip(edges[:-1].tolist(), np.diff(edges).tolist(), strict=True):
+            n = int(np.searchsorted(-many, -edge, "left"))
+            at = starts[:n] + edge
+            now = np.stack([np.ndarray(len(line) - long + 1, f"V{long}", line, strides=(1,))[at].view(np.int8).reshape(n, long) for line in laid])
+            # texts that end in this stretch: nothing beyond their ends counts
+            whole = int(np.searchsorted(-many, -(edge + long), "right"))
+            beyond = np.arange(long) >= (many[whole:n] - edge)[:, None]
+            now[:, whole:n][:, beyond] = 0
+            x = now[:inputs].astype(np.float32).transpose(1, 0, 2)
+            which = (np.arange(n) * (GATES * long))[:, None] + now[-1] * np.int64(long) + np.arange(long)
+            fit = refine[:n]
+            # both sides are powers of two apart from the logits: 1 / 16
+            mixed = (weights[:n] * np.float32(1 / 16) @ x).ravel().take(which)
+            # odds against the bit that came
+            sign = now[-2].astype(np.float32)
+            against = np.exp(np.clip(fit[:, :1] * mixed + fit[:, 1:] * sign, -30, 30) * np.float32(-1))
+            against[whole:][beyond] = 0
+            lost = against.astype(np.float64) + 1
+            for _ in range(4):  # sixteen factors of at most exp(30) fit
+                half = lost.shape[1] // 2
+                lost = lost[:, :half] * lost[:, half:]
+            out[:n] -= np.log(lost).sum(axis=1)
+            error = against / (against + 1)
+            pace = np.float32(1 / np.sqrt(edge / STRETCH + 1.0))
+            pushed = np.zeros((n, GATES, long), dtype=np.float32)
+            pushed.ravel()[which] = error * (fit[:, :1] * (np.float32(RATE / 16) * pace))
+            weights[:n] = np.clip(weights[:n] + pushed @ x.transpose(0, 2, 1), -1, 2)
+            pull = np.stack([(error * mixed).sum(axis=1), (error * sign).sum(axis=1)], axis=1) * (np.float32(REFINE_RATE / 8) * pace)
             refine[:n] = np.clip(fit + np.clip(pull, -0.1, 0.1), [0.5, -0.5], [1.5, 0.5])
-        out = out[rank]
-        return out / np.log(10)
+        scores = np.empty(rows)
+        scores[order] = out / np.log(10)
+        return scores
 
 
 def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,129 +452,113 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
     except AnalysisException:
         kept = write_table(spark, docs.select(*chosen), "texts")
         src = kept.select("key", "text", "train", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / BLOCK_ROWS)).alias("block"))
-    names = ["block", "tok", "c", "chunk", "part"]
     buckets = max(LEAST_BUCKETS, src.select("block").distinct().count() // BUCKET_BLOCKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(int(_STARTS[-1]), dtype=np.int64)
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            train = np.asarray(batch.column("train").to_pylist(), dtype=bool)
             data, offsets = tk.text_buffers(batch.column("text"))
-            edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
-            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                found, totals = [], []
-                for a, b in tk.slices(offsets[i : j + 1]):
-                    part, off = data[offsets[i + a] : offsets[i + b]], offsets[i + a : i + b + 1] - offsets[i + a]
-                    tokens, n = tokens_of(part, off)
-                    own = np.repeat(train[i + a : i + b], n)
-                    kinds, which = np.unique(tokens, return_inverse=True)
-                    found.append(kinds)
-                    totals.append(np.bincount(which, weights=own, minlength=len(kinds)).astype(np.int64))
-                    text, ends = with_ends(part, off)
-                    learn = np.repeat(train[i + a : i + b], np.diff(ends))
-                    for start, size, c in zip(_STARTS.tolist(), _SIZES, contexts(text, ends), strict=False):
-                        at = (c << 8) + text
-                        table[start : start + size] += np.bincount(at[learn], minlength=size)
-                kinds, which = np.unique(np.concatenate(found), return_inverse=True)
-                c = np.bincount(which, weights=np.concatenate(totals), minlength=len(kinds)).astype(np.int64)
-                k = len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, blocks[i])), pa.array(kinds.astype(np.int64)), pa.array(c), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
+            for i, j in tk.slices(offsets):
+                text, ends = with_ends(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                for start, size, c in zip(_STARTS.tolist(), _SIZES, contexts(text, ends), strict=False):
+                    table[start : start + size] += np.bincount((c << 8) + text, minlength=size)
         for chunk, part in partials.parts_of(table):
-            none = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array([chunk], pa.int32()), pa.array([part], pa.binary())], names=names)
+            yield partials.chunk_row(chunk, np.frombuffer(part, np.int64))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             train = np.asarray(batch.column("train").to_pylist(), dtype=bool)
             data, offsets = tk.text_buffers(batch.column("text"))
-            edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
-            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                near, learned = [], []
-                for a, b in tk.slices(offsets[i : j + 1]):
-                    text, ends = with_ends(data[offsets[i + a] : offsets[i + b]], offsets[i + a : i + b + 1] - offsets[i + a])
-                    learn = np.repeat(train[i + a : i + b], np.diff(ends))
-                    keys, which = distinct_keys(context_keys(text, ends))
-                    near.append(keys)
-                    learned.append(np.bincount(which, weights=np.tile(learn, len(LONGER)), minlength=len(keys)).astype(np.int64))
-                keys, c = np.concatenate(near), np.concatenate(learned)
-                order = np.argsort(keys, kind="stable")
-                keys, c = keys[order], c[order]
-                first = np.flatnonzero(np.diff(keys, prepend=-1))
-                keys, c = keys[first], np.add.reduceat(c, first)
-                bucket = buckets_of(keys, buckets)
-                order = np.argsort(bucket, kind="stable")
-                cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
-                sent = [packed(keys[order[x:y]], c[order[x:y]]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sent), blocks[i])), pa.array(bucket[order[cut[:-1]]]), pa.array(sent, pa.binary())], names=["block", "chunk", "part"])
-
-    rows = write_table(spark, src.mapInArrow(count, "block bigint, tok bigint, c bigint, " + partials.SCHEMA), "tokens")
-    listed = rows.where("tok is not null").select("block", "tok", "c")
-    counted = write_table(spark, listed.groupBy("tok").agg(F.sum("c").alias("total")), "counts")
-    figures = counted.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.count_if(F.col("total") > 0).alias("v")).first()
-    # this table has a size fixed by ORDERS, 64 KB as logits
-    model = Model(partials.collect_table(rows.where("block is null").select("chunk", "part"), int(_STARTS[-1]), np.int64, partials.added))
+            for i, j in runs_of(blocks):
+                part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                yield asked_of(blocks[i], *block_keys(part, off, train[i:j]), buckets)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            data, offsets = tk.text_buffers(batch.column("text"))
+            for i, j in runs_of(blocks):
+                # by length, so that texts scored together end together
+                lengths = np.diff(offsets[i : j + 1])
+                order = np.argsort(lengths, kind="stable")
+                text = data[tk.ragged(offsets[i:j][order], lengths[order])]
+                lists = [pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), batch.column(x).slice(i, j - i).take(pa.array(order))) for x in ("key", "train")]
+                body = [squeezed(lengths[order]), squeezed(text)]
+                yield pa.RecordBatch.from_arrays([pa.array(blocks[i : i + 1]), *lists, *(pa.array([x], pa.binary()) for x in body)], names=["block", "key", "train", "lengths", "text"])
+
+    # this table has a size fixed by ORDERS, 1 MB as logits of paths
+    model = Model(partials.collect_table(src.where("train").select("text").mapInArrow(count, partials.SCHEMA), int(_STARTS[-1]), np.int64, partials.added))
     shared = spark.sparkContext.broadcast(model)
-    # a block that lies in several batches lists a token more than once; each gets the same total
-    lists = listed.select("block", "tok").join(counted, "tok").select("block", "tok", "total", F.lit(None).cast("int").alias("chunk"), F.lit(None).cast("binary").alias("part"))
 
     def answer(sent: pa.Table) -> pa.Table:
-        blocks = sent.column("block").to_numpy()
-        keys, counts = zip(*(unpacked(p.as_py()) for p in sent.column("part")), strict=True)
-        edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        keys = np.concatenate(keys)
-        pool, start, place = shared.value.paths(keys, np.concatenate(counts))
+        chunk, blocks = sent.column("chunk")[0].as_py(), sent.column("block").to_numpy()
         order = np.argsort(blocks, kind="stable")
-        cut = np.flatnonzero(np.concatenate([[True], np.diff(blocks[order]) != 0, [True]]))
+        edges = runs_of(blocks[order])
+        # the same for words and contexts: parts of equal keys are added up, then each block gets its own
+        (tokens, c), cut = together(sent.column("words"))
+        _, place, total = added_up(tokens, c)
+        words = [squeezed(planes(total[place[own_part(tokens, cut, order[x:y])]])) for x, y in edges]
+        (keys, c), cut = together(sent.column("part"))
+        pool, start, place, symbol = shared.value.favours(keys, c)
+        length = shared.value.length[symbol]
         out = []
-        for x, y in zip(cut[:-1], cut[1:], strict=True):
-            own = tk.ragged(edges[order[x:y]], edges[order[x:y] + 1] - edges[order[x:y]])
-            if y - x > 1:  # a block that lies in several batches
-                own = own[np.unique(keys[own], return_index=True)[1]]
-            at = place[own]
-            out.append(squeezed(pool[tk.ragged(start[at], start[at + 1] - start[at])]))
-        return pa.table({"block": pa.array(blocks[order[cut[:-1]]]), "chunk": pa.array(np.full(len(out), sent.column("chunk")[0].as_py(), np.int32)), "part": pa.array(out, pa.binary())})
-
-    asked = src.mapInArrow(ask, "block bigint, chunk int, part binary")
-    answers = asked.groupBy("chunk").applyInArrow(answer, "block bigint, chunk int, part binary")
-    lists = lists.unionByName(answers, allowMissingColumns=True)
+        for x, y in edges:
+            at = place[own_part(keys, cut, order[x:y])]
+            out.append(squeezed(pool[tk.ragged(start[at], length[at])]))
+        k = len(out)
+        return pa.table({
+            "block": pa.array(blocks[order][[x for x, _ in edges]]), "chunk": pa.array(np.full(k, chunk, np.int32)), "words": pa.array(words, pa.binary()),
+            "part": pa.array(out, pa.binary()), "n": pa.array(np.full(k, total.sum())), "v": pa.array(np.full(k, (total > 0).sum())),
+        })
+
+    asked = src.mapInArrow(ask, "block bigint, chunk int, words binary, part binary")
+    answers = asked.groupBy("chunk").applyInArrow(answer, "block bigint, chunk int, words binary, part binary, n bigint, v bigint")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        data, offsets = tk.text_buffers(left.column("text").combine_chunks())
-        parts = right.filter(pc.is_valid(right.column("part")))
-        right = right.filter(pc.is_valid(right.column("tok")))
-        order = np.argsort(right.column("tok").to_numpy())
-        known = right.column("tok").to_numpy()[order]
-        total = right.column("total").to_numpy()[order]
-        n, hits, base, fine = [], [], [], []
-        cuts = list(tk.slices(offsets, tk.SLICE_BYTES // 2))
-        seen = [distinct_keys(context_keys(*with_ends(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))) for i, j in cuts]
-        keys = np.unique(np.concatenate([k for k, _ in seen]))
-        order = np.argsort(buckets_of(keys, buckets), kind="stable")
-        length = shared.value.length[keys[order] & 255]
-        begins = np.empty(len(keys), dtype=np.int64)
-        begins[order] = np.cumsum(length) - length
-        pool = np.concatenate([expanded(parts.column("part")[k].as_py()) for k in np.argsort(parts.column("chunk").to_numpy()).tolist()])
-        if len(pool) != length.sum():
+        data = np.concatenate([expanded(x.as_py(), np.uint8) for x in left.column("text")])
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([expanded(x.as_py(), np.int64) for x in left.column("lengths")]))])
+        right = right.sort_by("chunk")
+        # every bucket answers every block, so these are the figures of all training tokens
+        if right.column("chunk").to_pylist() != list(range(buckets)):
+            raise ValueError("a block's parts are not all answered")
+        n, v = (sum(right.column(x).to_pylist()) for x in ("n", "v"))
+        words, contexts_of = [], []
+        cuts = list(tk.slices(offsets))
+        for i, j in cuts:
+            part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            words.append(tokens_of(part, off))
+            contexts_of.append(ranked(*with_ends(part, off)))
+        tokens, at, _ = added_up(np.concatenate([x for x, _ in words]).view(np.int64), np.zeros(sum(len(x) for x, _ in words), np.int64))
+        ends = np.cumsum([len(x) for x, _ in words])
+        keys = np.sort(np.concatenate([k for k, _ in contexts_of]))
+        keys = [k for k, _ in distinct_contexts(keys, np.zeros(len(keys), np.int64))]
+        order, _ = by_bucket(tokens.view(np.uint64), buckets)
+        total = np.empty(len(tokens), dtype=np.int64)
+        total[order] = np.concatenate([unplaned(expanded(x.as_py(), np.uint8)) for x in right.column("words")])
+        *known, size = shared.value.places(keys, buckets)
+        pool = np.concatenate([expanded(x.as_py()) for x in right.column("part")])
+        if len(pool) != size:
             raise ValueError("a block's contexts are not all answered")
-        for (i, j), (own, place) in zip(cuts, seen, strict=True):
+        per_row, hits, base, fine = [], [], [], []
+        for (i, j), (found, many), own, end in zip(cuts, words, contexts_of, ends.tolist(), strict=True):
             part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-            tokens, per_row = tokens_of(part, off)
-            c = total[np.searchsorted(known, tokens.astype(np.int64))]
-            first = np.concatenate([[0], np.cumsum(per_row)[:-1]])
-            n.append(per_row)
+            c = total[at[end - len(found) : end]]
+            first = np.cumsum(many) - many
+            per_row.append(many)
             hits.append(np.add.reduceat((c > 0).astype(np.int64), first))
             base.append(np.add.reduceat(np.log10(c + 1.0), first))
-            ends = with_ends(part, off)
-            fine.append(shared.value.score(*ends, (pool, begins[np.searchsorted(keys, own)][place].reshape(len(LONGER), -1))))
-        cat = [np.concatenate(x) if x else np.zeros(0) for x in (n, hits, base, fine)]
-        return pa.table({"key": left.column("key"), "train": left.column("train"), "n": pa.array(cat[0], pa.int64()), "hits": pa.array(cat[1], pa.int64()), "base": pa.array(cat[2], pa.float64()), "fine": pa.array(cat[3], pa.float64())})
+            fine.append(shared.value.score(*with_ends(part, off), (pool, begins_of(own[0], *known), own[1]), favours=True))
+        cat = [np.concatenate(x) for x in (per_row, hits, base, fine)]
+        return pa.table({
+            "key": pc.list_flatten(left.column("key")), "train": pc.list_flatten(left.column("train")), "n": pa.array(cat[0], pa.int64()), "hits": pa.array(cat[1], pa.int64()), "train_tokens": pa.array(np.full(len(cat[0]), n)),
+            "base": pa.array(cat[2] - cat[0] * float(np.log10(n + v + 1)), pa.float64()), "fine": pa.array(cat[3], pa.float64()),
+        })
 
     kind = src.schema["key"].dataType.simpleString()
-    scored = src.groupBy("block").cogroup(lists.groupBy("block")).applyInArrow(score, f"key {kind}, train boolean, n bigint, hits bigint, base double, fine double")
-    missing = float(np.log10(figures["n"] + figures["v"] + 1))
+    texts = src.mapInArrow(pack, f"block bigint, key array<{kind}>, train array<boolean>, lengths binary, text binary")
+    scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"key {kind}, train boolean, n bigint, hits bigint, train_tokens bigint, base double, fine double")
     return scored.select(
         F.col("key").alias(id_col), (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("hits").alias("n_known"),
-        F.lit(figures["n"]).cast("bigint").alias("train_tokens"), (F.col("base") - F.col("n") * missing).alias("base_score"), F.col("fine").alias("score"),
+        "train_tokens", F.col("base").alias("base_score"), F.col("fine").alias("score"),
     )
