@@ -133,6 +133,8 @@ def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def distinct_contexts(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct keys of each longer order, sorted, with the sums of the counts; ``keys``: sorted results of ``recent``."""
+    first = runs(keys)
+    keys, counts = keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts.astype(np.int64)
     out = []
     for order in LONGER[::-1]:
         keys = of_order(keys & TOP, order)
@@ -214,8 +216,12 @@ def block_keys(data: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> tupl
         keys.append(recent(text, ends) << 1 | np.repeat(train[i:j], np.diff(ends)))
     found, c = np.concatenate(tokens), np.concatenate(counts)
     tokens, _, learned = added_up(found, c)
-    ordered = np.sort(np.concatenate(keys))
-    each = distinct_contexts(ordered >> 1, ordered & 1)
+    ordered = np.concatenate(keys)
+    del keys
+    ordered.sort()
+    learn = (ordered & 1).astype(np.int8)
+    ordered >>= 1
+    each = distinct_contexts(ordered, learn)
     return tokens, learned, [k for k, _ in each], [c for _, c in each]
 
 
@@ -255,14 +261,12 @@ def ranked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], place
 
 
-def begins_of(own: np.ndarray, keys: list[np.ndarray], begins: list[np.ndarray]) -> np.ndarray:
-    """Where the paths of sorted results of ``recent`` begin in the answers, a row for each longer order."""
-    out = []
-    for order, known, begin in zip(LONGER, keys, begins, strict=True):
-        k = of_order(own, order)
-        first = runs(k)
-        out.append(np.repeat(begin[np.searchsorted(known, k[first])], np.diff(first, append=len(k))))
-    return np.stack(out)
+def each_order(kinds: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
+    """Values of the distinct keys of each longer order, a column each, for every one of ``kinds``: sorted distinct results of ``recent``."""
+    out = np.empty((len(kinds), len(LONGER)), dtype=values[0].dtype)
+    for k, (order, value) in enumerate(zip(LONGER, values, strict=True)):
+        out[:, k] = np.repeat(value, np.diff(runs(of_order(kinds, order)), append=len(kinds)))
+    return out
 
 
 def eights(pool: np.ndarray) -> np.ndarray:
@@ -348,21 +352,21 @@ class Model:
             live = live[(b - a > 1) & (length[live] > level)]
         return pool, start, place, symbol
 
-    def places(self, keys: list[np.ndarray], buckets: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
-        """The keys of each order, where their paths begin in the answers of all buckets, and the length of these."""
+    def places(self, keys: list[np.ndarray], buckets: int) -> tuple[list[np.ndarray], int]:
+        """Where the paths of the keys of each order begin in the answers of all buckets, and the length of these."""
         plain = plain_keys(np.concatenate(keys))
         order = np.argsort(plain)
         order = order[by_bucket(context_hashes(plain[order]), buckets)[0]]
         length = self.length[plain[order] & 255]
         begins = np.empty(len(plain), dtype=np.int64)
         begins[order] = np.cumsum(length) - length
-        return keys, np.split(begins, np.cumsum([len(k) for k in keys])[:-1]), int(length.sum())
+        return np.split(begins, np.cumsum([len(k) for k in keys])[:-1]), int(length.sum())
 
     def score(self, data: np.ndarray, offsets: np.ndarray, longer: tuple[np.ndarray, ...] | None = None, favours: bool = False) -> np.ndarray:
         """log10 probability of every text (with end symbols).
 
-        ``longer``: logits of paths (in favour of each bit, if so said), where paths begin in them, a row for each longer order, and the
-        column of every byte there, unless each has its own.
+        ``longer``: logits of paths (in favour of each bit, if so said), where paths begin in them, a row for each longer order; if bytes
+        share columns there, every byte's column, and the first eight logits of all these paths.
         """
         rows = len(offsets) - 1
         if not rows:
@@ -379,15 +383,15 @@ class Model:
         # rows: logits of the predictors, sign of the bit, gate; beyond the end, room for a last stretch
         laid = np.zeros((inputs + 2, int(upto[-1]) + max(STRETCH, LATER_STRETCH)), dtype=np.int8)
         last = contexts(data, offsets)
-        pool, begins, place = longer if longer and len(longer) == 3 else (*(longer or (self.side, np.zeros((0, 0), np.int64))), np.arange(len(data)))
+        pool, begins, *known = longer or (self.side, np.zeros((0, len(data)), np.int64))
         # the first eight bits of all orders' paths lie together
-        eight = np.ascontiguousarray(eights(pool)[begins].T)
+        place, eight = known or (np.arange(len(data)), np.ascontiguousarray(eights(pool)[begins].T))
         lines = [inputs, *range(inputs)]
         views = [np.ndarray(laid.shape[1] - 7, "<u8", laid[k], strides=(1,)) for k in lines]
         for a in range(0, len(data), LOOKED_UP):
             b = min(a + LOOKED_UP, len(data))
             byte, at, near = data[a:b], upto[a:b], [c[a:b] for c in last]
-            found = eight.take(place[a:b], axis=0) if longer else eight.T
+            found = eight.take(place[a:b], axis=0)
             paths = [self.sides.take(byte), *(table.take((c << 8) + byte) for table, c in zip(self.nears, near, strict=True)), *found.T]
             # in the order of the text: what is written beyond a byte's last bit, the next byte overwrites
             for view, path in zip(views, paths, strict=True):
@@ -396,7 +400,7 @@ class Model:
             length, first = many_bits[a:b][more] - 8, self.first[byte[more]]
             where = tk.ragged(at[more] + 8, length)
             rest = [(self.side, first), *((table, c[more] * len(self.side) + first) for table, c in zip(self.near, near, strict=True))]
-            rest += [(pool, x) for x in (begins[:, place[a:b][more]] if longer else ())]
+            rest += [(pool, x) for x in begins[:, place[a:b][more]]]
             for line, (table, begin) in zip(lines, rest, strict=True):
                 laid[line, where] = table[tk.ragged(begin + 8, length)]
             own = laid[:, upto[a] : upto[b]]
@@ -408,6 +412,7 @@ class Model:
         mean = (1 / np.maximum(np.arange(GATES), 1)).astype(np.float32)
         weights = np.tile(np.repeat(mean, inputs).reshape(GATES, inputs), (rows, 1, 1))
         refine = np.tile(np.array([1, 0], dtype=np.float32), (rows, 1))
+        cells = {long: np.arange(rows)[:, None] * (GATES * long) + np.arange(long) for long in {STRETCH, LATER_STRETCH}}
         out = np.zeros(rows)
         for edge, long in zip(edges[:-1].tolist(), np.diff(edges).tolist(), strict=True):
             n = int(np.searchsorted(-many, -edge, "left"))
@@ -418,25 +423,27 @@ class Model:
             beyond = np.arange(long) >= (many[whole:n] - edge)[:, None]
             now[:, whole:n][:, beyond] = 0
             x = now[:inputs].astype(np.float32).transpose(1, 0, 2)
-            which = (np.arange(n) * (GATES * long))[:, None] + now[-1] * np.int64(long) + np.arange(long)
+            which = now[-1] * np.int64(long) + cells[long][:n]
             fit = refine[:n]
             # both sides are powers of two apart from the logits: 1 / 16
             mixed = (weights[:n] * np.float32(1 / 16) @ x).ravel().take(which)
             # odds against the bit that came
             sign = now[-2].astype(np.float32)
-            against = np.exp(np.clip(fit[:, :1] * mixed + fit[:, 1:] * sign, -30, 30) * np.float32(-1))
+            against = -fit[:, :1] * mixed
+            against -= fit[:, 1:] * sign
+            np.exp(np.clip(against, -30, 30, out=against), out=against)
             against[whole:][beyond] = 0
-            lost = against.astype(np.float64) + 1
+            lost = np.add(against, 1, dtype=np.float64)
             for _ in range(4):  # sixteen factors of at most exp(30) fit
                 half = lost.shape[1] // 2
                 lost = lost[:, :half] * lost[:, half:]
             out[:n] -= np.log(lost).sum(axis=1)
-            error = against / (against + 1)
+            error = against / (against + np.float32(1))
             pace = np.float32(1 / np.sqrt(edge / STRETCH + 1.0))
             pushed = np.zeros((n, GATES, long), dtype=np.float32)
             pushed.ravel()[which] = error * (fit[:, :1] * (np.float32(RATE / 16) * pace))
             weights[:n] = np.clip(weights[:n] + pushed @ x.transpose(0, 2, 1), -1, 2)
-            pull = np.stack([(error * mixed).sum(axis=1), (error * sign).sum(axis=1)], axis=1) * (np.float32(REFINE_RATE / 8) * pace)
+            pull = np.stack([np.einsum("ij,ij->i", error, x) for x in (mixed, sign)], axis=1) * (np.float32(REFINE_RATE / 8) * pace)
             refine[:n] = np.clip(fit + np.clip(pull, -0.1, 0.1), [0.5, -0.5], [1.5, 0.5])
         scores = np.empty(rows)
         scores[order] = out / np.log(10)
@@ -531,24 +538,29 @@ def score_texts(spark: SparkSession, docs: DataFrame, training: Any, id_col: str
             contexts_of.append(ranked(*with_ends(part, off)))
         tokens, at, _ = added_up(np.concatenate([x for x, _ in words]).view(np.int64), np.zeros(sum(len(x) for x, _ in words), np.int64))
         ends = np.cumsum([len(x) for x, _ in words])
-        keys = np.sort(np.concatenate([k for k, _ in contexts_of]))
-        keys = [k for k, _ in distinct_contexts(keys, np.zeros(len(keys), np.int64))]
+        kinds, own, _ = added_up(np.concatenate([k for k, _ in contexts_of]), np.zeros(sum(len(k) for k, _ in contexts_of), np.int64))
+        keys = [k for k, _ in distinct_contexts(kinds, np.zeros(len(kinds), np.int64))]
         order, _ = by_bucket(tokens.view(np.uint64), buckets)
         total = np.empty(len(tokens), dtype=np.int64)
         total[order] = np.concatenate([unplaned(expanded(x.as_py(), np.uint8)) for x in right.column("words")])
-        *known, size = shared.value.places(keys, buckets)
+        begins, size = shared.value.places(keys, buckets)
         pool = np.concatenate([expanded(x.as_py()) for x in right.column("part")])
         if len(pool) != size:
             raise ValueError("a block's contexts are not all answered")
-        per_row, hits, base, fine = [], [], [], []
-        for (i, j), (found, many), own, end in zip(cuts, words, contexts_of, ends.tolist(), strict=True):
+        eight = eights(pool)
+        begins = [b.astype(np.int32 if size < 1 << 31 else np.int64) for b in begins]
+        begins, eight = each_order(kinds, begins), each_order(kinds, [eight[b] for b in begins])
+        per_row, hits, base, fine, done = [], [], [], [], 0
+        for (i, j), (found, many), (kinds, place), end in zip(cuts, words, contexts_of, ends.tolist(), strict=True):
             part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             c = total[at[end - len(found) : end]]
             first = np.cumsum(many) - many
             per_row.append(many)
             hits.append(np.add.reduceat((c > 0).astype(np.int64), first))
             base.append(np.add.reduceat(np.log10(c + 1.0), first))
-            fine.append(shared.value.score(*with_ends(part, off), (pool, begins_of(own[0], *known), own[1]), favours=True))
+            rows = own[done : done + len(kinds)]
+            done += len(kinds)
+            fine.append(shared.value.score(*with_ends(part, off), (pool, begins.take(rows, axis=0).T, place, eight.take(rows, axis=0)), favours=True))
         cat = [np.concatenate(x) for x in (per_row, hits, base, fine)]
         return pa.table({
             "key": pc.list_flatten(left.column("key")), "train": pc.list_flatten(left.column("train")), "n": pa.array(cat[0], pa.int64()), "hits": pa.array(cat[1], pa.int64()), "train_tokens": pa.array(np.full(len(cat[0]), n)),
